@@ -1,0 +1,159 @@
+"""The gold-layer DAG: 32 models wired by name, built lazily or materialised.
+
+``GoldLayer(raw)`` exposes every model as a lazy DataFrame (``layer["dim_product"]``).
+``materialize(...)`` writes models in dependency order as parquet tables in a
+shared folder (by default under ``spark.checkpoint.dir``) and re-reads them, so
+downstream models start from real files: lineage is cut, a lost executor only
+recomputes the current model, and the planner sees true table sizes when it
+chooses broadcast vs shuffle joins.
+"""
+
+from __future__ import annotations
+
+import datetime as _dt
+import uuid
+from dataclasses import dataclass
+from typing import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from . import dims, facts, marts, quality, staging
+
+STAGING, DIM, FACT, MART, DQ = "staging", "dimension", "fact", "mart", "data_quality"
+
+
+@dataclass(frozen=True)
+class ModelSpec:
+    name: str
+    inputs: tuple[str, ...]
+    fn: Callable[..., DataFrame]
+    layer: str
+    keys: tuple[str, ...] = ()        # grain / partitioning hint for written tables
+
+
+def _stg(name, raw, fn, with_tax=True):
+    return ModelSpec(name, (raw, "stg_taxonomy_lookup") if with_tax else (raw,), fn, STAGING)
+
+
+MODELS: list[ModelSpec] = [
+    _stg("stg_taxonomy_lookup", "taxonomy_lookup_raw", staging.stg_taxonomy_lookup, with_tax=False),
+    _stg("stg_products", "products_raw", staging.stg_products),
+    _stg("stg_product_hierarchy", "product_hierarchy_raw", staging.stg_product_hierarchy),
+    _stg("stg_customers", "customers_raw", staging.stg_customers),
+    _stg("stg_sales_orders", "sales_orders_raw", staging.stg_sales_orders),
+    _stg("stg_retail_pos", "retail_pos_raw", staging.stg_retail_pos),
+    _stg("stg_marketing_campaigns", "marketing_campaigns_raw", staging.stg_marketing_campaigns),
+    _stg("stg_marketing_performance", "marketing_performance_raw", staging.stg_marketing_performance),
+    _stg("stg_inventory_snapshots", "inventory_snapshots_raw", staging.stg_inventory_snapshots),
+    _stg("stg_warehouse_locations", "warehouse_locations_raw", staging.stg_warehouse_locations),
+    _stg("stg_suppliers", "suppliers_raw", staging.stg_suppliers),
+    _stg("stg_purchase_orders", "purchase_orders_raw", staging.stg_purchase_orders),
+    _stg("stg_shipments", "shipments_raw", staging.stg_shipments),
+    _stg("stg_shipment_events", "shipment_events_raw", staging.stg_shipment_events, with_tax=False),
+    _stg("stg_carrier_performance", "carrier_performance_raw", staging.stg_carrier_performance),
+    ModelSpec("dim_product", ("stg_products", "stg_product_hierarchy"), dims.dim_product, DIM, ("product_sku",)),
+    ModelSpec("dim_customer", ("stg_customers",), dims.dim_customer, DIM, ("customer_id",)),
+    ModelSpec("dim_supplier", ("stg_suppliers",), dims.dim_supplier, DIM, ("supplier_id",)),
+    ModelSpec("dim_warehouse", ("stg_warehouse_locations",), dims.dim_warehouse, DIM, ("warehouse_id",)),
+    ModelSpec("dim_carrier", ("stg_carrier_performance",), dims.dim_carrier, DIM, ("carrier_id",)),
+    ModelSpec("fct_sales_orders", ("stg_sales_orders", "dim_customer", "dim_product"), facts.fct_sales_orders,
+              FACT, ("order_id",)),
+    ModelSpec("fct_retail_pos", ("stg_retail_pos", "dim_customer", "dim_product"), facts.fct_retail_pos, FACT,
+              ("product_sku",)),
+    ModelSpec("fct_inventory_snapshots", ("stg_inventory_snapshots", "dim_product", "dim_warehouse"),
+              facts.fct_inventory_snapshots, FACT, ("product_sku",)),
+    ModelSpec("fct_purchase_orders", ("stg_purchase_orders", "dim_supplier", "dim_product", "dim_warehouse",
+                                      "@as_of"), facts.fct_purchase_orders, FACT, ("product_sku",)),
+    ModelSpec("fct_shipments", ("stg_shipments", "dim_customer", "dim_product", "dim_warehouse", "dim_carrier",
+                                "fct_sales_orders"), facts.fct_shipments, FACT, ("shipment_id",)),
+    ModelSpec("fct_marketing_performance", ("stg_marketing_performance", "stg_marketing_campaigns", "dim_product"),
+              facts.fct_marketing_performance, FACT, ("campaign_id",)),
+    ModelSpec("mart_campaign_summary", ("fct_marketing_performance",), marts.mart_campaign_summary, MART),
+    ModelSpec("mart_inventory_weeks_of_supply", ("fct_inventory_snapshots", "fct_retail_pos"),
+              marts.mart_inventory_weeks_of_supply, MART, ("product_sku",)),
+    ModelSpec("mart_product_performance", ("dim_product", "fct_sales_orders", "fct_retail_pos",
+                                           "fct_inventory_snapshots", "fct_purchase_orders", "mart_campaign_summary",
+                                           "mart_inventory_weeks_of_supply"),
+              marts.mart_product_performance, MART, ("product_sku",)),
+    ModelSpec("dq_orphan_records", ("fct_sales_orders", "fct_purchase_orders", "fct_shipments",
+                                    "fct_marketing_performance", "stg_marketing_campaigns", "stg_product_hierarchy",
+                                    "dim_product"), quality.dq_orphan_records, DQ),
+    ModelSpec("dq_date_violations", ("fct_sales_orders", "fct_purchase_orders", "fct_shipments",
+                                     "stg_product_hierarchy", "stg_shipment_events"), quality.dq_date_violations, DQ),
+    ModelSpec("dq_value_violations", ("fct_inventory_snapshots", "fct_retail_pos", "fct_marketing_performance",
+                                      "fct_sales_orders", "fct_shipments"), quality.dq_value_violations, DQ),
+]
+
+SPECS = {m.name: m for m in MODELS}
+MODEL_NAMES = [m.name for m in MODELS]
+
+
+def dependencies(name: str) -> list[str]:
+    """All models ``name`` depends on, in build order (itself last)."""
+    seen: list[str] = []
+
+    def visit(n):
+        if n in seen or n not in SPECS:
+            return
+        for i in SPECS[n].inputs:
+            visit(i)
+        seen.append(n)
+    visit(name)
+    return seen
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """Folder for written tables: the cluster's ``spark.checkpoint.dir`` (never a machine-local temp)."""
+    from ..session import ensure_checkpoint_dir
+    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return (conf or ensure_checkpoint_dir(spark)).rstrip("/")
+
+
+class GoldLayer:
+    """Lazy access to every model of the gold layer over one set of raw extracts."""
+
+    def __init__(self, raw: dict[str, DataFrame], as_of: str | None = None):
+        self.raw = dict(raw)
+        self.spark = next(iter(raw.values())).sparkSession
+        # overdue is judged against this instant; default: now (UTC)
+        self.as_of = as_of or _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name in self._built:
+            return self._built[name]
+        if name in self.raw:
+            return self.raw[name]
+        spec = SPECS[name]
+        args = [self.as_of if i == "@as_of" else self[i] for i in spec.inputs]
+        df = spec.fn(*args)
+        self._built[name] = df
+        return df
+
+    def tables(self, names=None) -> dict[str, DataFrame]:
+        return {n: self[n] for n in (names or MODEL_NAMES)}
+
+    def materialize(self, names=None, folder: str | None = None, fmt: str = "parquet",
+                    on_written: Callable[[str, float], None] | None = None) -> str:
+        """Write models (and everything they need) in build order; later models read the written files."""
+        import time
+        want = names or MODEL_NAMES
+        order: list[str] = []
+        for n in want:
+            for d in dependencies(n):
+                if d not in order:
+                    order.append(d)
+        base = f"{(folder or shared_folder(self.spark))}/kiln-{uuid.uuid4().hex[:12]}"
+        for n in order:
+            t0 = time.perf_counter()
+            path = f"{base}/{n}"
+            self[n].write.mode("overwrite").format(fmt).save(path)
+            self._built[n] = self.spark.read.format(fmt).load(path)
+            if on_written:
+                on_written(n, time.perf_counter() - t0)
+        return base
+
+    def register_views(self, names=None) -> None:
+        """Expose models as temp views for ad-hoc SQL (``spark.sql('select ... from dim_product')``)."""
+        for n, df in self.tables(names).items():
+            df.createOrReplaceTempView(n)
