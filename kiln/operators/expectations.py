@@ -61,12 +61,11 @@ class Suite:
 
 
 def _row_failure(ck) -> Column:
+    """not_null: failing rows; accepted_values: distinct unexpected values (NULL passes)."""
     col = F.col(ck.column)
     if isinstance(ck, NotNull):
-        bad = col.isNull()
-    else:  # accepted values: NULL passes
-        bad = col.isNotNull() & ~col.isin(*ck.values)
-    return F.sum(F.when(bad, 1).otherwise(0)).cast("bigint")
+        return F.sum(F.when(col.isNull(), 1).otherwise(0)).cast("bigint")
+    return F.count_distinct(F.when(col.isNotNull() & ~col.isin(*ck.values), col)).cast("bigint")
 
 
 def _row_level(model: str, df: DataFrame, checks: list) -> DataFrame | None:
@@ -81,6 +80,7 @@ def _row_level(model: str, df: DataFrame, checks: list) -> DataFrame | None:
 
 
 def _unique(df: DataFrame, ck: Unique) -> DataFrame:
+    """Number of distinct non-NULL values that occur more than once."""
     dup = (df.where(F.col(ck.column).isNotNull()).groupBy(ck.column).count()
            .where(F.col("count") > 1))
     return dup.agg(F.count(F.lit(1)).cast("bigint").alias("failures")) \
@@ -89,6 +89,7 @@ def _unique(df: DataFrame, ck: Unique) -> DataFrame:
 
 
 def _relationship(df: DataFrame, parent: DataFrame, ck: Relationship) -> DataFrame:
+    """Child rows (after ``where``) whose non-NULL key is missing from the parent."""
     child = df.where(F.expr(ck.where)) if ck.where else df
     child = child.where(F.col(ck.column).isNotNull()).select(F.col(ck.column).alias("__k"))
     par = parent.select(F.col(ck.to_column).alias("__p"))
