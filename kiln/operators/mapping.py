@@ -2,10 +2,10 @@
 
 A raw value is matched to the active mapping of one type on
 ``lower(trim(value))``; the standard value wins, otherwise a fallback of the
-raw text is kept. The join side is one slice of the taxonomy. No broadcast hint
-is placed here: the SKU slice grows with the product catalogue, so the planner
-decides from file statistics (written taxonomy) or AQE runtime statistics
-(lazy plans) whether a slice is small enough to broadcast.
+raw text is kept. The join side is one slice of the taxonomy. Slices differ
+wildly in size (a handful of regions vs. one row per product spelling), so a
+``Taxonomy`` measures every slice once (one grouped count) and broadcasts only
+the slices within the row bound; larger slices go through a shuffle join.
 """
 
 from __future__ import annotations
@@ -34,15 +34,42 @@ class MappingRule:
             raise ValueError(f"unknown fallback {self.fallback!r}")
 
 
-def mapping_slice(taxonomy: DataFrame, mapping_type: str) -> DataFrame:
-    """Active rows of one mapping type as (match_key, standard_value)."""
+class Taxonomy:
+    """A standardised mapping table plus the measured size of each active slice."""
+
+    def __init__(self, df: DataFrame, max_broadcast_rows: int, slice_rows: dict[str, int] | None = None):
+        self.df = df
+        self.max_broadcast_rows = max_broadcast_rows
+        self._rows = slice_rows
+
+    def slice_rows(self) -> dict[str, int]:
+        if self._rows is None:
+            counted = (self.df.where(F.col("is_active") == 1).groupBy("mapping_type")
+                       .agg(F.count(F.lit(1)).alias("n")).collect())  # one row per mapping type
+            self._rows = {r["mapping_type"]: r["n"] for r in counted}
+        return self._rows
+
+    def slice(self, mapping_type: str) -> DataFrame:
+        from .sizing import bounded_broadcast
+        sl = _slice(self.df, mapping_type)
+        return bounded_broadcast(sl, self.slice_rows().get(mapping_type, 0), self.max_broadcast_rows)
+
+
+def _slice(taxonomy: DataFrame, mapping_type: str) -> DataFrame:
     return (taxonomy
             .where((F.col("mapping_type") == mapping_type) & (F.col("is_active") == 1))
             .select(F.lower(F.trim("raw_value")).alias("match_key"),
                     F.col("standard_value")))
 
 
-def lookup(df: DataFrame, taxonomy: DataFrame, source: str, mapping_type: str,
+def mapping_slice(taxonomy, mapping_type: str) -> DataFrame:
+    """Active rows of one mapping type as (match_key, standard_value)."""
+    if isinstance(taxonomy, Taxonomy):
+        return taxonomy.slice(mapping_type)
+    return _slice(taxonomy, mapping_type)
+
+
+def lookup(df: DataFrame, taxonomy, source: str, mapping_type: str,
            output: str) -> DataFrame:
     """Left-join the mapping slice; adds ``output`` = standard value or NULL.
 
@@ -66,7 +93,7 @@ def fallback_value(rule: MappingRule) -> Column:
     return F.upper(F.trim(raw))
 
 
-def standardize(df: DataFrame, taxonomy: DataFrame, rules: list[MappingRule]) -> DataFrame:
+def standardize(df: DataFrame, taxonomy, rules: list[MappingRule]) -> DataFrame:
     """Apply several mapping rules; each adds ``rule.output`` (standard or fallback)."""
     out = df
     for r in rules:

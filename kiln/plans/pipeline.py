@@ -17,9 +17,13 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.mapping import Taxonomy
+from ..operators.sizing import SizeBook, max_broadcast_rows
 from . import dims, facts, marts, quality, staging
 
 STAGING, DIM, FACT, MART, DQ = "staging", "dimension", "fact", "mart", "data_quality"
+# staging and data-quality models are views (evaluated when read); the rest are written tables
+VIEW_LAYERS = {STAGING, DQ}
 
 
 @dataclass(frozen=True)
@@ -85,6 +89,8 @@ MODELS: list[ModelSpec] = [
 ]
 
 SPECS = {m.name: m for m in MODELS}
+# lookup-style join sides: broadcast when measured small, shuffle-joined otherwise
+SIZED_SIDES = {m.name for m in MODELS if m.layer == DIM} | {"stg_marketing_campaigns"}
 MODEL_NAMES = [m.name for m in MODELS]
 
 
@@ -112,12 +118,28 @@ def shared_folder(spark: SparkSession) -> str:
 class GoldLayer:
     """Lazy access to every model of the gold layer over one set of raw extracts."""
 
-    def __init__(self, raw: dict[str, DataFrame], as_of: str | None = None):
+    def __init__(self, raw: dict[str, DataFrame], as_of: str | None = None,
+                 max_broadcast_rows_: int | None = None):
         self.raw = dict(raw)
         self.spark = next(iter(raw.values())).sparkSession
         # overdue is judged against this instant; default: now (UTC)
         self.as_of = as_of or _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
         self._built: dict[str, DataFrame] = {}
+        self.sizes = SizeBook(max_broadcast_rows_ or max_broadcast_rows(self.spark))
+        self._taxonomy: Taxonomy | None = None
+
+    def _input(self, consumer: ModelSpec, name: str):
+        """An input as the consumer should join it: taxonomy slices and dimensions size-checked."""
+        if name == "@as_of":
+            return self.as_of
+        df = self[name]
+        if name == "stg_taxonomy_lookup" and consumer.layer == STAGING:
+            if self._taxonomy is None or self._taxonomy.df is not df:
+                self._taxonomy = Taxonomy(df, self.sizes.max_rows)
+            return self._taxonomy
+        if name in SIZED_SIDES and consumer.layer in (FACT, DQ):
+            return self.sizes.side(name, df)
+        return df
 
     def __getitem__(self, name: str) -> DataFrame:
         if name in self._built:
@@ -125,17 +147,22 @@ class GoldLayer:
         if name in self.raw:
             return self.raw[name]
         spec = SPECS[name]
-        args = [self.as_of if i == "@as_of" else self[i] for i in spec.inputs]
-        df = spec.fn(*args)
+        df = spec.fn(*[self._input(spec, i) for i in spec.inputs])
         self._built[name] = df
         return df
 
+    def is_view(self, name: str) -> bool:
+        return name in SPECS and SPECS[name].layer in VIEW_LAYERS
+
     def tables(self, names=None) -> dict[str, DataFrame]:
         return {n: self[n] for n in (names or MODEL_NAMES)}
 
     def materialize(self, names=None, folder: str | None = None, fmt: str = "parquet",
-                    on_written: Callable[[str, float], None] | None = None) -> str:
-        """Write models (and everything they need) in build order; later models read the written files."""
+                    on_written: Callable[[str, float], None] | None = None, views: bool = False) -> str:
+        """Write table models (and the tables they need) in build order; later models read the files.
+
+        Views (staging, data quality) stay lazy over the written tables unless ``views=True``.
+        """
         import time
         want = names or MODEL_NAMES
         order: list[str] = []
@@ -145,10 +172,13 @@ class GoldLayer:
                     order.append(d)
         base = f"{(folder or shared_folder(self.spark))}/kiln-{uuid.uuid4().hex[:12]}"
         for n in order:
+            if SPECS[n].layer in VIEW_LAYERS and not views:
+                continue
             t0 = time.perf_counter()
             path = f"{base}/{n}"
             self[n].write.mode("overwrite").format(fmt).save(path)
             self._built[n] = self.spark.read.format(fmt).load(path)
+            self.sizes.counts.pop(n, None)
             if on_written:
                 on_written(n, time.perf_counter() - t0)
         return base
