@@ -39,11 +39,17 @@ def stg_taxonomy_lookup(raw: DataFrame) -> DataFrame:
                    nb("effective_start_date").alias("effective_start_date"),
                    nb("effective_end_date").alias("effective_end_date"),
                    F.lit("source_taxonomy").alias("mapping_source")))
-    gaps = raw.sparkSession.createDataFrame(
-        [(*g, None, "discovered_gap") for g in DISCOVERED_GAPS],
-        "mapping_type string, raw_value string, standard_value string, domain string, is_active int, "
-        "effective_start_date string, effective_end_date string, mapping_source string")
-    return src.unionByName(gaps)
+    return src.unionByName(literal_rows(raw.sparkSession, DISCOVERED_GAPS_ROWS, TAXONOMY_COLUMNS))
+
+
+DISCOVERED_GAPS_ROWS = [(*g, None, "discovered_gap") for g in DISCOVERED_GAPS]
+
+
+def literal_rows(spark, rows: list[tuple], columns: list[str]) -> DataFrame:
+    """A small constant relation built JVM-side (no Python-side data source)."""
+    structs = [F.struct(*[F.lit(v).alias(c) for v, c in zip(r, columns)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs))).select(
+        *[F.col(c).cast("int" if c == "is_active" else "string").alias(c) for c in columns])
 
 
 def stg_products(raw: DataFrame, tax: DataFrame) -> DataFrame:

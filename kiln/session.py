@@ -51,13 +51,21 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a scratch one only if unset."""
+    """Return the shared checkpoint folder.
+
+    On a cluster the folder must be named by ``spark.checkpoint.dir`` (a shared
+    file system every executor can reach); only a local-mode session without
+    one gets a private scratch folder.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a shared folder (written tables and stream "
+                         "checkpoints live there)")
     scratch = tempfile.mkdtemp(prefix="kiln-ckpt-", dir=os.environ.get("KILN_SCRATCH", "/tmp"))
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir()

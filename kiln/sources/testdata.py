@@ -124,15 +124,15 @@ def taxonomy_lookup_raw(d) -> DataFrame:
                     case(seg == "AUTOMOBILE", "Mass Retail", seg == "BUILDING", "Specialty",
                          seg == "FURNITURE", "E-commerce", seg == "HOUSEHOLD", "Grocery"), "Commercial")
     # fixed vocabulary rows (platforms, units, statuses, and three unusable rows)
-    spark = d["part"].sparkSession
-    fixed = spark.createDataFrame(
-        [("platform", "fb", "Meta", "Marketing"), ("platform", "facebook", "Meta", "Marketing"),
+    from ..plans.staging import literal_rows
+    fixed = literal_rows(d["part"].sparkSession, [
+        ("platform", "fb", "Meta", "Marketing"), ("platform", "facebook", "Meta", "Marketing"),
          ("platform", "meta ", "Meta", "Marketing"), ("platform", "YT", "YouTube", "Marketing"),
          ("platform", "tiktok", "TikTok", "Marketing"), ("uom", "ea", "EA", "Product"),
          ("uom", "each", "EA", "Product"), ("uom", "cs", "CASE", "Product"),
          ("status", "actv", "active", "Product"), ("status", "", "x", "Product"),
          ("status", "disc", None, "Product"), ("status", "   ", "blank", "Product")],
-        "mapping_type string, raw_value string, standard_value string, domain string")
+        ["mapping_type", "raw_value", "standard_value", "domain"])
     fixed = fixed.select("*", lit("Y").alias("active_flag"), lit("2024-01-01").alias("effective_start_date"),
                          lit("").alias("effective_end_date"))
     parts = [skus, regions, countries, warehouses, suppliers, channels, fixed]
@@ -299,7 +299,7 @@ def _variant(offset: int = 0) -> Column:
 
 
 def sales_orders_raw(d) -> DataFrame:
-    ln, pk, sk = F.col("l_linenumber"), mod("l_partkey", 1), F.col("l_suppkey")
+    ln, sk = F.col("l_linenumber"), F.col("l_suppkey")
     q = qty("l_quantity")
     so = cat("SO-", s("l_orderkey"))
     cancelled = F.col("l_partkey") % 29 == 0
@@ -322,7 +322,6 @@ def sales_orders_raw(d) -> DataFrame:
              default=money("l_extendedprice")).alias("unit_price"),
         case(sk % 3 == 0, "usd", sk % 3 == 1, "USD ", default="cad").alias("currency"),
         case(cancelled, "customer request", default="").alias("cancel_reason"))
-    del pk
     return _finish("sales_orders_raw", df)
 
 

@@ -16,7 +16,8 @@ def spark():
     scratch = tempfile.mkdtemp(prefix="kiln-tests-")
     s = build_session("local[4]", shuffle_partitions=4, app_name="kiln-tests",
                       extra={"spark.ui.showConsoleProgress": "false",
-                             "spark.checkpoint.dir": os.path.join(scratch, "ckpt")})
+                             "spark.checkpoint.dir": os.path.join(scratch, "ckpt"),
+                             "spark.sql.warehouse.dir": os.path.join(scratch, "warehouse")})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
