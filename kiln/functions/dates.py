@@ -61,7 +61,12 @@ def overdue_flag(status, received, requested, as_of) -> Column:
             .otherwise(F.lit(0)))
 
 
-def on_time_flag(transit_days: Column, contracted: Column) -> Column:
-    """Tri-state 1/0/NULL; NULL when transit or contract is unknown."""
-    return F.when(transit_days.isNotNull() & contracted.isNotNull(),
-                  F.when(transit_days <= contracted, F.lit(1)).otherwise(F.lit(0)))
+def on_time_flag(delivered, shipped, contracted) -> Column:
+    """Tri-state 1/0/NULL.
+
+    NULL when a date or the contract is missing; otherwise 1 if the transit
+    time is within the contract, else 0 (dates present but unreadable give 0).
+    """
+    transit = day_diff(delivered, shipped)
+    return F.when(c(delivered).isNotNull() & c(shipped).isNotNull() & c(contracted).isNotNull(),
+                  F.when(transit <= c(contracted), F.lit(1)).otherwise(F.lit(0)))

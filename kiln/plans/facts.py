@@ -116,7 +116,7 @@ def fct_shipments(stg: DataFrame, dim_customer: DataFrame, dim_product: DataFram
         "tracking_number",
         transit.alias("actual_transit_days"),
         "contracted_transit_days",
-        dates.on_time_flag(transit, F.col("contracted_transit_days")).alias("is_on_time"),
+        dates.on_time_flag("delivery_date", "ship_date", "contracted_transit_days").alias("is_on_time"),
         dates.before_flag("delivery_date", "ship_date").alias("has_delivery_before_ship_flag"),
         F.when(nb("tracking_number").isNull(), 1).otherwise(0).alias("is_missing_tracking"))
 

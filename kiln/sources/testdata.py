@@ -311,7 +311,8 @@ def sales_orders_raw(d) -> DataFrame:
         sku("l_partkey", _variant()).alias("product_sku"),
         day("o_orderdate").alias("order_date"),
         case(ln == 2, "", default=day("o_orderdate")).alias("requested_ship_date"),
-        case(ln == 7, "", default=day("l_shipdate")).alias("ship_date"),
+        case(ln == 7, "", F.col("l_partkey") % 41 == 0, F.replace(day("l_shipdate"), lit("-"), lit("/")),
+             default=day("l_shipdate")).alias("ship_date"),
         case(cancelled, "Cancelled", st == "F", "Shipped ", st == "O", " open", default="PARTIAL")
         .alias("order_status"),
         case(F.col("l_partkey") % 23 == 0, "abc", default=q).alias("ordered_units"),
@@ -335,7 +336,8 @@ def retail_pos_raw(d) -> DataFrame:
         sku("l_partkey", _variant()).alias("product_sku"),
         case(ln == 2, "", default=s(ln * 3)).alias("store_count"),
         case(F.col("l_returnflag") == "R", cat("-", q), sk % 43 == 0, cat(q, ".0"), default=q).alias("pos_units"),
-        case(sk % 41 == 0, "n/a", default=money("l_extendedprice")).alias("pos_sales"),
+        case(sk % 41 == 0, "n/a", sk % 47 == 0, cat("1,", money("l_extendedprice")),
+             default=money("l_extendedprice")).alias("pos_sales"),
         s(F.col("l_quantity").cast("bigint") - 10).alias("on_hand_units"),
         case(ln == 5, "1,200", default="5").alias("on_order_units"),
         lit("usd").alias("currency"),
@@ -358,7 +360,7 @@ def purchase_orders_raw(d) -> DataFrame:
         day("l_shipdate").alias("requested_delivery_date"),
         case(is_open, "", default=day("l_shipdate")).alias("received_date"),
         case(is_open, " OPEN", default="closed ").alias("po_status"),
-        q.alias("ordered_qty"),
+        case(F.col("l_partkey") % 53 == 0, cat("00", q), default=q).alias("ordered_qty"),
         case(is_open, "", default=q).alias("received_qty"),
         case(F.col("l_partkey") % 31 == 0, "TBD", default=money("l_extendedprice")).alias("unit_cost"),
         lit("usd").alias("currency"))
@@ -377,7 +379,7 @@ def shipments_raw(d) -> DataFrame:
         cat("WH-", lp(F.col("l_suppkey") % 25, 3)).alias("warehouse_id"),
         cat("CAR-", s(F.col("l_suppkey") % 27)).alias("carrier_id"),
         day("l_shipdate").alias("ship_date"),
-        case(ln == 5, "", default=delivered).alias("delivery_date"),
+        case(ln == 5, "", pk % 37 == 0, "pending", default=delivered).alias("delivery_date"),
         case(F.col("l_linestatus") == "O", "In_Transit", default="DELIVERED").alias("shipment_status"),
         case(pk % 19 == 0, cat("x", q), default=q).alias("shipped_units"),
         case(pk % 13 == 0, "FREE", default=s(F.col("l_tax").cast("decimal(18,2)") * 1000)).alias("freight_cost"),
@@ -407,7 +409,7 @@ def inventory_snapshots_raw(d) -> DataFrame:
         cat(F.substring(s("l_shipdate"), 1, 7), "-01").alias("snapshot_date"),
         case(ln == 3, cat("WH", w), default=cat("WH-", w)).alias("warehouse_id"),
         sku("l_partkey", _variant()).alias("product_sku"),
-        s(qn - 5).alias("on_hand_qty"),
+        case(pk % 43 == 0, cat(" ", s(qn - 5), " "), default=s(qn - 5)).alias("on_hand_qty"),
         s(ln * 4).alias("allocated_qty"),
         case(pk % 17 == 0, "n/a", default=s(qn - 5 - ln * 4)).alias("available_qty"),
         case(ln % 2 == 0, "", default=s(ln * 10)).alias("in_transit_qty"),

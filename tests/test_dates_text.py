@@ -39,8 +39,13 @@ def test_overdue_and_on_time(spark):
                                 ("open", None, None)], "s string, r string, q string")
     got = [r[0] for r in df.select(dates.overdue_flag("s", "r", "q", "2025-01-01 00:00:00")).collect()]
     assert got == [1, 0, 0, 0, 0]
-    t = spark.createDataFrame([(2.0, 3), (4.0, 3), (None, 3), (2.0, None), (-1.0, 3)], "d double, c int")
-    assert [r[0] for r in t.select(dates.on_time_flag(F.col("d"), F.col("c"))).collect()] == [1, 0, None, None, 1]
+    t = spark.createDataFrame([("2024-01-03", "2024-01-01", 3), ("2024-01-05", "2024-01-01", 3),
+                               (None, "2024-01-01", 3), ("2024-01-03", "2024-01-01", None),
+                               ("2023-12-31", "2024-01-01", 3), ("soon", "2024-01-01", 3)],
+                              "d string, s string, c int")
+    got = [r[0] for r in t.select(dates.on_time_flag("d", "s", "c")).collect()]
+    # negative transit counts as on time; present-but-unreadable dates are not on time
+    assert got == [1, 0, None, None, 1, 0]
 
 
 def test_tier_warehouse_type_y_flag(spark):
