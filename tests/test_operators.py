@@ -166,3 +166,19 @@ def test_expectations(spark):
         by_test.setdefault(name, []).append(v)
     assert by_test["not_null"] == [1] and by_test["unique"] == [1] and by_test["accepted_values"] == [1]
     assert sorted(by_test["relationships"]) == [0, 1]
+
+
+def test_overlapping_pairs_hot_key_is_output_sensitive(spark):
+    # one key with 20,000 chained versions: each overlaps only the next one
+    n = 20_000
+    base = spark.range(n).select(
+        F.when(F.col("id") >= 0, F.lit("HOT")).otherwise(F.lit("COLD")).alias("product_sku"),
+        F.date_format(F.date_add(F.lit("2000-01-01").cast("date"), F.col("id").cast("int")), "yyyy-MM-dd")
+        .alias("effective_start_date"),
+        F.date_format(F.date_add(F.lit("2000-01-01").cast("date"), (F.col("id") + 1).cast("int")), "yyyy-MM-dd")
+        .alias("effective_end_date"),
+        F.col("id").cast("string").alias("tag"))
+    pairs = overlapping_pairs(base, "product_sku")
+    assert pairs.count() == n - 1
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
