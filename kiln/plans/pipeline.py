@@ -183,6 +183,18 @@ class GoldLayer:
                 on_written(n, time.perf_counter() - t0)
         return base
 
+    def land_raw(self, folder: str | None = None, fmt: str = "parquet") -> str:
+        """Write the raw extracts once and read them back, so every model plans from file scans."""
+        base = f"{(folder or shared_folder(self.spark))}/kiln-raw-{uuid.uuid4().hex[:12]}"
+        for name, df in list(self.raw.items()):
+            path = f"{base}/{name}"
+            df.write.mode("overwrite").format(fmt).save(path)
+            self.raw[name] = self.spark.read.format(fmt).load(path)
+        self._built.clear()
+        self._taxonomy = None
+        self.sizes.counts.clear()
+        return base
+
     def register_views(self, names=None) -> None:
         """Expose models as temp views for ad-hoc SQL (``spark.sql('select ... from dim_product')``)."""
         for n, df in self.tables(names).items():
