@@ -112,7 +112,8 @@ def run(tables: dict[str, DataFrame], suite: Suite) -> DataFrame:
                 parts.append(_unique(df, ck))
             elif isinstance(ck, Relationship):
                 parts.append(_relationship(df, tables[ck.to_model], ck))
-    return reduce(DataFrame.unionByName, parts)
+    # every part selects RESULT_COLUMNS in the same order: positional union, no per-step name matching
+    return reduce(DataFrame.union, parts)
 
 
 def failing_rows(tables: dict[str, DataFrame], ck) -> DataFrame:

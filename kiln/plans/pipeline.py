@@ -125,6 +125,7 @@ class GoldLayer:
         # overdue is judged against this instant; default: now (UTC)
         self.as_of = as_of or _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
         self._built: dict[str, DataFrame] = {}
+        self._written: set[str] = set()
         self.sizes = SizeBook(max_broadcast_rows_ or max_broadcast_rows(self.spark))
         self._taxonomy: Taxonomy | None = None
 
@@ -158,10 +159,12 @@ class GoldLayer:
         return {n: self[n] for n in (names or MODEL_NAMES)}
 
     def materialize(self, names=None, folder: str | None = None, fmt: str = "parquet",
-                    on_written: Callable[[str, float], None] | None = None, views: bool = False) -> str:
+                    on_written: Callable[[str, float], None] | None = None, views=False) -> str:
         """Write table models (and the tables they need) in build order; later models read the files.
 
-        Views (staging, data quality) stay lazy over the written tables unless ``views=True``.
+        Views (staging, data quality) stay lazy over the written tables unless ``views`` is True
+        or names them (e.g. the data-quality reports, written once for monitoring).
+        Models already written by this layer are not written again.
         """
         import time
         want = names or MODEL_NAMES
@@ -172,12 +175,14 @@ class GoldLayer:
                     order.append(d)
         base = f"{(folder or shared_folder(self.spark))}/kiln-{uuid.uuid4().hex[:12]}"
         for n in order:
-            if SPECS[n].layer in VIEW_LAYERS and not views:
+            write_view = views is True or (not isinstance(views, bool) and n in set(views))
+            if (SPECS[n].layer in VIEW_LAYERS and not write_view) or n in self._written:
                 continue
             t0 = time.perf_counter()
             path = f"{base}/{n}"
             self[n].write.mode("overwrite").format(fmt).save(path)
             self._built[n] = self.spark.read.format(fmt).load(path)
+            self._written.add(n)
             self.sizes.counts.pop(n, None)
             if on_written:
                 on_written(n, time.perf_counter() - t0)
@@ -191,6 +196,7 @@ class GoldLayer:
             df.write.mode("overwrite").format(fmt).save(path)
             self.raw[name] = self.spark.read.format(fmt).load(path)
         self._built.clear()
+        self._written.clear()
         self._taxonomy = None
         self.sizes.counts.clear()
         return base
