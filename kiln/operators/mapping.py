@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import c, nb
+from .sizing import bounded_broadcast
 
 FALLBACKS = ("trim", "blank_null", "upper")
 
@@ -50,7 +51,6 @@ class Taxonomy:
         return self._rows
 
     def slice(self, mapping_type: str) -> DataFrame:
-        from .sizing import bounded_broadcast
         sl = _slice(self.df, mapping_type)
         return bounded_broadcast(sl, self.slice_rows().get(mapping_type, 0), self.max_broadcast_rows)
 
@@ -74,7 +74,7 @@ def lookup(df: DataFrame, taxonomy, source: str, mapping_type: str,
     """Left-join the mapping slice; adds ``output`` = standard value or NULL.
 
     Duplicate active mappings for one key would multiply rows (the source
-    model allows it); ``expect_unique_mappings`` reports such keys.
+    model allows it); ``duplicate_mappings`` reports such keys.
     """
     key = f"__mk_{output}"
     sl = mapping_slice(taxonomy, mapping_type).withColumnRenamed("match_key", key) \

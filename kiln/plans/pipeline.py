@@ -11,6 +11,7 @@ chooses broadcast vs shuffle joins.
 from __future__ import annotations
 
 import datetime as _dt
+import time
 import uuid
 from dataclasses import dataclass
 from typing import Callable
@@ -18,7 +19,8 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.mapping import Taxonomy
-from ..operators.sizing import SizeBook, max_broadcast_rows
+from ..operators.sizing import SizeBook
+from ..operators.sizing import max_broadcast_rows as configured_max_broadcast_rows
 from . import dims, facts, marts, quality, staging
 
 STAGING, DIM, FACT, MART, DQ = "staging", "dimension", "fact", "mart", "data_quality"
@@ -119,14 +121,14 @@ class GoldLayer:
     """Lazy access to every model of the gold layer over one set of raw extracts."""
 
     def __init__(self, raw: dict[str, DataFrame], as_of: str | None = None,
-                 max_broadcast_rows_: int | None = None):
+                 max_broadcast_rows: int | None = None):
         self.raw = dict(raw)
         self.spark = next(iter(raw.values())).sparkSession
         # overdue is judged against this instant; default: now (UTC)
         self.as_of = as_of or _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
         self._built: dict[str, DataFrame] = {}
         self._written: set[str] = set()
-        self.sizes = SizeBook(max_broadcast_rows_ or max_broadcast_rows(self.spark))
+        self.sizes = SizeBook(max_broadcast_rows or configured_max_broadcast_rows(self.spark))
         self._taxonomy: Taxonomy | None = None
 
     def _input(self, consumer: ModelSpec, name: str):
@@ -166,7 +168,6 @@ class GoldLayer:
         or names them (e.g. the data-quality reports, written once for monitoring).
         Models already written by this layer are not written again.
         """
-        import time
         want = names or MODEL_NAMES
         order: list[str] = []
         for n in want:

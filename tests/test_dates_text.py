@@ -1,7 +1,5 @@
 """Date-shape and text operators."""
 
-from pyspark.sql import functions as F
-
 from conftest import one_col
 from kiln.functions import dates, text
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from kiln.plans import expectations
-from kiln.plans.pipeline import MODEL_NAMES, SPECS, VIEW_LAYERS, dependencies
+from kiln.plans.pipeline import MODEL_NAMES, SPECS, dependencies
 
 
 def test_dag_is_complete_and_ordered():
