@@ -420,8 +420,8 @@ def inventory_snapshots_raw(d) -> DataFrame:
 
 
 def marketing_campaigns_raw(d) -> DataFrame:
+    """One campaign per product (id 'CMP-' + part key); every 1000th product's campaign is listed twice."""
     k = "p_partkey"
-    m = F.col(k) % 160
     cols = dict(
         campaign_id=cat("CMP-", lp(k, 7)),
         campaign_start_date=lit("2024-01-01"),
@@ -434,10 +434,11 @@ def marketing_campaigns_raw(d) -> DataFrame:
         currency=case(mod(k, 3) == 0, "gbp", default="usd"),
         taxonomy_code=lit(""),
     )
-    base = d["part"].where(mod(k, 40) == 0)
+    base = d["part"]
     main = base.select(*[v.alias(n) for n, v in cols.items()],
                        cat("Campaign ", F.col("p_name")).alias("campaign_name"),
-                       case(m == 0, "fb", m == 40, "Facebook ", m == 80, "YT", default="tiktok").alias("platform"))
+                       case(mod(k, 4) == 0, "fb", mod(k, 4) == 1, "Facebook ", mod(k, 4) == 2, "YT",
+                            default="tiktok").alias("platform"))
     dup = base.where(mod(k, 1000) == 0).select(*[v.alias(n) for n, v in cols.items()],
                                                 cat("Campaign ", F.col("p_name"), " v2").alias("campaign_name"),
                                                 lit("YT").alias("platform"))
