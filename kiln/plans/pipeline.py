@@ -161,12 +161,15 @@ class GoldLayer:
         return {n: self[n] for n in (names or MODEL_NAMES)}
 
     def materialize(self, names=None, folder: str | None = None, fmt: str = "parquet",
-                    on_written: Callable[[str, float], None] | None = None, views=False) -> str:
+                    on_written: Callable[[str, float], None] | None = None, views=False,
+                    threads: int = 1) -> str:
         """Write table models (and the tables they need) in build order; later models read the files.
 
         Views (staging, data quality) stay lazy over the written tables unless ``views`` is True
         or names them (e.g. the data-quality reports, written once for monitoring).
-        Models already written by this layer are not written again.
+        Models already written by this layer are not written again. With ``threads`` > 1,
+        models whose inputs are all written are submitted together as concurrent Spark jobs
+        (like a build tool's thread setting), so small stages of one model overlap another's.
         """
         want = names or MODEL_NAMES
         order: list[str] = []
@@ -174,11 +177,11 @@ class GoldLayer:
             for d in dependencies(n):
                 if d not in order:
                     order.append(d)
+        todo = [n for n in order if n not in self._written and (
+            SPECS[n].layer not in VIEW_LAYERS or views is True or (not isinstance(views, bool) and n in set(views)))]
         base = f"{(folder or shared_folder(self.spark))}/kiln-{uuid.uuid4().hex[:12]}"
-        for n in order:
-            write_view = views is True or (not isinstance(views, bool) and n in set(views))
-            if (SPECS[n].layer in VIEW_LAYERS and not write_view) or n in self._written:
-                continue
+
+        def write(n: str) -> None:
             t0 = time.perf_counter()
             path = f"{base}/{n}"
             self[n].write.mode("overwrite").format(fmt).save(path)
@@ -187,6 +190,22 @@ class GoldLayer:
             self.sizes.counts.pop(n, None)
             if on_written:
                 on_written(n, time.perf_counter() - t0)
+
+        if threads <= 1:
+            for n in todo:
+                write(n)
+            return base
+        from concurrent.futures import ThreadPoolExecutor
+        pending = list(todo)
+        with ThreadPoolExecutor(max_workers=threads) as pool:
+            while pending:
+                # a model is ready once every table it reads (directly or through views) is written
+                ready = [n for n in pending
+                         if all(d in self._written or d not in pending for d in dependencies(n)[:-1])]
+                for n in ready:
+                    self[n]  # build the lazy plan on this thread (shared caches are filled in order)
+                list(pool.map(write, ready))
+                pending = [n for n in pending if n not in ready]
         return base
 
     def land_raw(self, folder: str | None = None, fmt: str = "parquet") -> str:

@@ -66,3 +66,11 @@ def test_materialize_writes_tables_and_matches_lazy(spark, small_layer):
     assert "stg_shipments" not in base and all(
         "/stg_" not in layer._built[n]._jdf.queryExecution().executedPlan().toString()
         for n in layer._built if n.startswith("stg_"))
+
+
+def test_concurrent_materialize_matches_sequential(spark, small_layer):
+    from kiln.plans.pipeline import GoldLayer
+    layer = GoldLayer(small_layer.raw, as_of=small_layer.as_of)
+    layer.materialize(["mart_product_performance", "fct_shipments"], threads=3)
+    for name in ("mart_product_performance", "fct_shipments", "dim_product"):
+        assert sorted(layer[name].collect()) == sorted(small_layer[name].collect()), name
