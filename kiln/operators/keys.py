@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .sizing import unwrap
 
-def with_known_flag(df: DataFrame, fk: str, dim: DataFrame, dim_key: str, flag: str,
+
+def with_known_flag(df: DataFrame, fk: str, dim, dim_key: str, flag: str,
                     carry: list[str] | None = None, distinct: bool = False) -> DataFrame:
     """Add ``flag`` = 1 if ``df.fk`` exists in ``dim.dim_key`` else 0; optionally carry dim columns.
 
@@ -15,21 +17,23 @@ def with_known_flag(df: DataFrame, fk: str, dim: DataFrame, dim_key: str, flag:
     right side into a distinct key set first (aggregated map-side).
     """
     probe = f"__probe_{flag}"
+    dim, finish = unwrap(dim)  # a size-checked JoinSide carries its broadcast / merge decision
     right = dim.select(F.col(dim_key).alias(f"__key_{flag}"), *(carry or []))
     if distinct:
         right = right.distinct()
-    right = right.withColumn(probe, F.lit(1))
+    right = finish(right.withColumn(probe, F.lit(1)))
     out = df.join(right, df[fk] == right[f"__key_{flag}"], "left")
     out = out.withColumn(flag, F.when(F.col(probe).isNotNull(), F.lit(1)).otherwise(F.lit(0)))
     return out.drop(probe, f"__key_{flag}")
 
 
-def orphans(df: DataFrame, fk: str, dim: DataFrame, dim_key: str, keep_null_keys: bool) -> DataFrame:
+def orphans(df: DataFrame, fk: str, dim, dim_key: str, keep_null_keys: bool) -> DataFrame:
     """Rows of ``df`` whose key is absent from ``dim`` (anti join).
 
     ``keep_null_keys`` = True reports NULL keys as orphans (a NULL never matches);
     False drops them first.
     """
     left = df if keep_null_keys else df.where(F.col(fk).isNotNull())
-    right = dim.select(F.col(dim_key).alias("__dim_key"))
+    dim, finish = unwrap(dim)
+    right = finish(dim.select(F.col(dim_key).alias("__dim_key")))
     return left.join(right, left[fk] == right["__dim_key"], "left_anti")

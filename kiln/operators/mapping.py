@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import c, nb
-from .sizing import bounded_broadcast
+from .sizing import JoinSide, unwrap
 
 FALLBACKS = ("trim", "blank_null", "upper")
 
@@ -50,9 +50,9 @@ class Taxonomy:
             self._rows = {r["mapping_type"]: r["n"] for r in counted}
         return self._rows
 
-    def slice(self, mapping_type: str) -> DataFrame:
-        sl = _slice(self.df, mapping_type)
-        return bounded_broadcast(sl, self.slice_rows().get(mapping_type, 0), self.max_broadcast_rows)
+    def slice(self, mapping_type: str) -> JoinSide:
+        return JoinSide(_slice(self.df, mapping_type),
+                        self.slice_rows().get(mapping_type, 0) <= self.max_broadcast_rows)
 
 
 def _slice(taxonomy: DataFrame, mapping_type: str) -> DataFrame:
@@ -62,8 +62,8 @@ def _slice(taxonomy: DataFrame, mapping_type: str) -> DataFrame:
                     F.col("standard_value")))
 
 
-def mapping_slice(taxonomy, mapping_type: str) -> DataFrame:
-    """Active rows of one mapping type as (match_key, standard_value)."""
+def mapping_slice(taxonomy, mapping_type: str):
+    """Active rows of one mapping type as (match_key, standard_value) (a ``JoinSide`` for a ``Taxonomy``)."""
     if isinstance(taxonomy, Taxonomy):
         return taxonomy.slice(mapping_type)
     return _slice(taxonomy, mapping_type)
@@ -77,8 +77,8 @@ def lookup(df: DataFrame, taxonomy, source: str, mapping_type: str,
     model allows it); ``duplicate_mappings`` reports such keys.
     """
     key = f"__mk_{output}"
-    sl = mapping_slice(taxonomy, mapping_type).withColumnRenamed("match_key", key) \
-        .withColumnRenamed("standard_value", output)
+    sl, finish = unwrap(mapping_slice(taxonomy, mapping_type))
+    sl = finish(sl.select(F.col("match_key").alias(key), F.col("standard_value").alias(output)))
     return (df.withColumn(key, F.lower(F.trim(c(source))))
             .join(sl, on=key, how="left")
             .drop(key))

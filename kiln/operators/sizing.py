@@ -1,15 +1,16 @@
 """Broadcast only behind a size check.
 
 A join side is broadcast only when its row count is known and at most
-``max_rows``; anything larger is left to the planner (sort-merge join, with
-AQE skew splitting), so a side that grows with the data is never shipped to
-every executor by assumption. Counts come from one small job on the side
+``max_rows``; a larger side carries an explicit sort-merge (``merge``) hint,
+so neither the static planner (whose estimate is the compressed file size)
+nor AQE ships it to every executor; AQE skew splitting still applies. Counts come from one small job on the side
 itself (cheap for written tables: parquet footers / a scan of a dimension).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +24,31 @@ def max_broadcast_rows(spark: SparkSession) -> int:
 
 
 def bounded_broadcast(df: DataFrame, n_rows: int | None, max_rows: int) -> DataFrame:
-    """``F.broadcast(df)`` when ``n_rows`` is known and within the bound, else ``df`` unchanged."""
-    return F.broadcast(df) if n_rows is not None and n_rows <= max_rows else df
+    """``F.broadcast(df)`` when ``n_rows`` is known and within the bound; else a shuffle-merge hint."""
+    if n_rows is not None and n_rows <= max_rows:
+        return F.broadcast(df)
+    return df.hint("merge")
+
+
+@dataclass(frozen=True)
+class JoinSide:
+    """A lookup side plus the measured decision; the hint goes on the exact frame that is joined.
+
+    (A hint placed before further projections would not reach the join.)
+    """
+
+    df: DataFrame
+    broadcast: bool
+
+    def finish(self, right: DataFrame) -> DataFrame:
+        return F.broadcast(right) if self.broadcast else right.hint("merge")
+
+
+def unwrap(side) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """(frame, finisher) for a ``JoinSide`` or a plain DataFrame (no hint: the planner decides)."""
+    if isinstance(side, JoinSide):
+        return side.df, side.finish
+    return side, (lambda right: right)
 
 
 @dataclass
@@ -39,5 +63,5 @@ class SizeBook:
             self.counts[name] = df.count()
         return self.counts[name]
 
-    def side(self, name: str, df: DataFrame) -> DataFrame:
-        return bounded_broadcast(df, self.rows(name, df), self.max_rows)
+    def side(self, name: str, df: DataFrame) -> JoinSide:
+        return JoinSide(df, self.rows(name, df) <= self.max_rows)

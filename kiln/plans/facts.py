@@ -10,6 +10,7 @@ from ..functions.measures import money, neg_flag, ratio, z
 from ..functions.text import nb
 from ..operators.dedup import By, keep_best
 from ..operators.keys import with_known_flag
+from ..operators.sizing import unwrap
 
 FULFILLMENT_STATUSES = ["fully_fulfilled", "partially_fulfilled", "unfulfilled", "cancelled", "open",
                         "units_unknown"]
@@ -121,15 +122,16 @@ def fct_shipments(stg: DataFrame, dim_customer: DataFrame, dim_product: DataFram
         F.when(nb("tracking_number").isNull(), 1).otherwise(0).alias("is_missing_tracking"))
 
 
-def fct_marketing_performance(stg: DataFrame, campaigns: DataFrame, dim_product: DataFrame) -> DataFrame:
+def fct_marketing_performance(stg: DataFrame, campaigns, dim_product) -> DataFrame:
     """M26. Grain: date x campaign x platform, enriched with campaign attributes.
 
     The campaign side is not deduplicated (a repeated campaign id multiplies
     rows, as in the source model); ``expect`` reports repeated campaign ids.
     """
     d = keep_best(stg, ["performance_date", "campaign_id", "platform"], [By("impressions", desc=True)])
-    camp = campaigns.select(F.col("campaign_id").alias("c_campaign_id"), "campaign_name",
-                            F.col("product_sku"), "channel", "region", "objective")
+    campaigns, finish = unwrap(campaigns)
+    camp = finish(campaigns.select(F.col("campaign_id").alias("c_campaign_id"), "campaign_name",
+                                   F.col("product_sku"), "channel", "region", "objective"))
     j = d.join(camp, d["campaign_id"] == camp["c_campaign_id"], "left")
     j = j.withColumn("is_known_campaign", F.when(F.col("c_campaign_id").isNotNull(), 1).otherwise(0))
     j = with_known_flag(j, "product_sku", dim_product, "product_sku", "is_known_product")

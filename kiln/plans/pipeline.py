@@ -128,7 +128,8 @@ class GoldLayer:
         self.as_of = as_of or _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
         self._built: dict[str, DataFrame] = {}
         self._written: set[str] = set()
-        self.sizes = SizeBook(max_broadcast_rows or configured_max_broadcast_rows(self.spark))
+        self.sizes = SizeBook(max_broadcast_rows if max_broadcast_rows is not None
+                              else configured_max_broadcast_rows(self.spark))
         self._taxonomy: Taxonomy | None = None
 
     def _input(self, consumer: ModelSpec, name: str):
@@ -140,7 +141,7 @@ class GoldLayer:
             if self._taxonomy is None or self._taxonomy.df is not df:
                 self._taxonomy = Taxonomy(df, self.sizes.max_rows)
             return self._taxonomy
-        if name in SIZED_SIDES and consumer.layer in (FACT, DQ):
+        if name in SIZED_SIDES and (consumer.layer == FACT or (consumer.layer == DQ and SPECS[name].layer == DIM)):
             return self.sizes.side(name, df)
         return df
 

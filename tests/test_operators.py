@@ -125,8 +125,9 @@ def test_standardize_fallbacks_and_sized_broadcast(spark):
     for t in (tax, Taxonomy(tax, 10), Taxonomy(tax, 0)):
         out = standardize(src, t, [MappingRule("r", "region", "a", "trim"), MappingRule("r", "region", "b", "blank_null"),
                                    MappingRule("r", "region", "c", "upper")])
-        assert [(r.a, r.b, r.c) for r in out.collect()] == [
-            ("EMEA", "EMEA", "EMEA"), ("ASIA", "ASIA", "ASIA"), ("", None, ""), (None, None, None)]
+        got = {r.r: (r.a, r.b, r.c) for r in out.collect()}
+        assert got == {" Europe ": ("EMEA", "EMEA", "EMEA"), "ASIA": ("ASIA", "ASIA", "ASIA"), "": ("", None, ""),
+                       None: (None, None, None)}
     plan = standardize(src, Taxonomy(tax, 10), [MappingRule("r", "region", "a")])._jdf.queryExecution() \
         .executedPlan().toString()
     assert "Broadcast" in plan
@@ -136,10 +137,15 @@ def test_standardize_fallbacks_and_sized_broadcast(spark):
 
 
 def test_bounded_broadcast_respects_bound(spark):
-    df = spark.range(10)
-    assert bounded_broadcast(df, 10, 5) is df
-    assert bounded_broadcast(df, None, 5) is df
-    assert bounded_broadcast(df, 3, 5) is not df
+    small = spark.range(10).withColumnRenamed("id", "k")
+    fact = spark.range(1000).select((F.col("id") % 10).alias("k"))
+
+    def plan(side):
+        return fact.join(side, "k", "left")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan(bounded_broadcast(small, 10, 50))
+    # over the bound (or unknown): never broadcast, even though the planner's estimate is tiny
+    assert "BroadcastHashJoin" not in plan(bounded_broadcast(small, 100, 50))
+    assert "BroadcastHashJoin" not in plan(bounded_broadcast(small, None, 50))
 
 
 def test_findings_single_pass(spark):
