@@ -75,9 +75,9 @@ def stage_landed_files(spark: SparkSession, model: str, raw_name: str, raw_path:
 def event_findings_sink(findings_path: str):
     """``foreachBatch`` writer: stateless timestamp findings of each micro-batch of staged events.
 
-    The batch id is written with the rows, so a replayed batch (after a
-    failure) can be recognised downstream; the file sink itself is idempotent
-    per batch through ``mode('append')`` on a fresh sub-folder per batch id.
+    Each micro-batch overwrites its own ``batch=<id>`` folder, so a batch
+    replayed after a failure replaces its earlier output instead of adding to
+    it (idempotent per batch id).
     """
     rules = quality.date_rules()["stg_shipment_events"]
 

@@ -26,9 +26,9 @@ def _norm(v, digits: int):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, digits)
+        return v if digits is None else round(v, digits)
     if hasattr(v, "as_integer_ratio") and not isinstance(v, int):  # Decimal
-        return round(float(v), digits)
+        return float(v) if digits is None else round(float(v), digits)
     return v
 
 
