@@ -101,6 +101,11 @@ def dq_issue_summary(layer) -> DataFrame:
 
 QUERIES = {name: (lambda fn, src: (lambda layer: parse_profile(layer, fn, src)))(fn, src)
            for name, (fn, src) in PARSE_SOURCES.items()}
+def dq_findings_by_policy(layer) -> DataFrame:
+    return quality.findings_by_policy(layer["dq_orphan_records"], layer["dq_date_violations"],
+                                      layer["dq_value_violations"])
+
+
 QUERIES.update({
     "day_diff_profile": day_diff_profile,
     "on_time_profile": on_time_profile,
@@ -108,4 +113,5 @@ QUERIES.update({
     "taxonomy_duplicate_mappings": taxonomy_duplicate_mappings,
     "campaign_id_repeats": campaign_id_repeats,
     "dq_issue_summary": dq_issue_summary,
+    "dq_findings_by_policy": dq_findings_by_policy,
 })

@@ -73,7 +73,8 @@ def date_rules() -> dict[str, list[Rule]]:
     return {
         "fct_sales_orders": [
             Rule("fct_sales_orders", "ship_before_order", f("has_ship_before_order_flag") == 1, f("order_id"),
-                 _msg("order_date=", or_null_text("order_date"), ", ship_date=", or_null_text("ship_date")))],
+                 _msg("order_date=", or_null_text("order_date"), ", ship_date=", or_null_text("ship_date")),
+                 policy="preserve_and_flag")],
         "fct_purchase_orders": [
             Rule("fct_purchase_orders", "received_before_created", f("has_received_before_created_flag") == 1,
                  f("po_id"), _msg("create_date=", or_null_text("po_create_date"), ", received_date=",
@@ -92,7 +93,7 @@ def date_rules() -> dict[str, list[Rule]]:
             Rule("stg_shipment_events", "bad_timestamp",
                  f("event_timestamp").isNull() & nb("event_timestamp_raw").isNotNull(),
                  record_key("shipment_id", "event_type"),
-                 _msg("raw_timestamp=", or_null_text("event_timestamp_raw")))],
+                 _msg("raw_timestamp=", or_null_text("event_timestamp_raw")), policy="coerce_and_flag")],
     }
 
 
@@ -155,3 +156,52 @@ def dq_value_violations(fct_inv: DataFrame, fct_pos: DataFrame, fct_mkt: DataFra
               "fct_sales_orders": fct_sales, "fct_shipments": fct_ship}
     parts = [evaluate(tables[n], rules, with_offending=False) for n, rules in value_rules().items()]
     return union_all(parts).select(*VIOLATION)
+
+
+# Handling policy of every finding (the six-policy vocabulary of operators.findings.POLICIES).
+RULE_POLICIES = {
+    ("fct_sales_orders", "unknown_customer"): "quarantine",
+    ("fct_sales_orders", "unknown_product"): "quarantine",
+    ("fct_purchase_orders", "unknown_supplier"): "quarantine",
+    ("fct_purchase_orders", "unknown_product"): "quarantine",
+    ("fct_purchase_orders", "unknown_warehouse"): "quarantine",
+    ("fct_shipments", "unknown_order"): "quarantine",
+    ("fct_marketing_performance", "unknown_campaign"): "quarantine",
+    ("stg_marketing_campaigns", "unknown_product"): "quarantine",
+    ("stg_product_hierarchy", "hierarchy_without_product"): "quarantine",
+    ("fct_sales_orders", "ship_before_order"): "preserve_and_flag",
+    ("fct_purchase_orders", "received_before_created"): "preserve_and_flag",
+    ("fct_purchase_orders", "overdue_po"): "preserve_and_flag",
+    ("fct_shipments", "delivery_before_ship"): "preserve_and_flag",
+    ("fct_shipments", "late_delivery"): "preserve_and_flag",
+    ("stg_product_hierarchy", "scd_overlap"): "flag_dont_resolve",
+    ("stg_shipment_events", "bad_timestamp"): "coerce_and_flag",
+    ("fct_inventory_snapshots", "negative_on_hand"): "preserve_and_flag",
+    ("fct_inventory_snapshots", "oversold"): "preserve_and_flag",
+    ("fct_inventory_snapshots", "stockout"): "preserve_and_flag",
+    ("fct_inventory_snapshots", "below_safety_stock"): "preserve_and_flag",
+    ("fct_retail_pos", "negative_pos_units"): "preserve_and_flag",
+    ("fct_retail_pos", "negative_retail_on_hand"): "preserve_and_flag",
+    ("fct_marketing_performance", "negative_clicks"): "preserve_and_flag",
+    ("fct_sales_orders", "invalid_ordered_units"): "coerce_and_flag",
+    ("fct_shipments", "missing_tracking"): "preserve_and_flag",
+}
+
+
+def policy_rows() -> list[tuple[str, str, str]]:
+    """(source_model, issue_type, policy) for every data-quality rule."""
+    return [(m, i, p) for (m, i), p in RULE_POLICIES.items()]
+
+
+def policy_table(spark) -> DataFrame:
+    """The rule metadata as a small constant relation (one row per rule)."""
+    from .staging import literal_rows
+    return literal_rows(spark, policy_rows(), ["source_model", "issue_type", "policy"])
+
+
+def findings_by_policy(orphans: DataFrame, dates: DataFrame, values: DataFrame) -> DataFrame:
+    """Finding counts per handling policy and issue (the rule table is bounded by the rule count)."""
+    found = union_all([df.select("source_model", "issue_type") for df in (orphans, dates, values)])
+    pol = F.broadcast(policy_table(orphans.sparkSession))
+    return (found.join(pol, ["source_model", "issue_type"], "left")
+            .groupBy("policy", "source_model", "issue_type").agg(F.count(F.lit(1)).alias("n_findings")))

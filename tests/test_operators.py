@@ -188,3 +188,14 @@ def test_overlapping_pairs_hot_key_is_output_sensitive(spark):
     assert pairs.count() == n - 1
     plan = pairs._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_every_rule_has_a_policy(spark):
+    from kiln.operators.findings import POLICIES
+    from kiln.plans import quality
+    rules = [r for rs in (quality.orphan_rules(), quality.date_rules(), quality.value_rules()) for lst in rs.values()
+             for r in lst]
+    assert len(quality.RULE_POLICIES) == 25
+    for r in rules:
+        assert quality.RULE_POLICIES[(r.source_model, r.issue_type)] == r.policy, r.issue_type
+    assert set(quality.RULE_POLICIES.values()) <= set(POLICIES)
