@@ -1,3 +1,3 @@
 """Gold-layer model plans (staging, dimensions, facts, marts, data quality) and the DAG."""
 
-from . import dims, facts, marts, pipeline, quality, staging  # noqa: F401
+from . import dag, dims, facts, marts, quality, staging  # noqa: F401

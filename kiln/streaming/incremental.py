@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.findings import evaluate
 from ..operators.mapping import Taxonomy
 from ..plans import quality, staging
-from ..plans.pipeline import shared_folder
+from ..plans.dag import shared_folder
 from ..sources.raw import raw_schema
 
 # staging models that need the taxonomy as their second argument

@@ -25,7 +25,7 @@ def spark():
 
 @pytest.fixture(scope="session")
 def small_layer(spark):
-    from kiln.plans.pipeline import GoldLayer
+    from kiln.plans.dag import GoldLayer
     from kiln.sources.testdata import raw_from_testdata
     from kiln.testing.oracle import AS_OF
     return GoldLayer(raw_from_testdata(spark, SF_SMALL), as_of=AS_OF)

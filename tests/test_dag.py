@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from kiln.plans import expectations
-from kiln.plans.pipeline import MODEL_NAMES, SPECS, dependencies
+from kiln.plans.dag import MODEL_NAMES, SPECS, dependencies
 
 
 def test_dag_is_complete_and_ordered():
@@ -55,7 +55,7 @@ def test_declared_expectations_pass(small_layer):
 
 
 def test_materialize_writes_tables_and_matches_lazy(spark, small_layer):
-    from kiln.plans.pipeline import GoldLayer
+    from kiln.plans.dag import GoldLayer
     layer = GoldLayer(small_layer.raw, as_of=small_layer.as_of)
     base = layer.materialize(["fct_shipments"])
     assert base.startswith(spark.sparkContext.getConf().get("spark.checkpoint.dir").rstrip("/"))
@@ -69,7 +69,7 @@ def test_materialize_writes_tables_and_matches_lazy(spark, small_layer):
 
 
 def test_concurrent_materialize_matches_sequential(spark, small_layer):
-    from kiln.plans.pipeline import GoldLayer
+    from kiln.plans.dag import GoldLayer
     layer = GoldLayer(small_layer.raw, as_of=small_layer.as_of)
     layer.materialize(["mart_product_performance", "fct_shipments"], threads=3)
     for name in ("mart_product_performance", "fct_shipments", "dim_product"):
@@ -78,7 +78,7 @@ def test_concurrent_materialize_matches_sequential(spark, small_layer):
 
 def test_shuffle_join_fallback_gives_same_results(spark, small_layer):
     """With a zero broadcast bound every lookup is a sort-merge join; results must not change."""
-    from kiln.plans.pipeline import GoldLayer
+    from kiln.plans.dag import GoldLayer
     layer = GoldLayer(small_layer.raw, as_of=small_layer.as_of, max_broadcast_rows=0)
     plan = layer["fct_sales_orders"]._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan

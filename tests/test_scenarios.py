@@ -2,7 +2,7 @@
 
 import pytest
 
-from kiln.plans.pipeline import GoldLayer
+from kiln.plans.dag import GoldLayer
 from kiln.sources.raw import RAW_COLUMNS, raw_schema
 
 
