@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import casts, dates
 from ..functions.text import tier, warehouse_type, y_flag
-from ..operators.mapping import duplicate_mappings
+from ..operators.mapping import MappingRule, Taxonomy, duplicate_mappings, standardize
 from . import quality
 
 PARSE_SOURCES = {
@@ -53,6 +53,30 @@ def parse_profile(layer, fn, sources) -> DataFrame:
     return grouped.select("source_column", "raw_text", fn("raw_text").alias("value"), "n")
 
 
+# (raw table, column, mapping type, fallback when no active mapping matches)
+MAPPING_SOURCES = [
+    ("products_raw", "product_sku", "sku_normalization", "trim"),
+    ("inventory_snapshots_raw", "warehouse_id", "warehouse_normalization", "trim"),
+    ("suppliers_raw", "supplier_name", "supplier", "trim"),
+    ("customers_raw", "channel", "channel", "blank_null"),
+    ("customers_raw", "region", "region", "blank_null"),
+    ("customers_raw", "country", "country", "blank_null"),
+    ("marketing_performance_raw", "platform", "platform", "blank_null"),
+    ("inventory_snapshots_raw", "unit_of_measure", "uom", "upper"),
+]
+
+
+def mapping_fallbacks(layer) -> DataFrame:
+    """Distinct raw codes with their standardised value (mapping or fallback) and row counts."""
+    tax = Taxonomy(layer["stg_taxonomy_lookup"], layer.sizes.max_rows)
+    frames = []
+    for t, c, mtype, fallback in MAPPING_SOURCES:
+        src = layer[t].select(F.lit(f"{t}.{c}").alias("source_column"), F.col(c).alias("raw_text"))
+        frames.append(standardize(src, tax, [MappingRule("raw_text", mtype, "value", fallback)]))
+    return reduce(DataFrame.unionByName, frames).groupBy("source_column", "raw_text", "value") \
+        .agg(F.count(F.lit(1)).alias("n"))
+
+
 def day_diff_profile(layer) -> DataFrame:
     """Distribution of day differences and their order-violation flags over the three dated facts."""
     spec = [("fct_sales_orders", "days_to_ship", "has_ship_before_order_flag"),
@@ -114,4 +138,5 @@ QUERIES.update({
     "campaign_id_repeats": campaign_id_repeats,
     "dq_issue_summary": dq_issue_summary,
     "dq_findings_by_policy": dq_findings_by_policy,
+    "mapping_fallbacks": mapping_fallbacks,
 })
