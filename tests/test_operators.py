@@ -199,3 +199,18 @@ def test_every_rule_has_a_policy(spark):
     for r in rules:
         assert quality.RULE_POLICIES[(r.source_model, r.issue_type)] == r.policy, r.issue_type
     assert set(quality.RULE_POLICIES.values()) <= set(POLICIES)
+
+
+def test_overlapping_pairs_on_arbitrary_text_matches_brute_force(spark):
+    # chunking by a text prefix must keep exact text order: junk, short and long values, shared prefixes
+    import random
+    rnd = random.Random(23)
+
+    def txt():
+        return "".join(rnd.choice("ab-0") for _ in range(rnd.randint(0, 10)))
+    rows = [(f"K{rnd.randint(0, 5)}", txt(), None if rnd.random() < 0.25 else txt(), str(i)) for i in range(300)]
+    df = spark.createDataFrame(rows, HIER)
+    got = sorted((r[3], r[7]) for r in overlapping_pairs(df, "product_sku").collect())
+    want = sorted((a[3], b[3]) for a in rows for b in rows
+                  if a[0] == b[0] and a[1] < b[1] and (a[2] is None or a[2] >= b[1]))
+    assert got == want and len(want) > 100
