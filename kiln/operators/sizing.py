@@ -3,8 +3,9 @@
 A join side is broadcast only when its row count is known and at most
 ``max_rows``; a larger side carries an explicit sort-merge (``merge``) hint,
 so neither the static planner (whose estimate is the compressed file size)
-nor AQE ships it to every executor; AQE skew splitting still applies. Counts come from one small job on the side
-itself (cheap for written tables: parquet footers / a scan of a dimension).
+nor AQE ships it to every executor; AQE skew splitting still applies. Counts
+come from one small job on the side itself (cheap for written tables: parquet
+footers / a scan of a dimension).
 """
 
 from __future__ import annotations
