@@ -61,15 +61,15 @@ def conform(name: str, df: DataFrame) -> DataFrame:
                        for c in RAW_COLUMNS[name]])
 
 
-def read_raw(spark: SparkSession, path: str, fmt: str = "parquet", options: dict | None = None
-             ) -> dict[str, DataFrame]:
-    """Read the 15 raw extracts from ``path/<name>`` (parquet, csv, json, orc...).
+def read_raw(spark: SparkSession, path: str, fmt: str = "parquet", options: dict | None = None,
+             tables: list[str] | None = None) -> dict[str, DataFrame]:
+    """Read raw extracts (default: all 15) from ``path/<name>`` (parquet, csv, json, orc...).
 
     Text formats are read with the explicit all-string schema (never inferred),
     so '007' stays '007' and a stray letter never fails the load.
     """
     out = {}
-    for name in RAW_TABLES:
+    for name in tables or RAW_TABLES:
         r = spark.read.format(fmt).options(**(options or {}))
         if fmt in ("csv", "json"):
             r = r.schema(raw_schema(name))

@@ -40,3 +40,8 @@ def test_casts_never_fail_under_ansi(spark):
     for fn in (casts.strict_int, casts.positive_int, casts.alpha_reject_real, casts.positive_real,
                casts.unguarded_int):
         one_col(spark, junk, fn)
+
+
+def test_strict_real_variant(spark):
+    got = one_col(spark, ["12.5", " 7 ", "1,200", "$12", "1e3", "-3.25", "", None, ".5", "5."], casts.strict_real)
+    assert got == [12.5, 7.0, None, None, None, -3.25, None, None, 0.5, 5.0]
