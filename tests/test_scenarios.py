@@ -24,14 +24,14 @@ def _prod(sku, name, status):
 def layer(spark):
     rows = {
         "taxonomy_lookup_raw": [dict(mapping_type="uom", raw_value="ea", standard_value="EA", active_flag="Y")],
-        "products_raw": [_prod("SKU-1004", "Color Cloud Studio", "active"),
-                         _prod("SKU-1005", "Robo River Racer", "active"),
-                         _prod("SKU-1006", "Garden Quest Card Game", "discontinued"),
-                         _prod("SKU-1007", "Ocean Orbit Builder", "launched")],
+        "products_raw": [_prod("SKU-1004", "Product 1004", "active"),
+                         _prod("SKU-1005", "Product 1005", "active"),
+                         _prod("SKU-1006", "Product 1006", "discontinued"),
+                         _prod("SKU-1007", "Product 1007", "launched")],
         "product_hierarchy_raw": [dict(product_sku="sku1007", effective_start_date="2024-07-01", division="Toys")],
         "customers_raw": [dict(customer_id="CUST-001", customer_name="Retailer One", region="Europe",
                                tier="Strategic", active_flag="Y")],
-        "suppliers_raw": [dict(supplier_id="SUP-001", supplier_name="Delta Plastics", lead_time_days="30",
+        "suppliers_raw": [dict(supplier_id="SUP-001", supplier_name="Supplier One", lead_time_days="30",
                                preferred_flag="Y", active_flag="Y")],
         "warehouse_locations_raw": [dict(warehouse_id="WH-001", warehouse_name="Main", warehouse_type="DC",
                                          timezone="America/New_York", active_flag="Y")],
