@@ -22,6 +22,9 @@ def test_incremental_staging_matches_batch(spark, small_layer):
     staged = incremental.stage_landed_files(spark, "stg_sales_orders", "sales_orders_raw", land, out, tax, ck)
     want = staging.stg_sales_orders(raw, tax)
     assert sorted(staged.collect()) == sorted(want.select(*staged.columns).collect())
+    # a rerun with nothing new landed adds nothing (offsets are checkpointed): exactly once
+    again = incremental.stage_landed_files(spark, "stg_sales_orders", "sales_orders_raw", land, out, tax, ck)
+    assert again.count() == raw.count()
 
 
 def test_event_findings_per_batch(spark, small_layer):
