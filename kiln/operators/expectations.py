@@ -1,9 +1,12 @@
 """Declarative expectations evaluated as DataFrames of failure counts.
 
 Four kinds: not_null, unique, accepted_values, relationships (optionally
-scoped by a ``where`` filter). Row-level kinds over one table are folded into
-a single conditional aggregate (one scan per table); unique and relationships
-are a grouped count and an anti join.
+scoped by a ``where`` filter). The not_null checks of one table are folded
+into a single conditional sum (one scan per table). accepted_values counts
+distinct unexpected values: it filters to the unexpected rows first (pushed
+down, one column read) and then aggregates, instead of a distinct aggregate
+inside the shared pass (which Spark would answer by expanding every row).
+unique and relationships are a grouped count and an anti join.
 """
 
 from __future__ import annotations
@@ -61,15 +64,21 @@ class Suite:
 
 
 def _row_failure(ck) -> Column:
-    """not_null: failing rows; accepted_values: distinct unexpected values (NULL passes)."""
+    """not_null: failing rows."""
+    return F.sum(F.when(F.col(ck.column).isNull(), 1).otherwise(0)).cast("bigint")
+
+
+def _accepted(df: DataFrame, ck: AcceptedValues) -> DataFrame:
+    """Number of distinct non-NULL values outside the accepted list (NULL passes)."""
     col = F.col(ck.column)
-    if isinstance(ck, NotNull):
-        return F.sum(F.when(col.isNull(), 1).otherwise(0)).cast("bigint")
-    return F.count_distinct(F.when(col.isNotNull() & ~col.isin(*ck.values), col)).cast("bigint")
+    bad = df.where(col.isNotNull() & ~col.isin(*ck.values)).select(col).distinct()
+    return bad.agg(F.count(F.lit(1)).cast("bigint").alias("failures")) \
+        .select(F.lit(ck.model).alias("model_name"), F.lit(ck.column).alias("column_name"),
+                F.lit(ck.name).alias("test_name"), "failures")
 
 
 def _row_level(model: str, df: DataFrame, checks: list) -> DataFrame | None:
-    rl = [ck for ck in checks if isinstance(ck, (NotNull, AcceptedValues))]
+    rl = [ck for ck in checks if isinstance(ck, NotNull)]
     if not rl:
         return None
     agg = df.agg(*[F.coalesce(_row_failure(ck), F.lit(0).cast("bigint")).alias(f"c{i}")
@@ -108,7 +117,9 @@ def run(tables: dict[str, DataFrame], suite: Suite) -> DataFrame:
         if rl is not None:
             parts.append(rl)
         for ck in checks:
-            if isinstance(ck, Unique):
+            if isinstance(ck, AcceptedValues):
+                parts.append(_accepted(df, ck))
+            elif isinstance(ck, Unique):
                 parts.append(_unique(df, ck))
             elif isinstance(ck, Relationship):
                 parts.append(_relationship(df, tables[ck.to_model], ck))

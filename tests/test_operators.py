@@ -214,3 +214,11 @@ def test_overlapping_pairs_on_arbitrary_text_matches_brute_force(spark):
     want = sorted((a[3], b[3]) for a in rows for b in rows
                   if a[0] == b[0] and a[1] < b[1] and (a[2] is None or a[2] >= b[1]))
     assert got == want and len(want) > 100
+
+
+def test_expectation_plan_does_not_expand_rows(spark):
+    t = spark.range(100).select(F.col("id").cast("string").alias("a"), (F.col("id") % 3).alias("b"))
+    suite = ex.Suite([ex.NotNull("t", "a"), ex.AcceptedValues("t", "a", ("1",)), ex.AcceptedValues("t", "b", (0, 1))])
+    res = ex.run({"t": t}, suite)
+    assert "Expand" not in res._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.failures for r in res.collect()) == [0, 1, 99]
