@@ -84,3 +84,9 @@ def test_shuffle_join_fallback_gives_same_results(spark, small_layer):
     assert "SortMergeJoin" in plan
     for name in ("stg_customers", "fct_sales_orders", "fct_shipments", "dq_orphan_records"):
         assert sorted(map(str, layer[name].collect())) == sorted(map(str, small_layer[name].collect())), name
+
+
+def test_marts_count_distinct_without_row_expansion(small_layer):
+    for name in ("mart_product_performance", "mart_inventory_weeks_of_supply"):
+        plan = small_layer[name]._jdf.queryExecution().executedPlan().toString()
+        assert "Expand" not in plan, name
