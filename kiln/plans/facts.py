@@ -126,7 +126,7 @@ def fct_marketing_performance(stg: DataFrame, campaigns, dim_product) -> DataFra
     """M26. Grain: date x campaign x platform, enriched with campaign attributes.
 
     The campaign side is not deduplicated (a repeated campaign id multiplies
-    rows, as in the source model); ``expect`` reports repeated campaign ids.
+    rows, as in the source model); the `campaign_id_repeats` query reports repeated ids.
     """
     d = keep_best(stg, ["performance_date", "campaign_id", "platform"], [By("impressions", desc=True)])
     campaigns, finish = unwrap(campaigns)
