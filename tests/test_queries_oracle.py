@@ -6,8 +6,8 @@ import __spark_entry__ as entry
 from conftest import SF_SMALL
 from kiln.testing.compare import compare, duck
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = entry.library_queries()
+ORACLE = entry.library_oracle_sql()
 
 
 @pytest.fixture(scope="module")
