@@ -9,8 +9,8 @@ concatenates the bytes by an ordered aggregation. Words of over ``SHORT`` bytes
 contract every leftmost non-overlapping pair of the minimum rank per step (a
 merged token only takes part in later ranks, so the result is the same).
 
-Spark partitions the documents; a worker looks each distinct piece of a slice
-up once and encodes each distinct word once while it stays in its bounded
+Spark partitions the documents; a worker looks each distinct unit of a slice
+up once (``pretokens.Units``) and encodes it once while it stays in its bounded
 cache. No shuffle, no collect.
 
 Defined cases: null text is empty; an empty text has 0 tokens and the SHA-256
@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from .common import doc_columns, slices, strings
-from .pretokens import Cache, Pieces
+from .pretokens import Cache, Units
 
 #: words of up to SHORT bytes go together, ROWS bytes at once; longer words are contracted ROUNDS deep at a time
 SHORT, ROWS, ROUNDS = 64, 1_000_000, 24
@@ -108,7 +108,7 @@ class ByteBPE:
                                        "m": pa.array([m for _, m in pairs], pa.int32())}))
         self._load("tokens", pa.table({"id": pa.array(list(self.ranks.values()), pa.int32()),
                                        "hex": pa.array([t.hex() for t in self.ranks])}))
-        self.words = Cache(self.encode_words)
+        self.units = Cache(self._units)
 
     def _load(self, name: str, table: pa.Table) -> None:
         self.con.register("loading", table)
@@ -171,24 +171,21 @@ class ByteBPE:
         hexed = dict(zip(got["w"].to_pylist(), got["hex"].to_pylist()))
         return [bytes.fromhex(hexed.get(i, "")) for i in range(len(coded))]
 
+    def _units(self, units: list[str]) -> list[tuple[str, str]]:
+        """(ids as text, hex of the decoded bytes) of each unit, word by word."""
+        words = [self.find(u) for u in units]
+        distinct = list(dict.fromkeys(w for ws in words for w in ws))
+        coded = dict(zip(distinct, self.encode_words(distinct)))
+        return [coded[ws[0]] if len(ws) == 1 else
+                (" ".join([coded[w][0] for w in ws]), "".join([coded[w][1] for w in ws])) for ws in words]
+
     def encode_texts(self, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
         """(ids joined by one space, bytes decoded from them) of each text."""
-        pieces = Pieces(texts)
-        words = [self.find(p) for p in pieces.distinct]
-        self.words.shrink()
-        self.words.fill(w for ws in words for w in ws)
-        get = self.words.__getitem__
-        ids, decoded = [], []
-        for ws in words:
-            if len(ws) == 1:
-                i, h = get(ws[0])
-            else:
-                got = [get(w) for w in ws]
-                i, h = " ".join([x for x, _ in got]), "".join([x for _, x in got])
-            ids.append(i)
-            decoded.append(h)
-        raw = pa.array([bytes.fromhex(h) for h in decoded], pa.binary())
-        return pieces.join(pa.array(ids, pa.string()), " "), pieces.join(raw, b"")
+        units = Units(texts)
+        got = self.units.look_up(units.distinct)
+        ids = pa.array([i for i, _ in got], pa.string())
+        decoded = pa.array([bytes.fromhex(h) for _, h in got], pa.binary())
+        return units.join(ids, " "), units.join(decoded, b"")
 
 
 @lru_cache(maxsize=2)

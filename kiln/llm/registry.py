@@ -7,14 +7,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import bpe_encode
 from .common import read_table
+from .token_file import token_binary
+from .unigram import token_counts
+
+RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe_encode(read_table(spark, sf_dir, "documents"),
-                      public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe_encode(read_table(spark, sf_dir, "documents"), RANKS, PATTERN)
+
+
+def op7_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_binary(spark, read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(read_table(spark, sf_dir, "documents"), RANKS, PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op5_byte_bpe,)}
+QUERIES = {f.__name__: f for f in (op5_byte_bpe, op7_token_binary, op10_token_counts)}
 
 #: SQL for those queries that DuckDB can express
 ORACLE: dict[str, str] = {}
