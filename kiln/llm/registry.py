@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import bpe_encode
 from .common import read_table
+from .fingerprint import edited_fingerprints
 from .token_file import token_binary
 from .unigram import token_counts
 
@@ -21,11 +22,15 @@ def op7_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_binary(spark, read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(read_table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"), RANKS, PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op5_byte_bpe, op7_token_binary, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op5_byte_bpe, op7_token_binary, op8_fingerprints, op10_token_counts)}
 
 #: SQL for those queries that DuckDB can express
 ORACLE: dict[str, str] = {}
