@@ -8,12 +8,25 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import bpe_encode
 from .common import read_table
 from .fingerprint import edited_fingerprints
+from .language import learn as learn_languages
+from .language import predict_languages
+from .quality import learn, quality_scores
 from .token_file import token_binary
 from .unigram import token_counts
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return quality_scores(docs, learn(docs, read_table(spark, sf_dir, "labels")))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return predict_languages(docs, learn_languages(docs))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_encode(read_table(spark, sf_dir, "documents"), RANKS, PATTERN)
 
@@ -30,7 +43,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"), RANKS, PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op5_byte_bpe, op7_token_binary, op8_fingerprints, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op3_quality_classifier, op4_language_id, op5_byte_bpe, op7_token_binary, op8_fingerprints, op10_token_counts)}
 
 #: SQL for those queries that DuckDB can express
 ORACLE: dict[str, str] = {}
