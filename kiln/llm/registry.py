@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import bpe_encode
 from .common import read_table
+from .decontaminate import contamination
 from .fingerprint import edited_fingerprints
 from .language import learn as learn_languages
 from .language import predict_languages
@@ -39,11 +40,41 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(read_table(spark, sf_dir, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"), RANKS, PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_classifier, op4_language_id, op5_byte_bpe, op7_token_binary, op8_fingerprints, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op3_quality_classifier, op4_language_id, op5_byte_bpe, op7_token_binary, op8_fingerprints, op9_decontamination, op10_token_counts)}
+
+LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+def _words_sql(text: str) -> str:
+    return (f"regexp_extract_all(translate(coalesce({text}, ''), {LETTERS}), "
+            r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+
+OP9_SQL = f"""
+with items as (select item_id::varchar item_id, {_words_sql('text')} w from benchmark where item_id is not null),
+windows as (
+  select distinct item_id, list_slice(w, k, k + 9) win
+  from (select item_id, w, unnest(generate_series(1, greatest(1, len(w) - 9))) k from items where len(w) > 0)),
+docs as (select doc_id, row_number() over () r, {_words_sql('text')} w from documents),
+places as (
+  select r, k, n, list_slice(w, k, k + n - 1) win
+  from (select r, w, n, unnest(generate_series(1, len(w) - n + 1)) k
+        from docs, (select distinct len(win) n from windows) where len(w) >= n)),
+found as (select p.r, p.k, p.n, i.item_id from places p join windows i on i.win = p.win),
+hits as (select r, count(distinct h) n_hit from (select r, unnest(generate_series(k, k + n - 1)) h from found) group by r),
+names as (select r, count(*) n_items, string_agg(item_id, ',' order by item_id) ids
+          from (select distinct r, item_id from found) group by r)
+select d.doc_id, len(d.w)::bigint n_words, coalesce(h.n_hit, 0)::bigint n_hit, coalesce(s.n_items, 0)::bigint n_items,
+       sha256(coalesce(s.ids, '')) items_sha256, coalesce(h.n_hit, 0) > 0 contaminated
+from docs d left join hits h using (r) left join names s using (r)"""
 
 #: SQL for those queries that DuckDB can express
-ORACLE: dict[str, str] = {}
+ORACLE = {"op9_decontamination": OP9_SQL}

@@ -40,7 +40,11 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-@lru_cache(maxsize=1)
+#: bytes hashed at once (more where one word is longer)
+SECTION = 1 << 20
+
+
+@lru_cache(maxsize=2)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     out = []
     for base in (BASE, INVERSE):
@@ -50,6 +54,21 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
+def _hashes(folded: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Polynomial hashes of the words, by differences of running sums over sections that no word crosses."""
+    out = np.empty(len(start), np.uint64)
+    i = 0
+    while i < len(start):
+        j = max(i + 1, int(np.searchsorted(end, start[i] + SECTION, side="right")))
+        a, z = int(start[i]), int(end[j - 1])
+        powers, inverse = _powers(SECTION if z - a <= SECTION else 1 << (z - a).bit_length())
+        total = np.zeros(z - a + 1, np.uint64)
+        np.cumsum(folded[a:z] * powers[:z - a], out=total[1:])
+        out[i:j] = (total[end[i:j] - a] - total[start[i:j] - a]) * inverse[start[i:j] - a]
+        i = j
+    return out
+
+
 class Words:
     """Words of the texts in ``data`` (joined bytes) cut at ``offsets``.
 
@@ -73,9 +92,4 @@ class Words:
         self.end = np.flatnonzero(ends) + 1
         self.first = np.searchsorted(self.start, offsets)
         self.doc = np.repeat(np.arange(len(offsets) - 1), np.diff(self.first))
-        size = 1 << max(16, int(len(data)).bit_length())
-        powers, inverse = _powers(size)
-        total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(folded * powers[:len(data)], out=total[1:])
-        h = (total[self.end] - total[self.start]) * inverse[self.start]
-        self.hash = mix(h + (self.end - self.start).astype(np.uint64))
+        self.hash = mix(_hashes(folded, self.start, self.end) + (self.end - self.start).astype(np.uint64))
