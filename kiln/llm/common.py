@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..plans.dag import shared_folder
 
-#: text bytes handled at once inside a task (a single longer document is a slice of its own)
-SLICE_BYTES = 4 << 20
+#: text bytes and rows handled at once inside a task (a single longer document is a slice of its own)
+SLICE_BYTES, SLICE_ROWS = 4 << 20, 20_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,7 +61,7 @@ def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
 
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
            limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches into runs of rows holding at most ``limit`` text bytes (at least one row)."""
+    """Cut Arrow batches into runs of rows holding at most ``limit`` text bytes and SLICE_ROWS rows (at least one)."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -69,7 +69,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
         start = 0
         while start < batch.num_rows:
             end = int(np.searchsorted(offsets, offsets[start] + limit, side="right")) - 1
-            end = max(start + 1, min(end, batch.num_rows))
+            end = max(start + 1, min(end, start + SLICE_ROWS, batch.num_rows))
             yield batch.slice(start, end - start)
             start = end
 

@@ -9,6 +9,7 @@ from .bpe import bpe_encode
 from .common import read_table
 from .decontaminate import contamination
 from .fingerprint import edited_fingerprints
+from .jaccard import jaccard_join
 from .language import learn as learn_languages
 from .language import predict_languages
 from .quality import learn, quality_scores
@@ -18,6 +19,10 @@ from .unigram import token_counts
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(spark, read_table(spark, sf_dir, "documents"))
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return quality_scores(docs, learn(docs, read_table(spark, sf_dir, "labels")))
@@ -48,7 +53,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"), RANKS, PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_classifier, op4_language_id, op5_byte_bpe, op7_token_binary, op8_fingerprints, op9_decontamination, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op3_quality_classifier, op4_language_id, op5_byte_bpe, op7_token_binary, op8_fingerprints, op9_decontamination, op10_token_counts)}
 
 LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -76,5 +81,25 @@ select d.doc_id, len(d.w)::bigint n_words, coalesce(h.n_hit, 0)::bigint n_hit, c
        sha256(coalesce(s.ids, '')) items_sha256, coalesce(h.n_hit, 0) > 0 contaminated
 from docs d left join hits h using (r) left join names s using (r)"""
 
+OP1_SQL = f"""
+with recursive docs as (select doc_id, coalesce(text, '') text, {_words_sql('text')} w from documents),
+sets as (
+  select doc_id, text, list_sort(list_distinct(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_transform(generate_series(1, len(w) - 4), lambda k: array_to_string(list_slice(w, k, k + 4), ' ')) end)) s
+  from docs),
+keyed as (select *, min(doc_id) over (partition by s, case when len(s) = 0 then text end) rep,
+                 count(*) over (partition by s, case when len(s) = 0 then text end) size from sets),
+classes as (select doc_id rep, s, len(s) n, size from keyed where doc_id = rep and len(s) > 0),
+terms as (select rep, unnest(s) t from classes),
+shared as (select a.rep a, b.rep b, count(*) c from terms a join terms b on a.t = b.t and a.rep <> b.rep group by all),
+links as (
+  select a, b, y.size from shared join classes x on x.rep = a join classes y on y.rep = b
+  where 9 * c >= 4 * (x.n + y.n)),
+reach(node, label) as (select a, a from links union select l.b, r.label from reach r join links l on l.a = r.node),
+labels as (select node, min(label) label from reach group by node),
+counts as (select a, sum(size) n from links group by a)
+select k.doc_id, coalesce(l.label, k.rep) class_id, k.rep copy_of, (k.size - 1 + coalesce(c.n, 0))::bigint n_links
+from keyed k left join labels l on l.node = k.rep left join counts c on c.a = k.rep"""
+
 #: SQL for those queries that DuckDB can express
-ORACLE = {"op9_decontamination": OP9_SQL}
+ORACLE = {"op1_ngram_jaccard_join": OP1_SQL, "op9_decontamination": OP9_SQL}
