@@ -12,6 +12,8 @@ from .fingerprint import edited_fingerprints
 from .jaccard import jaccard_join
 from .language import learn as learn_languages
 from .language import predict_languages
+from .pii import learn as learn_pii
+from .pii import personal_data
 from .quality import learn, quality_scores
 from .token_file import token_binary
 from .unigram import token_counts
@@ -37,6 +39,11 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_encode(read_table(spark, sf_dir, "documents"), RANKS, PATTERN)
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return personal_data(docs, learn_pii(docs))
+
+
 def op7_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_binary(spark, read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -53,7 +60,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"), RANKS, PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op3_quality_classifier, op4_language_id, op5_byte_bpe, op7_token_binary, op8_fingerprints, op9_decontamination, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op3_quality_classifier, op4_language_id, op5_byte_bpe, op6_pii, op7_token_binary, op8_fingerprints, op9_decontamination, op10_token_counts)}
 
 LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
