@@ -42,11 +42,12 @@ class Workspace:
 
 
 def strings(column: pa.Array | pa.ChunkedArray) -> pa.Array:
-    """A text column as one plain string array; nulls become empty text."""
+    """A text (or bytes) column as one plain array; nulls become empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    if column.type != pa.large_string():
-        column = column.cast(pa.large_string())
+    large = pa.large_binary() if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type) \
+        else pa.large_string()
+    column = column.cast(large)
     return column.fill_null("") if column.null_count else column
 
 

@@ -86,11 +86,11 @@ class Cache(dict):
 
 
 class Units:
-    """A slice of texts as codes into a list of distinct units, in order."""
+    """A slice of texts (ASCII letters lower-cased on request) as codes into a list of distinct units, in order."""
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, lower: bool = False):
         data, offsets = text_bytes(texts)
-        raw = data.tobytes()
+        raw = data.tobytes().lower() if lower else data.tobytes()  # bytes.lower: ASCII letters only
         kind = np.frombuffer(raw.translate(CLASS), np.uint8)
         starts = np.zeros(len(data) + 1, bool)
         if len(data) > 1:

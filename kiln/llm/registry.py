@@ -15,6 +15,7 @@ from .language import predict_languages
 from .pii import learn as learn_pii
 from .pii import personal_data
 from .quality import learn, quality_scores
+from .repeats import remove_repeats
 from .token_file import token_binary
 from .unigram import token_counts
 
@@ -25,6 +26,10 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(spark, read_table(spark, sf_dir, "documents"))
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return quality_scores(docs, learn(docs, read_table(spark, sf_dir, "labels")))
@@ -60,7 +65,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"), RANKS, PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op3_quality_classifier, op4_language_id, op5_byte_bpe, op6_pii, op7_token_binary, op8_fingerprints, op9_decontamination, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_suffix_array_dedup, op3_quality_classifier, op4_language_id, op5_byte_bpe, op6_pii, op7_token_binary, op8_fingerprints, op9_decontamination, op10_token_counts)}
 
 LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -108,5 +113,29 @@ counts as (select a, sum(size) n from links group by a)
 select k.doc_id, coalesce(l.label, k.rep) class_id, k.rep copy_of, (k.size - 1 + coalesce(c.n, 0))::bigint n_links
 from keyed k left join labels l on l.node = k.rep left join counts c on c.a = k.rep"""
 
+OP2_SQL = """
+with docs as (select doc_id, row_number() over () r, lower(hex(encode(coalesce(text, '')))) h from documents),
+windows as (
+  select doc_id, r, p, md5_number(substr(h, 2 * p + 1, 100)) w
+  from (select doc_id, r, h, unnest(generate_series(0, len(h) // 2 - 50)) p from docs where len(h) >= 100)),
+firsts as (select w, min(doc_id) first_id from windows group by w having min(doc_id) < max(doc_id)),
+hits as (select r, p, lag(p) over (partition by r order by p) q
+         from (select distinct r, p from windows join firsts using (w) where doc_id > first_id)),
+runs as (
+  select r, min(p) a, max(p) + 50 z
+  from (select r, p, count(*) filter (q is null or p > q + 50) over (partition by r order by p) k from hits)
+  group by r, k),
+gaps as (
+  select r, coalesce(lag(z) over (partition by r order by a), 0) a, a z from runs
+  union all select r, max(z), null from runs group by r),
+sums as (select r, sum(z - a) n_removed, count(*) n_spans from runs group by r),
+rest as (
+  select r, string_agg(case when z is null then substr(h, 2 * a + 1) else substr(h, 2 * a + 1, 2 * (z - a)) end, ''
+                       order by a, z nulls last) kept
+  from gaps join docs using (r) group by r)
+select d.doc_id, (len(d.h) // 2)::bigint n_bytes, coalesce(s.n_removed, 0)::bigint n_removed,
+       coalesce(s.n_spans, 0)::bigint n_spans, sha256(unhex(coalesce(t.kept, d.h))) kept_sha256
+from docs d left join sums s using (r) left join rest t using (r)"""
+
 #: SQL for those queries that DuckDB can express
-ORACLE = {"op1_ngram_jaccard_join": OP1_SQL, "op9_decontamination": OP9_SQL}
+ORACLE = {"op2_suffix_array_dedup": OP2_SQL, "op1_ngram_jaccard_join": OP1_SQL, "op9_decontamination": OP9_SQL}

@@ -69,7 +69,7 @@ class WordTokenizer:
 
     def encode(self, texts: pa.Array) -> pa.Array:
         """The ids of each text as the file's unsigned integers."""
-        units = Units(pc.ascii_lower(texts))
+        units = Units(texts, lower=True)
         return units.join(pa.array(self.cache.look_up(units.distinct), pa.binary()), b"")
 
 
