@@ -364,3 +364,18 @@ def jaccard_join(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return sketches.select("doc_id", *keys).join(named, keys).select(
         "doc_id", F.coalesce("label", "rep").alias("class_id"), F.col("rep").alias("copy_of"),
         (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``docs`` with the document of the least doc_id of each connected group; columns are kept.
+
+    A row without doc_id stands for its text: it is kept once, unless its group has a document with an id.
+    """
+    unnamed = F.lit(1 << 62) + F.xxhash64("text").bitwiseAND(F.lit((1 << 60) - 1))
+    key = "near_duplicate_key"
+    while key in docs.columns:
+        key += "_"
+    rows = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), unnamed))
+    groups = jaccard_join(spark, rows.select(F.col(key).alias("doc_id"), "text"))
+    kept = groups.where(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias(key)).distinct()
+    return rows.join(kept, key, "left_semi").dropDuplicates([key]).drop(key)

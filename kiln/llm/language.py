@@ -31,6 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -138,6 +139,21 @@ def learn(docs: DataFrame, lang: str = "lang", text: str = "text") -> Model | No
     return fit([r["text"] for r in sample], [r["lang"] for r in sample])
 
 
+def predict(model: Model | None, texts: pa.Array, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(language, score) of each text; ``letters``: whether it has one."""
+    lang, score = np.full(len(texts), UND, object), np.zeros(len(texts))
+    if model is not None:
+        for first, rows in presence(texts):
+            out = SHARPNESS * model.outputs(rows).astype(np.float64)
+            p = np.exp(out - out.max(1, keepdims=True))
+            best = out.argmax(1)
+            at = slice(first, first + len(rows))
+            lang[at] = np.array(model.languages, object)[best]
+            score[at] = p[np.arange(len(rows)), best] / p.sum(1)
+        lang[~letters], score[~letters] = UND, 0.0
+    return lang, score
+
+
 def predict_languages(docs: DataFrame, model: Model | None) -> DataFrame:
     """Per document: whether it is held out, its language and score."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -145,21 +161,34 @@ def predict_languages(docs: DataFrame, model: Model | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in slices(batches):
-            n = batch.num_rows
             letters = np.asarray(batch.column(2).fill_null(False))
-            lang, score = np.full(n, UND, object), np.zeros(n)
-            if m is not None:
-                for first, rows in presence(batch.column(1)):
-                    out = SHARPNESS * m.outputs(rows).astype(np.float64)
-                    p = np.exp(out - out.max(1, keepdims=True))
-                    best = out.argmax(1)
-                    at = slice(first, first + len(rows))
-                    lang[at] = np.array(m.languages, object)[best]
-                    score[at] = p[np.arange(len(rows)), best] / p.sum(1)
-                lang[~letters], score[~letters] = UND, 0.0
+            lang, score = predict(m, batch.column(1), letters)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lang, pa.string()), pa.array(score)],
                                              ["doc_id", "lang_pred", "score"])
 
     rows = doc_columns(docs).withColumn("letters", F.col("text").rlike(r"\p{L}"))
     out = rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
     return out.select("doc_id", held_out(F.col("doc_id"), FOLDS, FOLD).alias("held_out"), "lang_pred", "score")
+
+
+def keep_languages(docs: DataFrame, model: Model | None, min_score: float = 0.0) -> DataFrame:
+    """The rows of ``docs`` whose text has a language (not ``und``) with at least ``min_score``.
+
+    Columns are kept; a null ``lang`` is filled with the prediction.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for batch in slices(batches):
+            text = batch.column("text")
+            letters = np.array([t is not None and any(map(str.isalpha, t)) for t in text.to_pylist()], bool)
+            lang, score = predict(m, text, letters)
+            keep = pa.array((lang != UND) & (score >= min_score))
+            if "lang" in names:
+                filled = pc.coalesce(batch.column("lang"), pa.array(lang, batch.schema.field("lang").type))
+                batch = batch.set_column(names.index("lang"), batch.schema.field("lang"), filled)
+            yield batch.filter(keep)
+
+    return docs.mapInArrow(run, docs.schema)

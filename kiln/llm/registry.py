@@ -115,9 +115,12 @@ from keyed k left join labels l on l.node = k.rep left join counts c on c.a = k.
 
 OP2_SQL = """
 with docs as (select doc_id, row_number() over () r, lower(hex(encode(coalesce(text, '')))) h from documents),
+pieces as (
+  select doc_id, r, 500 * k base, substr(h, 1000 * k + 1, 1098) t
+  from (select *, unnest(generate_series(0, len(h) // 1000)) k from docs)),
 windows as (
-  select doc_id, r, p, md5_number(substr(h, 2 * p + 1, 100)) w
-  from (select doc_id, r, h, unnest(generate_series(0, len(h) // 2 - 50)) p from docs where len(h) >= 100)),
+  select doc_id, r, base + p p, md5_number(substr(t, 2 * p + 1, 100)) w
+  from (select *, unnest(generate_series(0, len(t) // 2 - 50)) p from pieces where len(t) >= 100)),
 firsts as (select w, min(doc_id) first_id from windows group by w having min(doc_id) < max(doc_id)),
 hits as (select r, p, lag(p) over (partition by r order by p) q
          from (select distinct r, p from windows join firsts using (w) where doc_id > first_id)),
