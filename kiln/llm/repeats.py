@@ -38,7 +38,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -140,11 +139,11 @@ def unpacked(column: pa.Array, dtype) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype)
 
 
-NAMES = pa.schema([("part", pa.int32()), ("g", pa.int32()), ("names", pa.binary())])
+NAMES = pa.schema([("part", pa.int32()), ("groups", pa.binary()), ("names", pa.binary())])
 
 
 def send_names(docs: DataFrame, parts: int) -> DataFrame:
-    """Step 1: (bucket, group, distinct names; the lowest bit says: in several documents)."""
+    """Step 1: (bucket, groups and their distinct names; the lowest bit says: in several documents)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -156,8 +155,9 @@ def send_names(docs: DataFrame, parts: int) -> DataFrame:
             new = np.concatenate([[True], (name[1:] != name[:-1]) | (g[1:] != g[:-1])])
             several = np.diff(np.append(np.flatnonzero(new), len(name))) > 1
             name, g = name[new] | several.astype(np.uint64), g[new]
-            return packed([(k // parts, k % parts, name[at]) for k, at in
-                           split_by(part_of(name, parts) * parts + g)], NAMES)
+            order = np.argsort(g, kind="stable")       # equal groups side by side compress well
+            name, g = name[order], g[order].astype(np.int32)
+            return packed([(k, g[at], name[at]) for k, at in split_by(part_of(name, parts))], NAMES)
 
         n = 0
         for batch in slices(batches, limit=CUT_BYTES):
@@ -177,7 +177,7 @@ def send_names(docs: DataFrame, parts: int) -> DataFrame:
         if n:
             yield flush()
 
-    return docs.mapInArrow(run, "part int, g int, names binary")
+    return docs.mapInArrow(run, "part int, groups binary, names binary")
 
 
 WANTED = pa.schema([("g", pa.int32()), ("names", pa.binary())])
@@ -189,9 +189,8 @@ def shared_names(sent: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, groups = [], []
         for batch in batches:
-            raw = batch.column("names").to_pylist()
-            names += [np.frombuffer(x, np.uint64) for x in raw]
-            groups.append(np.repeat(np.asarray(batch.column("g")), [len(x) // 8 for x in raw]))
+            names.append(unpacked(batch.column("names"), np.uint64))
+            groups.append(unpacked(batch.column("groups"), np.int32).astype(np.int64))
         if not names:
             return
         name, g = np.concatenate(names), np.concatenate(groups)
@@ -211,13 +210,17 @@ def shared_names(sent: DataFrame) -> DataFrame:
 
 
 def by_group(docs: DataFrame, side: DataFrame, parts: int) -> DataFrame:
-    """Documents after the side rows of their group: one partition per group, side rows first."""
+    """Documents after the side rows of their group: one partition per group, side rows first.
+
+    The documents come in an order of their own values, so a document's number in its group is the same every time.
+    """
     own = side.select("g", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("doc_id"),
                       F.lit(None).cast("string").alias("text"), F.struct(*[c for c in side.columns if c != "g"])
                       .alias("side"))
     texts = docs.select("g", F.lit(1).alias("kind"), "doc_id", "text",
                         F.lit(None).cast(own.schema["side"].dataType).alias("side"))
-    return own.unionByName(texts).repartitionById(parts, F.col("g")).sortWithinPartitions("kind")
+    return own.unionByName(texts).repartitionById(parts, F.col("g")).sortWithinPartitions(
+        "kind", "doc_id", "text")
 
 
 def side_first(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[pa.RecordBatch, pa.Array | None]]:
@@ -231,8 +234,8 @@ def side_first(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[
             yield part, None
 
 
-SEGMENTS = pa.schema([("part", pa.int32()), ("names", pa.binary()), ("docs", pa.binary()), ("groups", pa.binary()),
-                      ("starts", pa.binary()), ("lengths", pa.binary()), ("text", pa.binary())])
+SEGMENTS = pa.schema([("part", pa.int32()), ("names", pa.binary()), ("docs", pa.binary()), ("rows", pa.binary()),
+                      ("groups", pa.binary()), ("starts", pa.binary()), ("lengths", pa.binary()), ("text", pa.binary())])
 
 
 def send_segments(rows: DataFrame, parts: int) -> DataFrame:
@@ -240,7 +243,7 @@ def send_segments(rows: DataFrame, parts: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs: list[np.ndarray] = []
-        wanted = None
+        wanted, first_row = None, 0
         for batch, side in side_first(batches, CUT_BYTES):
             if side is not None:
                 blobs.append(unpacked(side.field("names"), np.uint64))
@@ -251,27 +254,29 @@ def send_segments(rows: DataFrame, parts: int) -> DataFrame:
                 return
             data, offsets = text_bytes(batch.column("text"))
             doc, name, at, n = runs(data, offsets)
+            row = (doc + first_row).astype(np.int32)
+            first_row += batch.num_rows
             place = np.searchsorted(wanted, name)
             place[place == len(wanted)] = 0
             keep = wanted[place] == name
-            doc, name, at, n = doc[keep], name[keep], at[keep], n[keep]
+            doc, row, name, at, n = doc[keep], row[keep], name[keep], at[keep], n[keep]
             ids = np.asarray(batch.column("doc_id").fill_null(LOWEST))
             group = np.asarray(batch.column("g"))
             out = []
             for part, x in split_by(part_of(name, parts)):
                 ends = np.cumsum(n[x])
                 take = np.arange(ends[-1]) + np.repeat(at[x] - (ends - n[x]), n[x])
-                out.append((part, name[x], ids[doc[x]], group[doc[x]].astype(np.int32),
+                out.append((part, name[x], ids[doc[x]], row[x], group[doc[x]].astype(np.int32),
                             (at[x] - offsets[doc[x]]).astype(np.int64), n[x].astype(np.uint16), data[take]))
             if out:
                 yield packed(out, SEGMENTS)
 
-    return rows.mapInArrow(run, "part int, names binary, docs binary, groups binary, starts binary, lengths binary, "
-                                "text binary")
+    return rows.mapInArrow(run, "part int, names binary, docs binary, rows binary, groups binary, starts binary, "
+                                "lengths binary, text binary")
 
 
 def merged(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Spans [start, end) per document, sorted, touching and overlapping ones joined."""
+    """Spans [start, end) per document (or segment), sorted, touching and overlapping ones joined."""
     if not len(doc):
         return doc, start, end
     order = np.lexsort((start, doc))
@@ -285,7 +290,7 @@ def merged(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndar
     return doc[begin], start[begin], reach[last] - number[last] * stride
 
 
-SPANS = pa.schema([("g", pa.int32()), ("docs", pa.binary()), ("starts", pa.binary()), ("ends", pa.binary())])
+SPANS = pa.schema([("g", pa.int32()), ("rows", pa.binary()), ("starts", pa.binary()), ("ends", pa.binary())])
 
 
 def covered(names: np.ndarray, docs: np.ndarray, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -341,7 +346,7 @@ def removal_spans(segments: DataFrame) -> DataFrame:
         if not whole:
             return
         column = {f.name: [b.column(f.name) for b in whole] for f in SEGMENTS}
-        kinds = {"names": np.uint64, "docs": np.int64, "groups": np.int32, "starts": np.int64, "lengths": np.uint16,
+        kinds = {"names": np.uint64, "docs": np.int64, "rows": np.int32, "groups": np.int32, "starts": np.int64, "lengths": np.uint16,
                  "text": np.uint8}
         got = {k: np.concatenate([unpacked(c, t) for c in column[k]]) for k, t in kinds.items()}
         bounds = np.concatenate([[0], np.cumsum(got["lengths"], dtype=np.int64)]).astype(np.int32)
@@ -351,9 +356,10 @@ def removal_spans(segments: DataFrame) -> DataFrame:
         at, start, end = (np.concatenate(x) for x in zip(*parts))
         for g, x in split_by(got["groups"][at].astype(np.int64)):
             base = got["starts"][at[x]]
-            yield packed([(g, *merged(got["docs"][at[x]], base + start[x], base + end[x]))], SPANS)
+            row = got["rows"][at[x]].astype(np.int64)
+            yield packed([(g, *merged(row, base + start[x], base + end[x]))], SPANS)
 
-    return segments.mapInArrow(run, "g int, docs binary, starts binary, ends binary")
+    return segments.mapInArrow(run, "g int, rows binary, starts binary, ends binary")
 
 
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -364,17 +370,18 @@ def cut_out(rows: DataFrame, keep_text: bool) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs: list[tuple[np.ndarray, ...]] = []
-        spans = None
+        spans, first_row = None, 0
         for batch, side in side_first(batches, CUT_BYTES):
             if side is not None:
-                blobs.append(tuple(unpacked(side.field(k), np.int64) for k in ("docs", "starts", "ends")))
+                blobs.append(tuple(unpacked(side.field(k), np.int64) for k in ("rows", "starts", "ends")))
                 continue
             if spans is None:
                 empty = [tuple(np.zeros(0, np.int64) for _ in range(3))]
                 spans = merged(*(np.concatenate(x) for x in zip(*(blobs or empty))))
             data, offsets = text_bytes(batch.column("text"))
-            ids = np.asarray(batch.column("doc_id").fill_null(LOWEST))
-            first, last = np.searchsorted(spans[0], ids), np.searchsorted(spans[0], ids, side="right")
+            row = np.arange(first_row, first_row + batch.num_rows)
+            first_row += batch.num_rows
+            first, last = np.searchsorted(spans[0], row), np.searchsorted(spans[0], row, side="right")
             removed, digests, kept = [], [], []
             for k, (a, z) in enumerate(zip(first, last)):
                 raw = data[offsets[k]:offsets[k + 1]].tobytes()

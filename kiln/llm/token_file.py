@@ -17,7 +17,7 @@ Distinct units are encoded once per worker (``pretokens.Units``); a unit of
 ASCII letters goes straight to the tokenizer's model.
 
 Defined cases: null text is empty and holds the end id only; repeated doc_ids
-stand next to each other, ordered by text; an empty table writes no shard and
+stand next to each other, ordered by text; null ones come first; an empty table writes no shard and
 reads as an empty result; other columns are ignored.
 """
 
@@ -40,6 +40,8 @@ from .common import Workspace, doc_columns, slices, strings
 from .pretokens import Cache, Units
 
 END_ID = 2
+#: stands for a null doc_id in a file
+NO_ID = np.iinfo(np.int64).min
 #: text bytes encoded at once
 TOKEN_SLICE = 8 << 20
 
@@ -102,7 +104,7 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int = END
                 os.makedirs(target, exist_ok=True)
                 ids_file = open(f"{name}.ids.{own}", "wb")
             coded = coder.encode(strings(batch.column(1)))
-            doc_ids.append(np.asarray(batch.column(0), np.int64))
+            doc_ids.append(np.asarray(batch.column(0).fill_null(NO_ID), np.int64))
             counts.append(np.asarray(pc.binary_length(coded), np.int64) // coder.dtype.itemsize + 1)
             for x in coded:
                 ids_file.write(x.as_buffer())
@@ -151,7 +153,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                     z = min(a + 10_000, len(ends))
                     sums = [zlib.crc32(ids[s:e].astype("<u4").tobytes()) for s, e in zip(starts[a:z], ends[a:z])]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.asarray(doc_ids[a:z])), pa.array(starts[a:z] + row["base"]),
+                        [pa.array(np.asarray(doc_ids[a:z]), mask=np.asarray(doc_ids[a:z]) == NO_ID), pa.array(starts[a:z] + row["base"]),
                          pa.array(ends[a:z] - starts[a:z]), pa.array(sums, pa.int64())],
                         ["doc_id", "start", "n_tokens", "ids_crc32"])
 
