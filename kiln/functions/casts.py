@@ -23,8 +23,14 @@ NUM_PREFIX = r"^\s*([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)"
 HAS_LETTER = r"[A-Za-z]"
 
 
+LARGEST, SMALLEST = (1 << 63) - 1, -(1 << 63)
+
+
 def _lenient_int(x) -> Column:
-    return F.coalesce(F.regexp_extract(c(x), INT_PREFIX, 1).try_cast("bigint"), F.lit(0).cast("bigint"))
+    """The prefix integer (0 if none); beyond 64 bits the nearest one that fits."""
+    digits = F.regexp_extract(c(x), INT_PREFIX, 1)
+    beyond = F.when(digits == "", F.lit(0)).when(digits.startswith("-"), F.lit(SMALLEST)).otherwise(F.lit(LARGEST))
+    return F.coalesce(digits.try_cast("bigint"), beyond.cast("bigint"))
 
 
 def _lenient_real(x) -> Column:

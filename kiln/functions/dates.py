@@ -11,8 +11,16 @@ from pyspark.sql import functions as F
 
 from .text import c, nb
 
-MICROS_PER_DAY = 86_400_000_000.0
-ISO_DATE_HEAD = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
+MS_PER_DAY = 86_400_000
+# Fixed patterns (they define which texts are instants): an ISO date with any day up to 31, optionally a time up to
+# hour 24 and an offset; a time alone; a day number
+ISO_INSTANT = (r"^[0-9]{4}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])[\sT]*(?:(?:[01][0-9]|2[0-4]):[0-5][0-9]"
+               r"(?::[0-5][0-9](?:\.[0-9]+)?)?\s*(?:[+-](?:0[0-9]|1[0-4]):[0-5][0-9]\s*|[Zz]\s*)?)?\z")
+TIME_ALONE = r"^[0-9]{2}:"
+DAY_NUMBER = r"^\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*\z"
+OFFSET = r"([+-])([0-9]{2}):([0-9]{2})\s*\z"
+# Julian day numbers: the last valid one, and midnight of 1970-01-01 in milliseconds
+LAST_DAY_NUMBER, EPOCH_MS = 5373484.5, 210_866_760_000_000
 
 
 def mdy_to_iso(x) -> Column:
@@ -37,15 +45,42 @@ def timestamp_shape(x) -> Column:
     return F.when(s.like("____-__-__ __:__%"), F.trim(s))
 
 
-def instant(x) -> Column:
-    """Parse ISO-like text to a timestamp; anything not starting YYYY-MM-DD is NULL."""
+def _int(text: Column) -> Column:
+    return F.coalesce(text.try_cast("bigint"), F.lit(0))
+
+
+def _iso_ms(s: Column) -> Column:
+    """Milliseconds since 1970 of text matching ``ISO_INSTANT``; day 30 or 31 of a shorter month runs into the next."""
+    months = _int(F.substring(s, 1, 4)) * 12 + _int(F.substring(s, 6, 2)) - (1970 * 12 + 1)
+    days = F.unix_date(F.add_months(F.lit("1970-01-01").cast("date"), months.cast("int"))) \
+        + _int(F.substring(s, 9, 2)) - 1
+    time = F.regexp_replace(F.substring(s, 11, 1 << 30), r"^[\sT]+", "")
+    minutes = _int(F.substring(time, 1, 2)) * 60 + _int(F.substring(time, 4, 2))
+    seconds = F.coalesce(F.regexp_extract(time, r"^[0-9]{2}:[0-9]{2}:([0-9]{2}(?:\.[0-9]+)?)", 1).try_cast("double"),
+                         F.lit(0.0))
+    offset = _int(F.regexp_extract(time, OFFSET, 2)) * 60 + _int(F.regexp_extract(time, OFFSET, 3))
+    offset = F.when(F.regexp_extract(time, OFFSET, 1) == "-", -offset).otherwise(offset)
+    timed = F.when(time != "", (minutes - offset) * 60_000 + F.floor(seconds * 1000 + 0.5)).otherwise(F.lit(0))
+    return (days.cast("bigint") * MS_PER_DAY + timed).cast("bigint")
+
+
+def instant_ms(x) -> Column:
+    """Milliseconds since 1970-01-01 of date text; NULL when it is no instant.
+
+    ISO dates and times (days up to 31 in any month, hour 24, offsets), times alone (on 2000-01-01) and Julian day
+    numbers are read; 'now' and years before 0000 are not.
+    """
     s = c(x)
-    return F.when(s.rlike(ISO_DATE_HEAD), s.try_cast("timestamp"))
+    full = F.when(s.rlike(TIME_ALONE), F.concat(F.lit("2000-01-01 "), s)).otherwise(s)
+    number = F.when(s.rlike(DAY_NUMBER), F.trim(F.regexp_replace(s, r"\s", "")).try_cast("double"))
+    return (F.when(full.rlike(ISO_INSTANT), _iso_ms(full))
+            .when((number >= 0) & (number < LAST_DAY_NUMBER),
+                  F.floor(number * MS_PER_DAY + 0.5).cast("bigint") - EPOCH_MS))
 
 
 def day_diff(later, earlier) -> Column:
     """T5: fractional days from ``earlier`` to ``later``; NULL if either is missing."""
-    return (F.unix_micros(instant(later)) - F.unix_micros(instant(earlier))) / F.lit(MICROS_PER_DAY)
+    return (instant_ms(later) - instant_ms(earlier)) / F.lit(float(MS_PER_DAY))
 
 
 def before_flag(later, earlier) -> Column:
@@ -55,9 +90,9 @@ def before_flag(later, earlier) -> Column:
 
 def overdue_flag(status, received, requested, as_of) -> Column:
     """Open, not received, requested before the ``as_of`` instant."""
-    as_of_col = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
+    as_of_ms = F.unix_millis(as_of.cast("timestamp")) if isinstance(as_of, Column) else instant_ms(F.lit(as_of))
     return (F.when((c(status) == "open") & c(received).isNull() & c(requested).isNotNull()
-                   & (instant(requested) < as_of_col), F.lit(1))
+                   & (instant_ms(requested) < as_of_ms), F.lit(1))
             .otherwise(F.lit(0)))
 
 

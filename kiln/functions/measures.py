@@ -29,14 +29,36 @@ def neg_flag(x) -> Column:
     return F.when(z(x) < 0, F.lit(1)).otherwise(F.lit(0))
 
 
-def exact_sum(x, scale: int = 6) -> Column:
+#: amounts below this go through decimal: 38 digits with 6 decimals hold 10**12 such values
+DECIMAL_LIMIT = 1e20
+
+
+def exact_parts(x) -> tuple[Column, Column]:
+    """(decimal part, rest as double) of an amount; both can be summed and combined by ``exact_total``.
+
+    The decimal part is the amount to 6 decimals where it is below ``DECIMAL_LIMIT``; the rest is what that leaves,
+    or the whole amount beyond it. Nothing is dropped and no cast can fail.
+    """
+    v = c(x).cast("double")
+    fits = F.abs(v) < DECIMAL_LIMIT
+    part = F.when(fits, v.cast("decimal(38,6)"))
+    return part, F.when(fits, v - part.cast("double")).otherwise(v)
+
+
+def exact_total(part_sum, rest_sum) -> Column:
+    """The sum from summed parts; NULL when there was no amount."""
+    return F.coalesce(c(part_sum).cast("double"), F.lit(0.0)) + c(rest_sum)
+
+
+def exact_sum(x) -> Column:
     """Sum of money-like doubles that does not depend on row order.
 
-    Double addition is order dependent, and Spark adds partitions in whatever
-    order tasks finish; summing in decimal makes the total reproducible run to
-    run and cluster to cluster.
+    Double addition is order dependent, and Spark adds partitions in whatever order tasks finish. Amounts with up to
+    6 decimals are summed in decimal, so their total is reproducible run to run and cluster to cluster; smaller
+    fractions and amounts beyond ``DECIMAL_LIMIT`` are added as doubles.
     """
-    return F.sum(c(x).cast(f"decimal(38,{scale})")).cast("double")
+    part, rest = exact_parts(x)
+    return exact_total(F.sum(part), F.sum(rest))
 
 
 def positive_part(x) -> Column:

@@ -33,10 +33,6 @@ def y_flag(x) -> Column:
     return F.when(F.upper(F.trim(c(x))) == "Y", F.lit(1)).otherwise(F.lit(0))
 
 
-def is_blank(x) -> Column:
-    return nb(x).isNull()
-
-
 def tier(x) -> Column:
     """Customer tier canonical form; unknown non-blank spellings pass through trimmed."""
     squashed = F.lower(F.regexp_replace(F.trim(c(x)), "[- ]", ""))

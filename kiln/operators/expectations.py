@@ -1,12 +1,11 @@
 """Declarative expectations evaluated as DataFrames of failure counts.
 
 Four kinds: not_null, unique, accepted_values, relationships (optionally
-scoped by a ``where`` filter). The not_null checks of one table are folded
-into a single conditional sum (one scan per table). accepted_values counts
-distinct unexpected values: it filters to the unexpected rows first (pushed
-down, one column read) and then aggregates, instead of a distinct aggregate
-inside the shared pass (which Spark would answer by expanding every row).
-unique and relationships are a grouped count and an anti join.
+scoped by a ``where`` filter). A suite reads every table once: each row emits
+the few (check, value) facts its checks need (a missing value, an unexpected
+value, a key, a parent's key), which are counted by (check, value) and then
+by check. Both counts combine map-side, so hot keys are no hot tasks, and a
+relationship is a count of child and parent facts instead of a join.
 """
 
 from __future__ import annotations
@@ -14,7 +13,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 RESULT_COLUMNS = ["model_name", "column_name", "test_name", "failures"]
@@ -63,68 +62,80 @@ class Suite:
         return out
 
 
-def _row_failure(ck) -> Column:
-    """not_null: failing rows."""
-    return F.sum(F.when(F.col(ck.column).isNull(), 1).otherwise(0)).cast("bigint")
+def suite_models(suite: Suite) -> list[str]:
+    """The tables that a suite reads, as child or parent."""
+    return list(dict.fromkeys(n for ck in suite.checks for n in (ck.model, getattr(ck, "to_model", None)) if n))
 
 
-def _accepted(df: DataFrame, ck: AcceptedValues) -> DataFrame:
-    """Number of distinct non-NULL values outside the accepted list (NULL passes)."""
+def _child_facts(k: int, ck) -> Column:
+    """The fact that one row contributes to check ``k``; NULL when it contributes none."""
     col = F.col(ck.column)
-    bad = df.where(col.isNotNull() & ~col.isin(*ck.values)).select(col).distinct()
-    return bad.agg(F.count(F.lit(1)).cast("bigint").alias("failures")) \
-        .select(F.lit(ck.model).alias("model_name"), F.lit(ck.column).alias("column_name"),
-                F.lit(ck.name).alias("test_name"), "failures")
-
-
-def _row_level(model: str, df: DataFrame, checks: list) -> DataFrame | None:
-    rl = [ck for ck in checks if isinstance(ck, NotNull)]
-    if not rl:
-        return None
-    agg = df.agg(*[F.coalesce(_row_failure(ck), F.lit(0).cast("bigint")).alias(f"c{i}")
-                   for i, ck in enumerate(rl)])
-    stack = ", ".join(f"'{ck.column}', '{ck.name}', c{i}" for i, ck in enumerate(rl))
-    return agg.selectExpr(f"stack({len(rl)}, {stack}) as (column_name, test_name, failures)") \
-        .select(F.lit(model).alias("model_name"), "column_name", "test_name", "failures")
-
-
-def _unique(df: DataFrame, ck: Unique) -> DataFrame:
-    """Number of distinct non-NULL values that occur more than once."""
-    dup = (df.where(F.col(ck.column).isNotNull()).groupBy(ck.column).count()
-           .where(F.col("count") > 1))
-    return dup.agg(F.count(F.lit(1)).cast("bigint").alias("failures")) \
-        .select(F.lit(ck.model).alias("model_name"), F.lit(ck.column).alias("column_name"),
-                F.lit(ck.name).alias("test_name"), "failures")
-
-
-def _relationship(df: DataFrame, parent: DataFrame, ck: Relationship) -> DataFrame:
-    """Child rows (after ``where``) whose non-NULL key is missing from the parent."""
-    child = df.where(F.expr(ck.where)) if ck.where else df
-    child = child.where(F.col(ck.column).isNotNull()).select(F.col(ck.column).alias("__k"))
-    par = parent.select(F.col(ck.to_column).alias("__p"))
-    missing = child.join(par, child["__k"] == par["__p"], "left_anti")
-    return missing.agg(F.count(F.lit(1)).cast("bigint").alias("failures")) \
-        .select(F.lit(ck.model).alias("model_name"), F.lit(ck.column).alias("column_name"),
-                F.lit(ck.name).alias("test_name"), "failures")
+    if isinstance(ck, NotNull):
+        emits, value = col.isNull(), F.lit(None)
+    elif isinstance(ck, AcceptedValues):
+        emits, value = col.isNotNull() & ~col.isin(*ck.values), col
+    else:
+        emits, value = col.isNotNull(), col
+        if isinstance(ck, Relationship) and ck.where:
+            emits = emits & F.expr(ck.where)
+    return F.when(emits, _fact(k, value, 1, 0))
+
+
+def _fact(k: int, value: Column, child: int, parent: int) -> Column:
+    return F.struct(F.lit(k).alias("k"), value.cast("string").alias("value"), F.lit(child).cast("bigint").alias("n"),
+                    F.lit(parent).cast("bigint").alias("parents"))
+
+
+def _facts(tables: dict[str, DataFrame], checks: list) -> DataFrame:
+    """One pass over every table that a check reads, as child or as parent."""
+    by_table: dict[str, list[Column]] = {}
+    for k, ck in enumerate(checks):
+        by_table.setdefault(ck.model, []).append(_child_facts(k, ck))
+        if isinstance(ck, Relationship):
+            key = F.col(ck.to_column)
+            by_table.setdefault(ck.to_model, []).append(F.when(key.isNotNull(), _fact(k, key, 0, 1)))
+    parts = [tables[name].select(F.explode(F.array_compact(F.array(*facts))).alias("f")).select("f.*")
+             for name, facts in by_table.items()]
+    return reduce(DataFrame.union, parts)
 
 
 def run(tables: dict[str, DataFrame], suite: Suite) -> DataFrame:
-    """One row per check: model, column, test, number of failing rows (0 = pass)."""
-    parts = []
-    for model, checks in suite.by_model().items():
-        df = tables[model]
-        rl = _row_level(model, df, checks)
-        if rl is not None:
-            parts.append(rl)
-        for ck in checks:
-            if isinstance(ck, AcceptedValues):
-                parts.append(_accepted(df, ck))
-            elif isinstance(ck, Unique):
-                parts.append(_unique(df, ck))
-            elif isinstance(ck, Relationship):
-                parts.append(_relationship(df, tables[ck.to_model], ck))
-    # every part selects RESULT_COLUMNS in the same order: positional union, no per-step name matching
-    return reduce(DataFrame.union, parts)
+    """One row per check: model, column, test, number of failures (0 = pass).
+
+    not_null and relationships count rows; unique and accepted_values count distinct offending values.
+    """
+    checks = suite.checks
+    spark = next(iter(tables.values())).sparkSession
+    listed = [F.struct(*[F.lit(v).alias(n) for n, v in
+                         (("k", k), ("model_name", ck.model), ("column_name", ck.column), ("test_name", ck.name))])
+              for k, ck in enumerate(checks)]
+    names = spark.range(1).select(F.inline(F.array(*listed)))
+    kinds = [[k for k, ck in enumerate(checks) if isinstance(ck, kind)]
+             for kind in (NotNull, Unique, AcceptedValues, Relationship)]
+    is_kind = [F.col("k").isin(*ks) if ks else F.lit(False) for ks in kinds]
+    by_value = _facts(tables, checks).groupBy("k", "value").agg(F.sum("n").alias("n"), F.sum("parents").alias("parents"))
+    failures = (F.when(is_kind[0], F.col("n")).when(is_kind[1], (F.col("n") > 1).cast("bigint"))
+                .when(is_kind[2], F.lit(1).cast("bigint"))
+                .when(is_kind[3], F.when(F.col("parents") == 0, F.col("n")).otherwise(F.lit(0))))
+    counted = by_value.groupBy("k").agg(F.sum(failures).alias("failures"))
+    # the list of checks is bounded by the suite
+    return names.join(F.broadcast(counted), "k", "left").select("model_name", "column_name", "test_name",
+                F.coalesce("failures", F.lit(0).cast("bigint")).alias("failures"))
+
+
+class ExpectationError(AssertionError):
+    """Some expectations failed; ``failures`` lists (model, column, test, failing count)."""
+
+    def __init__(self, failures: list[tuple]):
+        self.failures = failures
+        super().__init__("; ".join(f"{m}.{c} {t}: {n}" for m, c, t, n in failures))
+
+
+def enforce(results: DataFrame) -> None:
+    """Raise ``ExpectationError`` unless every check passed (reads one row per check)."""
+    failed = [tuple(r) for r in results.where(F.col("failures") > 0).select(*RESULT_COLUMNS).collect()]
+    if failed:
+        raise ExpectationError(sorted(failed))
 
 
 def failing_rows(tables: dict[str, DataFrame], ck) -> DataFrame:
@@ -139,7 +150,3 @@ def failing_rows(tables: dict[str, DataFrame], ck) -> DataFrame:
     child = df.where(F.expr(ck.where)) if ck.where else df
     par = tables[ck.to_model].select(F.col(ck.to_column).alias("__p"))
     return child.where(F.col(ck.column).isNotNull()).join(par, F.col(ck.column) == par["__p"], "left_anti")
-
-
-def empty_results(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], "model_name string, column_name string, test_name string, failures bigint")

@@ -5,7 +5,7 @@ A raw value is matched to the active mapping of one type on
 raw text is kept. The join side is one slice of the taxonomy. Slices differ
 wildly in size (a handful of regions vs. one row per product spelling), so a
 ``Taxonomy`` measures every slice once (one grouped count) and broadcasts only
-the slices within the row bound; larger slices go through a shuffle join.
+the slices within the row and byte bounds; larger slices go through a shuffle join.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import c, nb
-from .sizing import JoinSide, unwrap
+from .sizing import DEFAULT_MAX_BROADCAST_BYTES, JoinSide, row_bytes, unwrap
 
 FALLBACKS = ("trim", "blank_null", "upper")
 
@@ -38,21 +38,34 @@ class MappingRule:
 class Taxonomy:
     """A standardised mapping table plus the measured size of each active slice."""
 
-    def __init__(self, df: DataFrame, max_broadcast_rows: int, slice_rows: dict[str, int] | None = None):
+    def __init__(self, df: DataFrame, max_broadcast_rows: int, max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+                 slice_rows: dict[str, int] | None = None, on_duplicate: str = "fan_out"):
+        if on_duplicate not in ("fan_out", "raise"):
+            raise ValueError(f"unknown choice for duplicate mappings {on_duplicate!r}")
         self.df = df
-        self.max_broadcast_rows = max_broadcast_rows
-        self._rows = slice_rows
-
-    def slice_rows(self) -> dict[str, int]:
-        if self._rows is None:
-            counted = (self.df.where(F.col("is_active") == 1).groupBy("mapping_type")
-                       .agg(F.count(F.lit(1)).alias("n")).collect())  # one row per mapping type
-            self._rows = {r["mapping_type"]: r["n"] for r in counted}
-        return self._rows
+        self.max_broadcast_rows, self.max_broadcast_bytes = max_broadcast_rows, max_broadcast_bytes
+        self.on_duplicate = on_duplicate
+        self._sizes = None if slice_rows is None else {k: (n, 0) for k, n in slice_rows.items()}
+
+    def slice_sizes(self) -> dict[str, tuple[int, int]]:
+        """(rows, bytes) of every active slice."""
+        if self._sizes is None:
+            if self.on_duplicate == "raise":
+                twice = duplicate_mappings(self.df).orderBy("mapping_type", "match_key").limit(10).collect()
+                if twice:
+                    raise ValueError("several active mappings of one key: " + ", ".join(
+                        f"{r['mapping_type']} {r['match_key']!r}" for r in twice))
+            active = self.df.where(F.col("is_active") == 1).select("mapping_type", "raw_value", "standard_value")
+            counted = (active.groupBy("mapping_type")
+                       .agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(active)).alias("size"))
+                       .collect())  # one row per mapping type
+            self._sizes = {r["mapping_type"]: (r["n"], r["size"]) for r in counted}
+        return self._sizes
 
     def slice(self, mapping_type: str) -> JoinSide:
+        rows, size = self.slice_sizes().get(mapping_type, (0, 0))
         return JoinSide(_slice(self.df, mapping_type),
-                        self.slice_rows().get(mapping_type, 0) <= self.max_broadcast_rows)
+                        rows <= self.max_broadcast_rows and size <= self.max_broadcast_bytes)
 
 
 def _slice(taxonomy: DataFrame, mapping_type: str) -> DataFrame:

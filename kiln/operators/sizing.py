@@ -1,34 +1,45 @@
 """Broadcast only behind a size check.
 
 A join side is broadcast only when its row count is known and at most
-``max_rows``; a larger side carries an explicit sort-merge (``merge``) hint,
+``max_rows`` and its values take at most ``max_bytes``; a larger side carries an explicit sort-merge (``merge``) hint,
 so neither the static planner (whose estimate is the compressed file size)
-nor AQE ships it to every executor; AQE skew splitting still applies. Counts
-come from one small job on the side itself (cheap for written tables: parquet
-footers / a scan of a dimension).
+nor AQE ships it to every executor; AQE skew splitting still applies. Both
+come from one small job on the side itself (a scan of a dimension).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-CONF_KEY = "spark.kiln.broadcast.maxRows"
+DEFAULT_MAX_BROADCAST_ROWS, DEFAULT_MAX_BROADCAST_BYTES = 2_000_000, 256 << 20
+CONF_KEY, BYTES_CONF_KEY = "spark.kiln.broadcast.maxRows", "spark.kiln.broadcast.maxBytes"
+#: what a row costs in a hash table besides its text
+ROW_BYTES = 48
 
 
 def max_broadcast_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(CONF_KEY, str(DEFAULT_MAX_BROADCAST_ROWS)))
 
 
-def bounded_broadcast(df: DataFrame, n_rows: int | None, max_rows: int) -> DataFrame:
-    """``F.broadcast(df)`` when ``n_rows`` is known and within the bound; else a shuffle-merge hint."""
-    if n_rows is not None and n_rows <= max_rows:
-        return F.broadcast(df)
-    return df.hint("merge")
+def max_broadcast_bytes(spark: SparkSession) -> int:
+    return int(spark.conf.get(BYTES_CONF_KEY, str(DEFAULT_MAX_BROADCAST_BYTES)))
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """About what a row of ``df`` takes: its text, 8 bytes for other values, and the row itself."""
+    text = [F.coalesce(F.octet_length(n), F.lit(0)) for n, t in df.dtypes if t == "string"]
+    return reduce(lambda x, y: x + y, text, F.lit(ROW_BYTES + 8 * (len(df.columns) - len(text))).cast("bigint"))
+
+
+def measure(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of a side."""
+    n, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes(df)), F.lit(0))).first()
+    return n, size
 
 
 @dataclass(frozen=True)
@@ -54,15 +65,16 @@ def unwrap(side) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
 
 @dataclass
 class SizeBook:
-    """Row counts of join sides, measured once per run."""
+    """Sizes of join sides, measured once per run."""
 
     max_rows: int
+    max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES
     counts: dict = field(default_factory=dict)
 
-    def rows(self, name: str, df: DataFrame) -> int:
-        if name not in self.counts:
-            self.counts[name] = df.count()
-        return self.counts[name]
+    def fits(self, rows: int, size: int) -> bool:
+        return rows <= self.max_rows and size <= self.max_bytes
 
     def side(self, name: str, df: DataFrame) -> JoinSide:
-        return JoinSide(df, self.rows(name, df) <= self.max_rows)
+        if name not in self.counts:
+            self.counts[name] = measure(df)
+        return JoinSide(df, self.fits(*self.counts[name]))

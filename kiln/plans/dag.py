@@ -11,6 +11,7 @@ chooses broadcast vs shuffle joins.
 from __future__ import annotations
 
 import datetime as _dt
+import threading
 import time
 import uuid
 from dataclasses import dataclass
@@ -19,7 +20,9 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.mapping import Taxonomy
+from ..functions import casts
 from ..operators.sizing import SizeBook
+from ..operators.sizing import max_broadcast_bytes as configured_max_broadcast_bytes
 from ..operators.sizing import max_broadcast_rows as configured_max_broadcast_rows
 from . import dims, facts, marts, quality, staging
 
@@ -34,11 +37,12 @@ class ModelSpec:
     inputs: tuple[str, ...]
     fn: Callable[..., DataFrame]
     layer: str
-    keys: tuple[str, ...] = ()        # grain / partitioning hint for written tables
+    keys: tuple[str, ...] = ()        # written tables are sorted by these within files (min/max pruning)
 
 
-def _stg(name, raw, fn, with_tax=True):
-    return ModelSpec(name, (raw, "stg_taxonomy_lookup") if with_tax else (raw,), fn, STAGING)
+def _stg(name, raw, fn, with_tax=True, reals=False):
+    inputs = (raw, "stg_taxonomy_lookup") if with_tax else (raw,)
+    return ModelSpec(name, (*inputs, "@real") if reals else inputs, fn, STAGING)
 
 
 MODELS: list[ModelSpec] = [
@@ -46,15 +50,15 @@ MODELS: list[ModelSpec] = [
     _stg("stg_products", "products_raw", staging.stg_products),
     _stg("stg_product_hierarchy", "product_hierarchy_raw", staging.stg_product_hierarchy),
     _stg("stg_customers", "customers_raw", staging.stg_customers),
-    _stg("stg_sales_orders", "sales_orders_raw", staging.stg_sales_orders),
-    _stg("stg_retail_pos", "retail_pos_raw", staging.stg_retail_pos),
-    _stg("stg_marketing_campaigns", "marketing_campaigns_raw", staging.stg_marketing_campaigns),
-    _stg("stg_marketing_performance", "marketing_performance_raw", staging.stg_marketing_performance),
+    _stg("stg_sales_orders", "sales_orders_raw", staging.stg_sales_orders, reals=True),
+    _stg("stg_retail_pos", "retail_pos_raw", staging.stg_retail_pos, reals=True),
+    _stg("stg_marketing_campaigns", "marketing_campaigns_raw", staging.stg_marketing_campaigns, reals=True),
+    _stg("stg_marketing_performance", "marketing_performance_raw", staging.stg_marketing_performance, reals=True),
     _stg("stg_inventory_snapshots", "inventory_snapshots_raw", staging.stg_inventory_snapshots),
     _stg("stg_warehouse_locations", "warehouse_locations_raw", staging.stg_warehouse_locations),
     _stg("stg_suppliers", "suppliers_raw", staging.stg_suppliers),
-    _stg("stg_purchase_orders", "purchase_orders_raw", staging.stg_purchase_orders),
-    _stg("stg_shipments", "shipments_raw", staging.stg_shipments),
+    _stg("stg_purchase_orders", "purchase_orders_raw", staging.stg_purchase_orders, reals=True),
+    _stg("stg_shipments", "shipments_raw", staging.stg_shipments, reals=True),
     _stg("stg_shipment_events", "shipment_events_raw", staging.stg_shipment_events, with_tax=False),
     _stg("stg_carrier_performance", "carrier_performance_raw", staging.stg_carrier_performance),
     ModelSpec("dim_product", ("stg_products", "stg_product_hierarchy"), dims.dim_product, DIM, ("product_sku",)),
@@ -110,6 +114,14 @@ def dependencies(name: str) -> list[str]:
     return seen
 
 
+def raw_inputs(name: str) -> list[str]:
+    """The raw extracts that ``name`` (a model or an extract) is derived from."""
+    if name not in SPECS:
+        return [name]
+    found = [i for n in dependencies(name) for i in SPECS[n].inputs if i not in SPECS and not i.startswith("@")]
+    return list(dict.fromkeys(found))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder for written tables: the cluster's ``spark.checkpoint.dir`` (never a machine-local temp)."""
     from ..session import ensure_checkpoint_dir
@@ -121,39 +133,79 @@ class GoldLayer:
     """Lazy access to every model of the gold layer over one set of raw extracts."""
 
     def __init__(self, raw: dict[str, DataFrame], as_of: str | None = None,
-                 max_broadcast_rows: int | None = None):
+                 max_broadcast_rows: int | None = None, strict_reals: bool = False,
+                 on_duplicate_mapping: str = "fan_out"):
+        """``strict_reals``: text that is not a plain number becomes NULL instead of its numeric prefix.
+
+        ``on_duplicate_mapping``: "fan_out" joins every active mapping of a key, as the source does; "raise" stops
+        with a ``ValueError`` naming keys that have several.
+        """
         self.raw = dict(raw)
         self.spark = next(iter(raw.values())).sparkSession
         # overdue is judged against this instant; default: now (UTC)
         self.as_of = as_of or _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
         self._built: dict[str, DataFrame] = {}
         self._written: set[str] = set()
+        self._landed: set[str] = set()
+        self._lock = threading.RLock()
+        #: one folder per layer: everything it writes is replaced in place and goes with ``cleanup``
+        self.run_folder = f"{shared_folder(self.spark)}/kiln-{uuid.uuid4().hex[:12]}"
         self.sizes = SizeBook(max_broadcast_rows if max_broadcast_rows is not None
-                              else configured_max_broadcast_rows(self.spark))
+                              else configured_max_broadcast_rows(self.spark),
+                              configured_max_broadcast_bytes(self.spark))
         self._taxonomy: Taxonomy | None = None
+        self.real = casts.strict_real if strict_reals else casts.alpha_reject_real
+        self.on_duplicate_mapping = on_duplicate_mapping
 
     def _input(self, consumer: ModelSpec, name: str):
         """An input as the consumer should join it: taxonomy slices and dimensions size-checked."""
         if name == "@as_of":
             return self.as_of
+        if name == "@real":
+            return self.real
         df = self[name]
         if name == "stg_taxonomy_lookup" and consumer.layer == STAGING:
             if self._taxonomy is None or self._taxonomy.df is not df:
-                self._taxonomy = Taxonomy(df, self.sizes.max_rows)
+                self._taxonomy = Taxonomy(df, self.sizes.max_rows, self.sizes.max_bytes,
+                                          on_duplicate=self.on_duplicate_mapping)
             return self._taxonomy
         if name in SIZED_SIDES and (consumer.layer == FACT or (consumer.layer == DQ and SPECS[name].layer == DIM)):
             return self.sizes.side(name, df)
         return df
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name in self._built:
-            return self._built[name]
-        if name in self.raw:
-            return self.raw[name]
-        spec = SPECS[name]
-        df = spec.fn(*[self._input(spec, i) for i in spec.inputs])
-        self._built[name] = df
-        return df
+        with self._lock:
+            if name in self._built:
+                return self._built[name]
+            if name in self.raw:
+                return self.raw[name]
+            spec = SPECS[name]
+            df = spec.fn(*[self._input(spec, i) for i in spec.inputs])
+            self._built[name] = df
+            return df
+
+    def _replaced(self, name: str, df: DataFrame) -> None:
+        """``name`` now reads a file: models built on its old lineage are built anew when asked for."""
+        with self._lock:
+            for m in [m for m in self._built if m not in self._written and name in (*dependencies(m), *raw_inputs(m))]:
+                del self._built[m]
+            if name in SPECS:
+                self._built[name] = df
+                self._written.add(name)
+                self.sizes.counts.pop(name, None)
+            else:
+                self.raw[name] = df
+                self._landed.add(name)
+            if name == "stg_taxonomy_lookup":
+                self._taxonomy = None
+
+    def ensure(self, *names: str) -> GoldLayer:
+        """Write what these models (or raw extracts) need: their raw extracts, the mapping table and table models."""
+        self.land_raw(list(dict.fromkeys(r for n in names for r in raw_inputs(n))))
+        models = [n for n in names if n in SPECS]
+        if models:
+            self.materialize(models, views=["stg_taxonomy_lookup"])
+        return self
 
     def is_view(self, name: str) -> bool:
         return name in SPECS and SPECS[name].layer in VIEW_LAYERS
@@ -180,15 +232,16 @@ class GoldLayer:
                     order.append(d)
         todo = [n for n in order if n not in self._written and (
             SPECS[n].layer not in VIEW_LAYERS or views is True or (not isinstance(views, bool) and n in set(views)))]
-        base = f"{(folder or shared_folder(self.spark))}/kiln-{uuid.uuid4().hex[:12]}"
+        base = folder or f"{self.run_folder}/tables"
 
         def write(n: str) -> None:
             t0 = time.perf_counter()
             path = f"{base}/{n}"
-            self[n].write.mode("overwrite").format(fmt).save(path)
-            self._built[n] = self.spark.read.format(fmt).load(path)
-            self._written.add(n)
-            self.sizes.counts.pop(n, None)
+            df = self[n]
+            if SPECS[n].keys:
+                df = df.sortWithinPartitions(*SPECS[n].keys)
+            df.write.mode("overwrite").format(fmt).save(path)
+            self._replaced(n, self.spark.read.format(fmt).load(path))
             if on_written:
                 on_written(n, time.perf_counter() - t0)
 
@@ -209,19 +262,22 @@ class GoldLayer:
                 pending = [n for n in pending if n not in ready]
         return base
 
-    def land_raw(self, folder: str | None = None, fmt: str = "parquet") -> str:
-        """Write the raw extracts once and read them back, so every model plans from file scans."""
-        base = f"{(folder or shared_folder(self.spark))}/kiln-raw-{uuid.uuid4().hex[:12]}"
-        for name, df in list(self.raw.items()):
+    def land_raw(self, names=None, folder: str | None = None, fmt: str = "parquet") -> str:
+        """Write raw extracts (default: all) once and read them back, so every model plans from file scans."""
+        base = folder or f"{self.run_folder}/raw"
+        for name in names or list(self.raw):
+            if name in self._landed:
+                continue
             path = f"{base}/{name}"
-            df.write.mode("overwrite").format(fmt).save(path)
-            self.raw[name] = self.spark.read.format(fmt).load(path)
-        self._built.clear()
-        self._written.clear()
-        self._taxonomy = None
-        self.sizes.counts.clear()
+            self.raw[name].write.mode("overwrite").format(fmt).save(path)
+            self._replaced(name, self.spark.read.format(fmt).load(path))
         return base
 
+    def cleanup(self) -> None:
+        """Delete everything this layer wrote under its run folder; its DataFrames must not be used any more."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.run_folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def register_views(self, names=None) -> None:
         """Expose models as temp views for ad-hoc SQL (``spark.sql('select ... from dim_product')``)."""
         for n, df in self.tables(names).items():

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..operators.expectations import AcceptedValues, NotNull, Relationship, Suite, Unique, run
+from ..operators.expectations import AcceptedValues, NotNull, Relationship, Suite, Unique, enforce, run, suite_models
 
 # The accepted vocabularies of the declared tests.
 MAPPING_TYPES = ("sku_normalization", "warehouse_normalization", "channel", "region", "country", "platform",
@@ -95,9 +95,9 @@ def expectation_results(tables: dict[str, DataFrame], suite: Suite = SUITE) -> D
 
 
 def check_models(suite: Suite = SUITE) -> list[str]:
-    names: list[str] = []
-    for ck in suite.checks:
-        for n in (ck.model, getattr(ck, "to_model", None)):
-            if n and n not in names:
-                names.append(n)
-    return names
+    return suite_models(suite)
+
+
+def enforce_expectations(tables: dict[str, DataFrame], suite: Suite = SUITE) -> None:
+    """The gate of a build: raise ``ExpectationError`` when any check fails."""
+    enforce(expectation_results(tables, suite))

@@ -14,15 +14,24 @@ from pyspark.sql import functions as F
 
 from ..functions import casts, dates
 from ..functions.text import tier, warehouse_type, y_flag
+from ..operators.expectations import AcceptedValues, NotNull, Relationship, Suite, Unique
+from ..operators.expectations import run as run_checks
+from ..operators.expectations import suite_models
 from ..operators.mapping import MappingRule, Taxonomy, duplicate_mappings, standardize
-from . import quality
+from ..sources.raw import RAW_TABLES, read_raw
+from ..sources.sinks import catalog_listing, write_tables
+from . import marts, quality
 
 PARSE_SOURCES = {
     "cast_strict_int": (casts.strict_int, [
-        ("sales_orders_raw", "ordered_units"), ("sales_orders_raw", "shipped_units"), ("retail_pos_raw", "pos_units"),
-        ("retail_pos_raw", "on_order_units"), ("retail_pos_raw", "store_count"),
-        ("inventory_snapshots_raw", "available_qty"), ("shipments_raw", "shipped_units"),
-        ("marketing_performance_raw", "clicks")]),
+        ("sales_orders_raw", "ordered_units"), ("sales_orders_raw", "shipped_units"), ("retail_pos_raw", "store_count"),
+        ("retail_pos_raw", "pos_units"), ("retail_pos_raw", "on_hand_units"), ("retail_pos_raw", "on_order_units"),
+        ("marketing_performance_raw", "impressions"), ("marketing_performance_raw", "clicks"),
+        ("marketing_performance_raw", "video_views"), ("marketing_performance_raw", "conversions"),
+        ("inventory_snapshots_raw", "on_hand_qty"), ("inventory_snapshots_raw", "allocated_qty"),
+        ("inventory_snapshots_raw", "available_qty"), ("inventory_snapshots_raw", "in_transit_qty"),
+        ("inventory_snapshots_raw", "safety_stock_qty"), ("purchase_orders_raw", "ordered_qty"),
+        ("purchase_orders_raw", "received_qty"), ("shipments_raw", "shipped_units")]),
     "cast_positive_int": (casts.positive_int, [
         ("products_raw", "case_pack_qty"), ("suppliers_raw", "lead_time_days"),
         ("carrier_performance_raw", "contracted_transit_days")]),
@@ -56,25 +65,50 @@ def parse_profile(layer, fn, sources) -> DataFrame:
 # (raw table, column, mapping type, fallback when no active mapping matches)
 MAPPING_SOURCES = [
     ("products_raw", "product_sku", "sku_normalization", "trim"),
-    ("inventory_snapshots_raw", "warehouse_id", "warehouse_normalization", "trim"),
-    ("suppliers_raw", "supplier_name", "supplier", "trim"),
+    ("products_raw", "unit_of_measure", "uom", "upper"),
+    ("product_hierarchy_raw", "product_sku", "sku_normalization", "trim"),
     ("customers_raw", "channel", "channel", "blank_null"),
     ("customers_raw", "region", "region", "blank_null"),
     ("customers_raw", "country", "country", "blank_null"),
+    ("sales_orders_raw", "product_sku", "sku_normalization", "trim"),
+    ("retail_pos_raw", "product_sku", "sku_normalization", "trim"),
+    ("marketing_campaigns_raw", "product_sku", "sku_normalization", "trim"),
+    ("marketing_campaigns_raw", "platform", "platform", "blank_null"),
+    ("marketing_campaigns_raw", "region", "region", "blank_null"),
     ("marketing_performance_raw", "platform", "platform", "blank_null"),
+    ("inventory_snapshots_raw", "product_sku", "sku_normalization", "trim"),
+    ("inventory_snapshots_raw", "warehouse_id", "warehouse_normalization", "trim"),
     ("inventory_snapshots_raw", "unit_of_measure", "uom", "upper"),
+    ("warehouse_locations_raw", "warehouse_id", "warehouse_normalization", "trim"),
+    ("warehouse_locations_raw", "region", "region", "blank_null"),
+    ("warehouse_locations_raw", "country", "country", "blank_null"),
+    ("suppliers_raw", "supplier_name", "supplier", "trim"),
+    ("suppliers_raw", "supplier_region", "region", "blank_null"),
+    ("suppliers_raw", "country", "country", "blank_null"),
+    ("purchase_orders_raw", "product_sku", "sku_normalization", "trim"),
+    ("purchase_orders_raw", "warehouse_id", "warehouse_normalization", "trim"),
+    ("shipments_raw", "product_sku", "sku_normalization", "trim"),
+    ("shipments_raw", "warehouse_id", "warehouse_normalization", "trim"),
+    ("carrier_performance_raw", "region", "region", "blank_null"),
 ]
 
 
 def mapping_fallbacks(layer) -> DataFrame:
-    """Distinct raw codes with their standardised value (mapping or fallback) and row counts."""
-    tax = Taxonomy(layer["stg_taxonomy_lookup"], layer.sizes.max_rows)
+    """Distinct raw codes with their standardised value (mapping or fallback) and row counts.
+
+    Rows are counted per distinct code first, and codes are mapped once per mapping type.
+    """
+    tax = Taxonomy(layer["stg_taxonomy_lookup"], layer.sizes.max_rows, layer.sizes.max_bytes)
+    kinds = dict.fromkeys((mtype, fallback) for _, _, mtype, fallback in MAPPING_SOURCES)
     frames = []
-    for t, c, mtype, fallback in MAPPING_SOURCES:
-        src = layer[t].select(F.lit(f"{t}.{c}").alias("source_column"), F.col(c).alias("raw_text"))
-        frames.append(standardize(src, tax, [MappingRule("raw_text", mtype, "value", fallback)]))
+    for mtype, fallback in kinds:
+        texts = [layer[t].select(F.lit(f"{t}.{c}").alias("source_column"), F.col(c).alias("raw_text"))
+                 for t, c, m, f in MAPPING_SOURCES if (m, f) == (mtype, fallback)]
+        counted = reduce(DataFrame.unionByName, texts).groupBy("source_column", "raw_text") \
+            .agg(F.count(F.lit(1)).alias("n"))
+        frames.append(standardize(counted, tax, [MappingRule("raw_text", mtype, "value", fallback)]))
     return reduce(DataFrame.unionByName, frames).groupBy("source_column", "raw_text", "value") \
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("n").alias("n"))
 
 
 def day_diff_profile(layer) -> DataFrame:
@@ -123,20 +157,89 @@ def dq_issue_summary(layer) -> DataFrame:
     return layer.spark.sql(ISSUE_SUMMARY_SQL)
 
 
-QUERIES = {name: (lambda fn, src: (lambda layer: parse_profile(layer, fn, src)))(fn, src)
-           for name, (fn, src) in PARSE_SOURCES.items()}
 def dq_findings_by_policy(layer) -> DataFrame:
     return quality.findings_by_policy(layer["dq_orphan_records"], layer["dq_date_violations"],
                                       layer["dq_value_violations"])
 
 
+#: checks that the data is known to fail, for the failing side of every kind of check
+FAILING_SUITE = Suite([
+    Unique("stg_marketing_campaigns", "campaign_id"), Unique("fct_sales_orders", "product_sku"),
+    NotNull("fct_shipments", "tracking_number"), NotNull("fct_sales_orders", "ordered_units"),
+    AcceptedValues("fct_sales_orders", "order_status", ("shipped",)),
+    AcceptedValues("dim_carrier", "is_active", (1,)),
+    Relationship("fct_sales_orders", "product_sku", "dim_product", "product_sku"),
+    Relationship("fct_shipments", "order_id", "fct_sales_orders", "order_id"),
+    Relationship("fct_retail_pos", "product_sku", "dim_product", "product_sku", "is_known_product = 0"),
+])
+
+
+def expectation_failures(layer) -> DataFrame:
+    """Failure counts of ``FAILING_SUITE``."""
+    return run_checks({m: layer[m] for m in suite_models(FAILING_SUITE)}, FAILING_SUITE)
+
+
+def weeks_of_supply_latest(layer) -> DataFrame:
+    """Weeks of supply from each warehouse's latest snapshot alone."""
+    return marts.mart_inventory_weeks_of_supply(layer["fct_inventory_snapshots"], layer["fct_retail_pos"],
+                                                latest_only=True)
+
+
+def orphan_records_extended(layer) -> DataFrame:
+    """The orphan report with POS, inventory and all shipment keys."""
+    inputs = ["fct_sales_orders", "fct_purchase_orders", "fct_shipments", "fct_marketing_performance",
+              "stg_marketing_campaigns", "stg_product_hierarchy", "dim_product"]
+    return quality.dq_orphan_records(*[layer[n] for n in inputs],
+                                     extended={n: layer[n] for n in quality.EXTENDED_FACTS})
+
+
+def strict_reals(layer) -> DataFrame:
+    """Distinct amount texts with their strict reading."""
+    return parse_profile(layer, casts.strict_real, PARSE_SOURCES["cast_alpha_reject_real"][1])
+
+
+def raw_reader_profile(layer) -> DataFrame:
+    """Rows and filled first and last columns of every raw extract, read back by ``read_raw`` from its landed files."""
+    raw = read_raw(layer.spark, f"{layer.run_folder}/raw")
+    frames = [df.agg(F.count(F.lit(1)).alias("n_rows"), F.count(df.columns[0]).alias("n_first"),
+                     F.count(df.columns[-1]).alias("n_last")).select(F.lit(name).alias("raw_table"), "*")
+              for name, df in raw.items()]
+    return reduce(DataFrame.union, frames)
+
+
+CATALOGUE = ["dim_carrier", "dim_customer", "dim_product", "dim_supplier", "dim_warehouse"]
+
+
+def catalogue(layer) -> DataFrame:
+    """The dimensions saved as catalog tables, listed with their row counts."""
+    database = f"kiln_{layer.run_folder.rsplit('-', 1)[-1]}"
+    write_tables({n: layer[n] for n in CATALOGUE}, database)
+    counts = reduce(DataFrame.union, [
+        layer.spark.table(f"{database}.{n}").agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("table_name"), "*")
+        for n in CATALOGUE])
+    listed = catalog_listing(layer.spark, database).select(F.col("tableName").alias("table_name"))
+    return listed.join(counts, "table_name", "left")
+
+
+FACTS = ["fct_sales_orders", "fct_purchase_orders", "fct_shipments"]
+REPORTS = ["dq_orphan_records", "dq_date_violations", "dq_value_violations"]
+
+#: query -> (function of the layer, the models and raw extracts it reads)
+QUERIES = {name: ((lambda fn, src: (lambda layer: parse_profile(layer, fn, src)))(fn, src), [t for t, _ in src])
+           for name, (fn, src) in PARSE_SOURCES.items()}
 QUERIES.update({
-    "day_diff_profile": day_diff_profile,
-    "on_time_profile": on_time_profile,
-    "scd_overlap": scd_overlap,
-    "taxonomy_duplicate_mappings": taxonomy_duplicate_mappings,
-    "campaign_id_repeats": campaign_id_repeats,
-    "dq_issue_summary": dq_issue_summary,
-    "dq_findings_by_policy": dq_findings_by_policy,
-    "mapping_fallbacks": mapping_fallbacks,
+    "day_diff_profile": (day_diff_profile, FACTS),
+    "on_time_profile": (on_time_profile, ["fct_shipments"]),
+    "scd_overlap": (scd_overlap, ["stg_product_hierarchy"]),
+    "taxonomy_duplicate_mappings": (taxonomy_duplicate_mappings, ["stg_taxonomy_lookup"]),
+    "campaign_id_repeats": (campaign_id_repeats, ["stg_marketing_campaigns"]),
+    "dq_issue_summary": (dq_issue_summary, REPORTS),
+    "dq_findings_by_policy": (dq_findings_by_policy, REPORTS),
+    "mapping_fallbacks": (mapping_fallbacks, ["stg_taxonomy_lookup", *(t for t, *_ in MAPPING_SOURCES)]),
+    "expectation_failures": (expectation_failures, suite_models(FAILING_SUITE)),
+    "mart_inventory_weeks_of_supply_latest": (weeks_of_supply_latest, ["fct_inventory_snapshots", "fct_retail_pos"]),
+    "dq_orphan_records_extended": (orphan_records_extended, ["dq_orphan_records", *quality.EXTENDED_FACTS]),
+    "cast_strict_real": (strict_reals, [t for t, _ in PARSE_SOURCES["cast_alpha_reject_real"][1]]),
+    "raw_reader_profile": (raw_reader_profile, RAW_TABLES),
+    "catalogue": (catalogue, CATALOGUE),
 })

@@ -51,9 +51,43 @@ def orphan_rules() -> dict[str, list[Rule]]:
     }
 
 
+#: the facts that ``extended_orphan_rules`` reports on
+EXTENDED_FACTS = ("fct_retail_pos", "fct_inventory_snapshots", "fct_shipments")
+
+
+def extended_orphan_rules() -> dict[str, list[Rule]]:
+    """Flags that the source's report leaves out: POS, inventory and the other shipment keys."""
+    f = F.col
+
+    def rule(model, issue, flag, record, value, dim):
+        return Rule(model, issue, f(flag) == 0, record, _lit(f"{value} not found in {dim}"), f(value), "quarantine")
+
+    pos = record_key("retailer_id", "product_sku", "week_start_date")
+    inv = record_key("warehouse_id", "product_sku", "snapshot_date")
+    ship = f("shipment_id")
+    return {
+        "fct_retail_pos": [
+            rule("fct_retail_pos", "unknown_retailer", "is_known_retailer", pos, "retailer_id", "dim_customer"),
+            rule("fct_retail_pos", "unknown_product", "is_known_product", pos, "product_sku", "dim_product")],
+        "fct_inventory_snapshots": [
+            rule("fct_inventory_snapshots", "unknown_product", "is_known_product", inv, "product_sku", "dim_product"),
+            rule("fct_inventory_snapshots", "unknown_warehouse", "is_known_warehouse", inv, "warehouse_id",
+                 "dim_warehouse")],
+        "fct_shipments": [
+            rule("fct_shipments", "unknown_customer", "is_known_customer", ship, "customer_id", "dim_customer"),
+            rule("fct_shipments", "unknown_product", "is_known_product", ship, "product_sku", "dim_product"),
+            rule("fct_shipments", "unknown_warehouse", "is_known_warehouse", ship, "warehouse_id", "dim_warehouse"),
+            rule("fct_shipments", "unknown_carrier", "is_known_carrier", ship, "carrier_id", "dim_carrier")],
+    }
+
+
 def dq_orphan_records(fct_sales: DataFrame, fct_po: DataFrame, fct_ship: DataFrame, fct_mkt: DataFrame,
-                      stg_campaigns: DataFrame, stg_hierarchy: DataFrame, dim_product: DataFrame) -> DataFrame:
-    """M30. Foreign-key violations (orphans are kept in the facts, reported here)."""
+                      stg_campaigns: DataFrame, stg_hierarchy: DataFrame, dim_product: DataFrame,
+                      extended: dict[str, DataFrame] | None = None) -> DataFrame:
+    """M30. Foreign-key violations (orphans are kept in the facts, reported here).
+
+    ``extended`` names the facts of ``extended_orphan_rules`` to report as well.
+    """
     tables = {"fct_sales_orders": fct_sales, "fct_purchase_orders": fct_po, "fct_shipments": fct_ship,
               "fct_marketing_performance": fct_mkt}
     parts = [evaluate(tables[name], rules) for name, rules in orphan_rules().items()]
@@ -65,7 +99,8 @@ def dq_orphan_records(fct_sales: DataFrame, fct_po: DataFrame, fct_ship: DataFra
         _lit("stg_product_hierarchy").alias("source_model"), _lit("hierarchy_without_product").alias("issue_type"),
         F.col("product_sku").alias("record_id"), F.col("product_sku").alias("offending_value"),
         _lit("Product SKU exists in hierarchy but not in product master").alias("description"))
-    return union_all(parts + [camp, hier]).select(*FINDING)
+    more = [evaluate(extended[name], rules) for name, rules in extended_orphan_rules().items()] if extended else []
+    return union_all(parts + [camp, hier] + more).select(*FINDING)
 
 
 def date_rules() -> dict[str, list[Rule]]:
@@ -158,39 +193,16 @@ def dq_value_violations(fct_inv: DataFrame, fct_pos: DataFrame, fct_mkt: DataFra
     return union_all(parts).select(*VIOLATION)
 
 
-# Handling policy of every finding (the six-policy vocabulary of operators.findings.POLICIES).
-RULE_POLICIES = {
-    ("fct_sales_orders", "unknown_customer"): "quarantine",
-    ("fct_sales_orders", "unknown_product"): "quarantine",
-    ("fct_purchase_orders", "unknown_supplier"): "quarantine",
-    ("fct_purchase_orders", "unknown_product"): "quarantine",
-    ("fct_purchase_orders", "unknown_warehouse"): "quarantine",
-    ("fct_shipments", "unknown_order"): "quarantine",
-    ("fct_marketing_performance", "unknown_campaign"): "quarantine",
-    ("stg_marketing_campaigns", "unknown_product"): "quarantine",
-    ("stg_product_hierarchy", "hierarchy_without_product"): "quarantine",
-    ("fct_sales_orders", "ship_before_order"): "preserve_and_flag",
-    ("fct_purchase_orders", "received_before_created"): "preserve_and_flag",
-    ("fct_purchase_orders", "overdue_po"): "preserve_and_flag",
-    ("fct_shipments", "delivery_before_ship"): "preserve_and_flag",
-    ("fct_shipments", "late_delivery"): "preserve_and_flag",
-    ("stg_product_hierarchy", "scd_overlap"): "flag_dont_resolve",
-    ("stg_shipment_events", "bad_timestamp"): "coerce_and_flag",
-    ("fct_inventory_snapshots", "negative_on_hand"): "preserve_and_flag",
-    ("fct_inventory_snapshots", "oversold"): "preserve_and_flag",
-    ("fct_inventory_snapshots", "stockout"): "preserve_and_flag",
-    ("fct_inventory_snapshots", "below_safety_stock"): "preserve_and_flag",
-    ("fct_retail_pos", "negative_pos_units"): "preserve_and_flag",
-    ("fct_retail_pos", "negative_retail_on_hand"): "preserve_and_flag",
-    ("fct_marketing_performance", "negative_clicks"): "preserve_and_flag",
-    ("fct_sales_orders", "invalid_ordered_units"): "coerce_and_flag",
-    ("fct_shipments", "missing_tracking"): "preserve_and_flag",
-}
+# Policies of the findings that are no row rules (see the joins above).
+JOIN_POLICIES = [("stg_marketing_campaigns", "unknown_product", "quarantine"),
+                 ("stg_product_hierarchy", "hierarchy_without_product", "quarantine"),
+                 ("stg_product_hierarchy", "scd_overlap", "flag_dont_resolve")]
 
 
 def policy_rows() -> list[tuple[str, str, str]]:
     """(source_model, issue_type, policy) for every data-quality rule."""
-    return [(m, i, p) for (m, i), p in RULE_POLICIES.items()]
+    rules = [r for group in (orphan_rules(), date_rules(), value_rules()) for rs in group.values() for r in rs]
+    return [(r.source_model, r.issue_type, r.policy) for r in rules] + JOIN_POLICIES
 
 
 def policy_table(spark) -> DataFrame:

@@ -109,7 +109,7 @@ def stg_customers(raw: DataFrame, tax: DataFrame) -> DataFrame:
         nb("parent_customer_id").alias("parent_customer_id"))
 
 
-def stg_sales_orders(raw: DataFrame, tax: DataFrame) -> DataFrame:
+def stg_sales_orders(raw: DataFrame, tax: DataFrame, real=casts.alpha_reject_real) -> DataFrame:
     """M05."""
     df = standardize(raw, tax, [MappingRule("product_sku", "sku_normalization", "__sku", "trim")])
     return df.select(
@@ -124,12 +124,12 @@ def stg_sales_orders(raw: DataFrame, tax: DataFrame) -> DataFrame:
         lower_code("order_status").alias("order_status"),
         casts.strict_int("ordered_units").alias("ordered_units"),
         casts.strict_int("shipped_units").alias("shipped_units"),
-        casts.alpha_reject_real("unit_price").alias("unit_price"),
+        real("unit_price").alias("unit_price"),
         upper_code("currency").alias("currency"),
         nb("cancel_reason").alias("cancel_reason"))
 
 
-def stg_retail_pos(raw: DataFrame, tax: DataFrame) -> DataFrame:
+def stg_retail_pos(raw: DataFrame, tax: DataFrame, real=casts.alpha_reject_real) -> DataFrame:
     """M06."""
     df = standardize(raw, tax, [MappingRule("product_sku", "sku_normalization", "__sku", "trim")])
     return df.select(
@@ -139,14 +139,14 @@ def stg_retail_pos(raw: DataFrame, tax: DataFrame) -> DataFrame:
         t("product_sku").alias("product_sku_raw"),
         casts.strict_int("store_count").alias("store_count"),
         casts.strict_int("pos_units").alias("pos_units"),
-        casts.alpha_reject_real("pos_sales").alias("pos_sales"),
+        real("pos_sales").alias("pos_sales"),
         casts.strict_int("on_hand_units").alias("on_hand_units"),
         casts.strict_int("on_order_units").alias("on_order_units"),
         upper_code("currency").alias("currency"),
         nb("feed_date").alias("feed_date"))
 
 
-def stg_marketing_campaigns(raw: DataFrame, tax: DataFrame) -> DataFrame:
+def stg_marketing_campaigns(raw: DataFrame, tax: DataFrame, real=casts.alpha_reject_real) -> DataFrame:
     """M07."""
     df = standardize(raw, tax, [MappingRule("product_sku", "sku_normalization", "__sku", "trim"),
                                 MappingRule("platform", "platform", "__platform", "blank_null"),
@@ -164,12 +164,12 @@ def stg_marketing_campaigns(raw: DataFrame, tax: DataFrame) -> DataFrame:
         F.col("__region").alias("region"),
         t("region").alias("region_raw"),
         nb("objective").alias("objective"),
-        casts.alpha_reject_real("budget").alias("budget"),
+        real("budget").alias("budget"),
         upper_code("currency").alias("currency"),
         nb("taxonomy_code").alias("taxonomy_code"))
 
 
-def stg_marketing_performance(raw: DataFrame, tax: DataFrame) -> DataFrame:
+def stg_marketing_performance(raw: DataFrame, tax: DataFrame, real=casts.alpha_reject_real) -> DataFrame:
     """M08."""
     df = standardize(raw, tax, [MappingRule("platform", "platform", "__platform", "blank_null")])
     return df.select(
@@ -180,9 +180,9 @@ def stg_marketing_performance(raw: DataFrame, tax: DataFrame) -> DataFrame:
         casts.strict_int("impressions").alias("impressions"),
         casts.strict_int("clicks").alias("clicks"),
         casts.strict_int("video_views").alias("video_views"),
-        casts.alpha_reject_real("spend").alias("spend"),
+        real("spend").alias("spend"),
         casts.strict_int("conversions").alias("conversions"),
-        casts.alpha_reject_real("revenue").alias("revenue"),
+        real("revenue").alias("revenue"),
         upper_code("currency").alias("currency"))
 
 
@@ -238,7 +238,7 @@ def stg_suppliers(raw: DataFrame, tax: DataFrame) -> DataFrame:
         y_flag("active_flag").alias("is_active"))
 
 
-def stg_purchase_orders(raw: DataFrame, tax: DataFrame) -> DataFrame:
+def stg_purchase_orders(raw: DataFrame, tax: DataFrame, real=casts.alpha_reject_real) -> DataFrame:
     """M12."""
     df = standardize(raw, tax, [MappingRule("product_sku", "sku_normalization", "__sku", "trim"),
                                 MappingRule("warehouse_id", "warehouse_normalization", "__wh", "trim")])
@@ -255,11 +255,11 @@ def stg_purchase_orders(raw: DataFrame, tax: DataFrame) -> DataFrame:
         lower_code("po_status").alias("po_status"),
         casts.strict_int("ordered_qty").alias("ordered_qty"),
         casts.strict_int("received_qty").alias("received_qty"),
-        casts.alpha_reject_real("unit_cost").alias("unit_cost"),
+        real("unit_cost").alias("unit_cost"),
         upper_code("currency").alias("currency"))
 
 
-def stg_shipments(raw: DataFrame, tax: DataFrame) -> DataFrame:
+def stg_shipments(raw: DataFrame, tax: DataFrame, real=casts.alpha_reject_real) -> DataFrame:
     """M13."""
     df = standardize(raw, tax, [MappingRule("product_sku", "sku_normalization", "__sku", "trim"),
                                 MappingRule("warehouse_id", "warehouse_normalization", "__wh", "trim")])
@@ -275,7 +275,7 @@ def stg_shipments(raw: DataFrame, tax: DataFrame) -> DataFrame:
         nb("delivery_date").alias("delivery_date"),
         lower_code("shipment_status").alias("shipment_status"),
         casts.strict_int("shipped_units").alias("shipped_units"),
-        casts.alpha_reject_real("freight_cost").alias("freight_cost"),
+        real("freight_cost").alias("freight_cost"),
         upper_code("currency").alias("currency"),
         nb("tracking_number").alias("tracking_number"))
 

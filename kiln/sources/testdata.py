@@ -91,6 +91,10 @@ def _finish(name: str, df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast("string").alias(c) for c in RAW_COLUMNS[name]])
 
 
+#: fixed instant against which the fixtures' orders are overdue (the library's default is now)
+AS_OF = "2025-01-01 00:00:00"
+
+
 # ---- the 15 raw extracts ---------------------------------------------------
 
 def taxonomy_lookup_raw(d) -> DataFrame:
@@ -129,7 +133,7 @@ def taxonomy_lookup_raw(d) -> DataFrame:
         ("platform", "fb", "Meta", "Marketing"), ("platform", "facebook", "Meta", "Marketing"),
          ("platform", "meta ", "Meta", "Marketing"), ("platform", "YT", "YouTube", "Marketing"),
          ("platform", "tiktok", "TikTok", "Marketing"), ("uom", "ea", "EA", "Product"),
-         ("uom", "each", "EA", "Product"), ("uom", "cs", "CASE", "Product"),
+         ("uom", "each", "EA", "Product"), ("uom", "cs", "CASE", "Product"), ("platform", "TikTok ", "TikTok", "Marketing"),
          ("status", "actv", "active", "Product"), ("status", "", "x", "Product"),
          ("status", "disc", None, "Product"), ("status", "   ", "blank", "Product")],
         ["mapping_type", "raw_value", "standard_value", "domain"])
@@ -160,7 +164,8 @@ def products_raw(d) -> DataFrame:
         case(mod(k, 4) == 2, "2025-06-30", default="").alias("discontinue_date"),
         cat(" ", price).alias("unit_cost"),
         case(mod(k, 7) == 0, cat(price, "USD"), default=price).alias("list_price"),
-        case(mod(k, 8) == 0, cat(s(size), "pk"), mod(k, 9) == 0, "0", default=s(size)).alias("case_pack_qty"),
+        case(mod(k, 101) == 0, "99999999999999999999", mod(k, 8) == 0, cat(s(size), "pk"), mod(k, 9) == 0, "0",
+             default=s(size)).alias("case_pack_qty"),
         case(mod(k, 3) == 0, "ea", mod(k, 3) == 1, "Each").alias("unit_of_measure"),
         lit("2024-01-01").alias("updated_at"))
     erp = p.where(mod(k, 3) != 0).select(
@@ -306,12 +311,13 @@ def sales_orders_raw(d) -> DataFrame:
     st = F.col("o_orderstatus")
     df = _lines(d).select(
         case(ln == 3, cat(" ", so), default=so).alias("order_id"),
-        s(ln).alias("order_line_id"),
+        case(F.col("l_partkey") % 211 == 0, cat("-9999999999999999999", s(ln)), default=s(ln)).alias("order_line_id"),
         cat("CUST-", lp("o_custkey", 6)).alias("customer_id"),
         sku("l_partkey", _variant()).alias("product_sku"),
         day("o_orderdate").alias("order_date"),
         case(ln == 2, "", default=day("o_orderdate")).alias("requested_ship_date"),
         case(ln == 7, "", F.col("l_partkey") % 41 == 0, F.replace(day("l_shipdate"), lit("-"), lit("/")),
+             F.col("l_partkey") % 59 == 0, cat(F.substring(day("l_shipdate"), 1, 8), "31"),
              default=day("l_shipdate")).alias("ship_date"),
         case(cancelled, "Cancelled", st == "F", "Shipped ", st == "O", " open", default="PARTIAL")
         .alias("order_status"),
@@ -336,7 +342,7 @@ def retail_pos_raw(d) -> DataFrame:
         sku("l_partkey", _variant()).alias("product_sku"),
         case(ln == 2, "", default=s(ln * 3)).alias("store_count"),
         case(F.col("l_returnflag") == "R", cat("-", q), sk % 43 == 0, cat(q, ".0"), default=q).alias("pos_units"),
-        case(sk % 41 == 0, "n/a", sk % 47 == 0, cat("1,", money("l_extendedprice")),
+        case(sk % 41 == 0, "n/a", sk % 47 == 0, cat("1,", money("l_extendedprice")), sk % 7 == 0, "0.0000004",
              default=money("l_extendedprice")).alias("pos_sales"),
         s(F.col("l_quantity").cast("bigint") - 10).alias("on_hand_units"),
         case(ln == 5, "1,200", default="5").alias("on_order_units"),
@@ -357,7 +363,8 @@ def purchase_orders_raw(d) -> DataFrame:
         sku("l_partkey", _variant(2)).alias("product_sku"),
         case(ln == 4, cat("wh", w), default=cat("WH-", w)).alias("warehouse_id"),
         day("o_orderdate").alias("po_create_date"),
-        day("l_shipdate").alias("requested_delivery_date"),
+        case(F.col("l_partkey") % 61 == 0, cat(day("l_shipdate"), " 24:00:00"), default=day("l_shipdate"))
+        .alias("requested_delivery_date"),
         case(is_open, "", default=day("l_shipdate")).alias("received_date"),
         case(is_open, " OPEN", default="closed ").alias("po_status"),
         case(F.col("l_partkey") % 53 == 0, cat("00", q), default=q).alias("ordered_qty"),
@@ -379,7 +386,9 @@ def shipments_raw(d) -> DataFrame:
         cat("WH-", lp(F.col("l_suppkey") % 25, 3)).alias("warehouse_id"),
         cat("CAR-", s(F.col("l_suppkey") % 27)).alias("carrier_id"),
         day("l_shipdate").alias("ship_date"),
-        case(ln == 5, "", pk % 37 == 0, "pending", default=delivered).alias("delivery_date"),
+        case(ln == 5, "", pk % 37 == 0, "pending",
+             pk % 31 == 0, cat(s(F.unix_date(F.to_date(F.col("l_shipdate"))) + 2440590), ".5"),
+             default=delivered).alias("delivery_date"),
         case(F.col("l_linestatus") == "O", "In_Transit", default="DELIVERED").alias("shipment_status"),
         case(pk % 19 == 0, cat("x", q), default=q).alias("shipped_units"),
         case(pk % 13 == 0, "FREE", default=s(F.col("l_tax").cast("decimal(18,2)") * 1000)).alias("freight_cost"),
@@ -456,7 +465,8 @@ def marketing_performance_raw(d) -> DataFrame:
         s((cents * 100).cast("bigint")).alias("impressions"),
         s(eid % 70 - 3).alias("clicks"),
         case(eid % 11 == 0, "", default=s(eid % 11)).alias("video_views"),
-        case(eid % 50 == 0, "free", default=s(cents)).alias("spend"),
+        case(eid % 50 == 0, "free", eid % 997 == 0, "12345678901234567890123456789012345678901",
+             default=s(cents)).alias("spend"),
         s(eid % 5).alias("conversions"),
         s(cents * 3).alias("revenue"),
         lit("usd").alias("currency"))

@@ -10,14 +10,15 @@ INPUTS = ["abc", "12abc", " 12 ", "12.7", "", "  ", "1e3", "007", "+5", "-25", "
 
 STRICT = [None, None, 12, None, None, None, None, None, None, -25, 0, None, None,
           None, None, None, None, None, None, None, None, None, None, None]
+LARGEST = 9223372036854775807   # integers beyond 64 bits become the nearest one that fits
 POS_INT = [None, 12, 12, 12, None, None, 1, 7, 5, None, None, None, 1,
-           None, 12, None, None, None, 5, None, None, 12, None, 7]
+           LARGEST, 12, None, None, None, 5, None, None, 12, None, 7]
 ALPHA_REAL = [None, None, 12.0, 12.7, None, None, None, 7.0, 5.0, -25.0, 0.0, -0.0, 1.0,
               1e20, 12.0, 0.0, 0.0, 0.5, 5.0, None, None, None, None, 7.0]
 POS_REAL = [None, 12.0, 12.0, 12.7, None, None, 1000.0, 7.0, 5.0, None, None, None, 1.0,
             1e20, 12.0, None, None, 0.5, 5.0, None, None, 12.0, None, 7.0]
 UNGUARDED = [0, 12, 12, 12, 0, 0, 1, 7, 5, -25, 0, 0, 1,
-             0, 12, 0, 0, 0, 5, 0, None, 12, 0, 7]
+             LARGEST, 12, 0, 0, 0, 5, 0, None, 12, 0, 7]
 
 
 @pytest.mark.parametrize("fn,expected", [

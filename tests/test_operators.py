@@ -1,15 +1,19 @@
 """Operators on small hand-written frames: dedup, precedence, SCD, keys, findings, expectations."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from kiln.operators import expectations as ex
 from kiln.operators.dedup import By, keep_best
+from kiln.operators.expectations import (AcceptedValues, ExpectationError, NotNull, Relationship, Suite, Unique,
+                                         enforce)
+from kiln.operators.expectations import run as run_checks
 from kiln.operators.findings import Rule, evaluate
 from kiln.operators.keys import orphans, with_known_flag
 from kiln.operators.mapping import MappingRule, Taxonomy, duplicate_mappings, standardize
 from kiln.operators.resolve import source_precedence
 from kiln.operators.scd import current_rows, overlapping_pairs
-from kiln.operators.sizing import bounded_broadcast
+from kiln.operators.sizing import SizeBook, measure
 from kiln.plans import dims
 
 
@@ -136,16 +140,51 @@ def test_standardize_fallbacks_and_sized_broadcast(spark):
     assert duplicate_mappings(dup).collect()[0].n_mappings == 2
 
 
-def test_bounded_broadcast_respects_bound(spark):
-    small = spark.range(10).withColumnRenamed("id", "k")
+def test_join_sides_respect_row_and_byte_bounds(spark):
+    small = spark.range(10).select(F.col("id").alias("k"), F.lit("x" * 100).alias("text"))
     fact = spark.range(1000).select((F.col("id") % 10).alias("k"))
 
-    def plan(side):
-        return fact.join(side, "k", "left")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan(bounded_broadcast(small, 10, 50))
-    # over the bound (or unknown): never broadcast, even though the planner's estimate is tiny
-    assert "BroadcastHashJoin" not in plan(bounded_broadcast(small, 100, 50))
-    assert "BroadcastHashJoin" not in plan(bounded_broadcast(small, None, 50))
+    def plan(book):
+        return fact.join(book.side("s", small).finish(small), "k", "left")._jdf.queryExecution().executedPlan().toString()
+    assert measure(small) == (10, 10 * (100 + 48 + 8))
+    assert "BroadcastHashJoin" in plan(SizeBook(50, 10_000))
+    # over either bound: never broadcast, even though the planner's estimate is tiny
+    assert "BroadcastHashJoin" not in plan(SizeBook(9, 10_000))
+    assert "BroadcastHashJoin" not in plan(SizeBook(50, 1_000))
+
+
+def test_duplicate_mappings_can_raise(spark):
+    rows = [("uom", "ea", "EA", 1), ("uom", " EA ", "EACH", 1), ("uom", "cs", "CASE", 1), ("uom", "cs", "CS", 0)]
+    tax = spark.createDataFrame(rows, "mapping_type string, raw_value string, standard_value string, is_active int")
+    assert Taxonomy(tax, 100).slice_sizes()["uom"][0] == 3
+    with pytest.raises(ValueError, match="uom 'ea'"):
+        Taxonomy(tax, 100, on_duplicate="raise").slice_sizes()
+    Taxonomy(tax.where("standard_value <> 'EACH'"), 100, on_duplicate="raise").slice_sizes()
+
+
+def test_enforce_raises_on_failures(spark):
+    t = spark.createDataFrame([(1, "a"), (1, None), (2, "z")], "k int, v string")
+    suite = Suite([Unique("t", "k"), NotNull("t", "v"), AcceptedValues("t", "v", ("a", "z"))])
+    with pytest.raises(ExpectationError) as e:
+        enforce(run_checks({"t": t}, suite))
+    assert e.value.failures == [("t", "k", "unique", 1), ("t", "v", "not_null", 1)]
+    enforce(run_checks({"t": t}, Suite([AcceptedValues("t", "v", ("a", "z"))])))
+
+
+def test_suite_reads_each_table_once(spark, tmp_path):
+    tables = {}
+    for name in ("child", "parent"):
+        path = str(tmp_path / name)
+        spark.range(20).select((F.col("id") % 7).alias("k"), F.col("id").cast("string").alias("v")).write.parquet(path)
+        tables[name] = spark.read.parquet(path)
+    suite = Suite([NotNull("child", "k"), Unique("child", "v"), AcceptedValues("child", "k", (1, 2)),
+                   Relationship("child", "v", "parent", "v", "k < 5"), Relationship("child", "v", "parent", "k"),
+                   Unique("parent", "k")])
+    res = run_checks(tables, suite)
+    plan = res._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("FileScan") == 2
+    assert [r["failures"] for r in sorted(res.collect(), key=lambda r: (r["model_name"], r["column_name"], r["test_name"]))] \
+        == [5, 0, 0, 13, 0, 7]
 
 
 def test_findings_single_pass(spark):
@@ -195,14 +234,29 @@ def test_every_rule_has_a_policy(spark):
     from kiln.plans import quality
     rules = [r for rs in (quality.orphan_rules(), quality.date_rules(), quality.value_rules()) for lst in rs.values()
              for r in lst]
-    assert len(quality.RULE_POLICIES) == 25
-    for r in rules:
-        assert quality.RULE_POLICIES[(r.source_model, r.issue_type)] == r.policy, r.issue_type
-    assert set(quality.RULE_POLICIES.values()) <= set(POLICIES)
+    table = {(m, i): p for m, i, p in quality.policy_rows()}
+    assert len(table) == len(quality.policy_rows()) == len(rules) + len(quality.JOIN_POLICIES) == 25
+    assert set(table.values()) <= set(POLICIES)
+
+
+def test_overlapping_pairs_hot_key_with_close_starts(spark):
+    # 5,000 starts of one key that share their first seven characters spread over tasks
+    n = 5_000
+    at = lambda x: F.format_string("2024-01-%06d", x)
+    base = spark.range(n).select(F.lit("HOT").alias("product_sku"), at(F.col("id")).alias("effective_start_date"),
+                                 at(F.col("id") + 2).alias("effective_end_date"), F.col("id").alias("tag"))
+    staged = {}
+
+    def stage(df, name):
+        staged[name] = df.cache()
+        return staged[name]
+    assert overlapping_pairs(base, "product_sku", stage=stage).count() == 2 * n - 3
+    sizes = [r["count"] for r in staged["values"].groupBy("__part").count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 0.6 * sum(sizes)
 
 
 def test_overlapping_pairs_on_arbitrary_text_matches_brute_force(spark):
-    # chunking by a text prefix must keep exact text order: junk, short and long values, shared prefixes
+    # numbering by ranges must keep exact text order: junk, short and long values, shared prefixes
     import random
     rnd = random.Random(23)
 

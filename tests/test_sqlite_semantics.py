@@ -32,6 +32,9 @@ def _samples(n=4000, seed=11):
     out = [None, "", " ", "\t"]
     for _ in range(n):
         out.append("".join(rnd.choice(ALPHABET) for _ in range(rnd.randint(1, 7))))
+    for _ in range(200):  # around and beyond 64 bits
+        out.append(rnd.choice(["", "-", "+", " "]) + str(rnd.choice([2**63, 10**20, 9 * 10**18]) + rnd.randint(-2, 2))
+                   + rnd.choice(["", "abc", ".5"]))
     return out
 
 
@@ -54,18 +57,27 @@ def test_casts_agree_with_sqlite(spark):
 def test_day_diff_agrees_with_julianday(spark):
     rnd = random.Random(5)
     pairs = []
-    for _ in range(500):
+    for _ in range(3000):
         def ts():
-            d = f"{rnd.randint(1990, 2030)}-{rnd.randint(1, 12):02d}-{rnd.randint(1, 28):02d}"
-            if rnd.random() < 0.5:
-                d += f" {rnd.randint(0, 23):02d}:{rnd.randint(0, 59):02d}"
-                if rnd.random() < 0.5:
-                    d += f":{rnd.randint(0, 59):02d}"
-            return d
+            kind = rnd.random()
+            if kind < 0.15:      # Julian day numbers
+                return rnd.choice([str(rnd.randint(0, 5400000)), f"{rnd.uniform(2440000, 2470000):.5f}", " 2450000.5 ",
+                                   "5373484.5", "-1", "2.45e6", ".5"])
+            d = f"{rnd.choice([0, 1582, 1990, 2024, 2100, rnd.randint(1970, 2030)]):04d}-{rnd.randint(0, 13):02d}" \
+                f"-{rnd.randint(0, 32):02d}"
+            if rnd.random() < 0.6:
+                d = rnd.choice([d, d, d, ""]) + rnd.choice([" ", "T", "  "]) if rnd.random() < 0.95 else ""
+                d = d.strip() and d
+                d += f"{rnd.randint(0, 25):02d}:{rnd.randint(0, 60):02d}"
+                if rnd.random() < 0.6:
+                    d += f":{rnd.randint(0, 60):02d}" + rnd.choice(["", "", ".5", ".123456"])
+                d += rnd.choice(["", "", "", "Z", "+02:00", " -05:30", "+15:00", " "])
+            return d + rnd.choice(["", "", "", "", "x", " "])
         pairs.append((ts(), ts()))
     con = sqlite3.connect(":memory:")
     want = [con.execute("select julianday(?) - julianday(?)", (b, a)).fetchone()[0] for b, a in pairs]
     df = spark.createDataFrame([(i, b, a) for i, (b, a) in enumerate(pairs)], "i int, b string, a string")
     got = [r[0] for r in df.orderBy("i").select(dates.day_diff("b", "a")).collect()]
-    assert all(abs(g - w) < 1e-6 for g, w in zip(got, want)), [(p, g, w) for p, g, w in zip(pairs, got, want)
-                                                             if abs(g - w) >= 1e-6][:5]
+    bad = [(p, g, w) for p, g, w in zip(pairs, got, want)
+           if (g is None) != (w is None) or g is not None and abs(g - w) >= 1e-6]
+    assert sum(w is not None for w in want) > 300 and not bad, (len(bad), bad[:5])
