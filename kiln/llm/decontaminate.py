@@ -39,7 +39,7 @@ from .words import Words
 
 WINDOW = 10
 SHARD_BYTES = 6 << 20
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 4 << 20
 
 
 @dataclass(frozen=True)

@@ -224,8 +224,12 @@ def by_group(docs: DataFrame, side: DataFrame, parts: int) -> DataFrame:
 
 
 def side_first(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[pa.RecordBatch, pa.Array | None]]:
-    """(documents, None) slices after (no documents, side rows) ones."""
+    """(documents, None) slices after (no documents, side rows) ones, all of one group."""
+    groups: set[int] = set()
     for batch in batches:
+        groups.update(np.unique(np.asarray(batch.column("g"))).tolist())
+        if len(groups) > 1:
+            raise RuntimeError(f"a partition holds several groups: {sorted(groups)}")
         kind = np.asarray(batch.column("kind"))
         n = int(np.searchsorted(kind, 1))
         if n:
