@@ -89,7 +89,8 @@ MODELS: list[ModelSpec] = [
                                     "fct_marketing_performance", "stg_marketing_campaigns", "stg_product_hierarchy",
                                     "dim_product"), quality.dq_orphan_records, DQ),
     ModelSpec("dq_date_violations", ("fct_sales_orders", "fct_purchase_orders", "fct_shipments",
-                                     "stg_product_hierarchy", "stg_shipment_events"), quality.dq_date_violations, DQ),
+                                     "stg_product_hierarchy", "stg_shipment_events", "@stage"),
+              quality.dq_date_violations, DQ),
     ModelSpec("dq_value_violations", ("fct_inventory_snapshots", "fct_retail_pos", "fct_marketing_performance",
                                       "fct_sales_orders", "fct_shipments"), quality.dq_value_violations, DQ),
 ]
@@ -147,6 +148,7 @@ class GoldLayer:
         self._built: dict[str, DataFrame] = {}
         self._written: set[str] = set()
         self._landed: set[str] = set()
+        self._steps = 0
         self._lock = threading.RLock()
         #: one folder per layer: everything it writes is replaced in place and goes with ``cleanup``
         self.run_folder = f"{shared_folder(self.spark)}/kiln-{uuid.uuid4().hex[:12]}"
@@ -163,6 +165,8 @@ class GoldLayer:
             return self.as_of
         if name == "@real":
             return self.real
+        if name == "@stage":
+            return self.stage
         df = self[name]
         if name == "stg_taxonomy_lookup" and consumer.layer == STAGING:
             if self._taxonomy is None or self._taxonomy.df is not df:
@@ -173,6 +177,14 @@ class GoldLayer:
             return self.sizes.side(name, df)
         return df
 
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        """Write a step of a model under the run folder and read it back."""
+        with self._lock:
+            self._steps += 1
+            path = f"{self.run_folder}/steps/{self._steps:03d}-{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def __getitem__(self, name: str) -> DataFrame:
         with self._lock:
             if name in self._built:

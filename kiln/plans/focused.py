@@ -129,7 +129,7 @@ def on_time_profile(layer) -> DataFrame:
 
 
 def scd_overlap(layer) -> DataFrame:
-    return quality.scd_overlaps(layer["stg_product_hierarchy"])
+    return quality.scd_overlaps(layer["stg_product_hierarchy"], layer.stage)
 
 
 def taxonomy_duplicate_mappings(layer) -> DataFrame:

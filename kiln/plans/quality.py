@@ -132,9 +132,9 @@ def date_rules() -> dict[str, list[Rule]]:
     }
 
 
-def scd_overlaps(stg_hierarchy: DataFrame) -> DataFrame:
-    """Overlapping effective ranges of one SKU (flag, don't resolve)."""
-    pairs = overlapping_pairs(stg_hierarchy, "product_sku")
+def scd_overlaps(stg_hierarchy: DataFrame, stage=None) -> DataFrame:
+    """Overlapping effective ranges of one SKU (flag, don't resolve); ``stage`` writes the join's steps."""
+    pairs = overlapping_pairs(stg_hierarchy, "product_sku", stage=stage)
     h1, h2 = "h1.", "h2."
     desc = F.concat(
         F.lit("overlap: range1=["), F.col(h1 + "effective_start_date"), F.lit(","),
@@ -146,12 +146,12 @@ def scd_overlaps(stg_hierarchy: DataFrame) -> DataFrame:
 
 
 def dq_date_violations(fct_sales: DataFrame, fct_po: DataFrame, fct_ship: DataFrame,
-                       stg_hierarchy: DataFrame, stg_events: DataFrame) -> DataFrame:
+                       stg_hierarchy: DataFrame, stg_events: DataFrame, stage=None) -> DataFrame:
     """M31. Date-logic violations."""
     tables = {"fct_sales_orders": fct_sales, "fct_purchase_orders": fct_po, "fct_shipments": fct_ship,
               "stg_shipment_events": stg_events}
     parts = [evaluate(tables[n], rules, with_offending=False) for n, rules in date_rules().items()]
-    return union_all(parts + [scd_overlaps(stg_hierarchy)]).select(*VIOLATION)
+    return union_all(parts + [scd_overlaps(stg_hierarchy, stage)]).select(*VIOLATION)
 
 
 def value_rules() -> dict[str, list[Rule]]:

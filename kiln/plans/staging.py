@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import casts, dates
 from ..functions.text import lower_code, nb, t, tier, upper_code, warehouse_type, y_flag
-from ..operators.mapping import MappingRule, lookup, standardize
+from ..operators.mapping import MappingRule, standardize
 
 # Mappings observed in the data but missing from the source
 # taxonomy, appended with provenance 'discovered_gap'
