@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -63,7 +64,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):    # a local-cluster has executors of its own
         raise ValueError("set spark.checkpoint.dir to a shared folder (written tables and stream "
                          "checkpoints live there)")
     scratch = tempfile.mkdtemp(prefix="kiln-ckpt-", dir=os.environ.get("KILN_SCRATCH", "/tmp"))

@@ -35,8 +35,9 @@ class _Session:
 
 
 def test_cluster_session_without_shared_folder_is_refused():
-    with pytest.raises(ValueError):
-        ensure_checkpoint_dir(_Session(_Context("yarn")))
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            ensure_checkpoint_dir(_Session(_Context(master)))
 
 
 def test_named_shared_folder_is_used_as_is():
