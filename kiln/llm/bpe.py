@@ -10,8 +10,8 @@ contract every leftmost non-overlapping pair of the minimum rank per step (a
 merged token only takes part in later ranks, so the result is the same).
 
 Spark partitions the documents; a worker looks each distinct unit of a slice
-up once (``pretokens.Units``) and encodes it once while it stays in its bounded
-cache. No shuffle, no collect.
+up once (``pretokens.Units``) and encodes it once while it stays in the task's
+bounded cache. No shuffle, no collect.
 
 Defined cases: null text is empty; an empty text has 0 tokens and the SHA-256
 of the empty string; repeated rows give repeated rows; an empty table gives an
@@ -23,18 +23,17 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .common import doc_columns, slices, strings
+from .common import doc_columns, slices, strings, task
 from .pretokens import Cache, Units
 
 #: words of up to SHORT bytes go together, ROWS bytes at once; longer words are contracted ROUNDS deep at a time
-SHORT, ROWS, ROUNDS = 64, 1_000_000, 24
+SHORT, ROWS, ROUNDS = 64, 250_000, 24
 
 SHORT_SQL = """
 with recursive t(w, pos, id, live) as (
@@ -93,7 +92,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class ByteBPE:
-    """Encoder and decoder of one rank file; lives in a task's Python worker."""
+    """Encoder and decoder of one rank file; lives as long as a task, so idle workers hold no memory."""
 
     def __init__(self, path: str, pattern: str):
         import duckdb
@@ -101,7 +100,7 @@ class ByteBPE:
         self.ranks = read_ranks(path)
         self.find = regex.compile(pattern).findall
         self.byte_id = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
         pairs = [(a * 65536 + b, m) for t, m in self.ranks.items() for i in range(1, len(t))
                  if (a := self.ranks.get(t[:i])) is not None and (b := self.ranks.get(t[i:])) is not None]
         self._load("merges", pa.table({"pair": pa.array([p for p, _ in pairs], pa.int64()),
@@ -188,13 +187,8 @@ class ByteBPE:
         return units.join(ids, " "), units.join(decoded, b"")
 
 
-@lru_cache(maxsize=2)
-def coder(path: str, pattern: str) -> ByteBPE:
-    return ByteBPE(path, pattern)
-
-
 #: text bytes encoded at once: distinct pieces are looked up once per slice
-BPE_SLICE = 8 << 20
+BPE_SLICE = 4 << 20
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -206,7 +200,7 @@ def bpe_encode(docs: DataFrame, path: str, pattern: str, keep_ids: bool = False)
     schema = SCHEMA + (", ids array<int>, decoded string" if keep_ids else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = coder(path, pattern)
+        bpe = ByteBPE(path, pattern)
         for batch in slices(batches, limit=BPE_SLICE):
             ids, decoded = bpe.encode_texts(strings(batch.column(1)))
             n = np.asarray(pc.count_substring(ids, " ")) + (np.asarray(pc.binary_length(ids)) > 0)
@@ -219,5 +213,6 @@ def bpe_encode(docs: DataFrame, path: str, pattern: str, keep_ids: bool = False)
                            pa.array([x.decode() for x in decoded.to_pylist()], pa.string())]
                 names += ["ids", "decoded"]
             yield pa.RecordBatch.from_arrays(arrays, names)
+        bpe.con.close()
 
-    return doc_columns(docs).mapInArrow(run, schema)
+    return doc_columns(docs).mapInArrow(task(run), schema)

@@ -7,6 +7,8 @@ whole operator.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -16,8 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..plans.dag import shared_folder
 
+#: rows and bytes of an Arrow batch: the JVM and a worker each hold a few batches besides their own data
+BATCH_ROWS, BATCH_BYTES = 1_500, 8 << 20
 #: text bytes and rows handled at once inside a task (a single longer document is a slice of its own)
-SLICE_BYTES, SLICE_ROWS = 4 << 20, 20_000
+SLICE_BYTES, SLICE_ROWS = 2 << 20, 20_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +79,36 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
             start = end
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches between the JVM and its workers (smaller settings are left alone)."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS),
+                      ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = str(spark.conf.get(key, None)).rstrip("b")       # None where it is not set
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
+
+
+def _give_back() -> None:
+    """Return freed memory to the system, so that an idle worker holds little."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):      # another C library
+        pass
+
+
+def task(run):
+    """``run`` as a task that gives its memory back when it ends."""
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+    return whole
+
+
 def doc_columns(docs: DataFrame) -> DataFrame:
     """The two columns the text operators read (extra columns never reach a task)."""
+    small_batches(docs.sparkSession)
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))

@@ -33,12 +33,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_columns, slices, text_bytes
+from .common import doc_columns, slices, small_batches, task, text_bytes
 from .fm_index import FMIndex
 from .words import Words
 
 WINDOW = 10
-SHARD_BYTES = 6 << 20
+SHARD_BYTES = 3 << 20
 BLOCK_BYTES = 4 << 20
 
 
@@ -148,6 +148,7 @@ def _blocks(benchmark: DataFrame) -> list[Windows]:
 
 def _scan(docs: DataFrame, windows: Windows, schema: str, make) -> DataFrame:
     """``make(batch, words, hit, items)`` for each shard of the documents."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(windows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,7 +157,7 @@ def _scan(docs: DataFrame, windows: Windows, schema: str, make) -> DataFrame:
             words = Words(data, offsets)
             yield make(batch, words, *shard_hits(words, shared.value))
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(task(run), schema)
 
 
 def _digest(items: list[str]) -> str:

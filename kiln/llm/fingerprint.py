@@ -32,10 +32,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import doc_columns, slices, text_bytes
+from .common import doc_columns, slices, text_bytes, task
 from .words import Words, mix
 
 SAMPLES = 128
+#: text bytes fingerprinted at once: (term, weight) pairs are drawn once per slice
+TEXT_SLICE = 4 << 20
 #: rows of the (term, weight) table and of gathered terms that are held at once
 BLOCK = 16_384
 # one odd stream constant per pair of uniform draws (fixed values)
@@ -105,11 +107,11 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """Per document: doc_id and fingerprint."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=TEXT_SLICE):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(to_hex(signatures(batch.column(1))))],
                                              ["doc_id", "fingerprint"])
 
-    return doc_columns(docs).mapInArrow(run, "doc_id long, fingerprint string")
+    return doc_columns(docs).mapInArrow(task(run), "doc_id long, fingerprint string")
 
 
 def _sharded(docs: DataFrame, shards: int) -> DataFrame:
@@ -150,7 +152,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.RecordBatch | None = None  # the row before the slice, whose next document the slice begins with
-        for batch in slices(batches):
+        for batch in slices(batches, limit=TEXT_SLICE):
             held, rows = batch.slice(batch.num_rows - 1, 1), (
                 batch if held is None else pa.concat_batches([held, batch]))
             shard = np.asarray(rows.column("shard"))
@@ -172,4 +174,4 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
 
     parts = _sharded(docs, shards).repartition(shards, "shard")
     ordered = parts.sortWithinPartitions("shard", "tail", F.col("doc_id").asc_nulls_first(), "text")
-    return ordered.mapInArrow(run, EDITED)
+    return ordered.mapInArrow(task(run), EDITED)

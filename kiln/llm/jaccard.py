@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Workspace, doc_columns, slices, text_bytes
+from .common import Workspace, doc_columns, slices, text_bytes, task
 from .components import components
 from .words import Words, mix
 
@@ -127,7 +127,7 @@ def sketch(docs: DataFrame) -> DataFrame:
                  pa.array([s.tobytes() if m else None for s, m in zip(sig, n)], pa.binary())],
                 ["doc_id", "k1", "k2", "n", "sig"])
 
-    return doc_columns(docs).mapInArrow(run, SKETCH)
+    return doc_columns(docs).mapInArrow(task(run), SKETCH)
 
 
 def sig_matrix(column: pa.Array) -> np.ndarray:
@@ -146,7 +146,7 @@ def band_keys(classes: DataFrame) -> DataFrame:
             rep = np.repeat(np.asarray(batch.column(0)), BANDS)
             yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(rep)], ["key", "rep"])
 
-    return classes.select("rep", "sig").mapInArrow(run, "key long, rep long")
+    return classes.select("rep", "sig").mapInArrow(task(run), "key long, rep long")
 
 
 def in_chunks(members: DataFrame, key: str, count: str, chunk: int) -> DataFrame:
@@ -261,7 +261,7 @@ def candidate_forest(units: DataFrame) -> DataFrame:
             edges = np.unique(np.column_stack([rep[moved], rep[label[moved]]]), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0]), pa.array(edges[:, 1])], ["a", "b"])
 
-    return units.mapInArrow(run, "a long, b long")
+    return units.mapInArrow(task(run), "a long, b long")
 
 
 def shared_shingles(sets: list[np.ndarray]) -> np.ndarray:
@@ -310,7 +310,7 @@ def verify(units: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(rep), pa.array(links), pa.array(parent)],
                                              ["rep", "links", "parent"])
 
-    return units.mapInArrow(run, "rep long, links long, parent long")
+    return units.mapInArrow(task(run), "rep long, links long, parent long")
 
 
 def whole_sets(members: DataFrame) -> DataFrame:
@@ -327,7 +327,7 @@ def whole_sets(members: DataFrame) -> DataFrame:
                                              ["rep", "comp", "count", "size", "set"])
 
     return members.select("rep", "comp", "count", "size", "text").mapInArrow(
-        run, "rep long, comp long, count long, size long, set binary")
+        task(run), "rep long, comp long, count long, size long, set binary")
 
 
 def by_units(members: DataFrame, key: str, count: str, chunk: int) -> DataFrame:

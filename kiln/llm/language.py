@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_columns, slices, text_bytes
+from .common import doc_columns, slices, small_batches, task, text_bytes
 from .labelled import held_out, sample_per_class
 
 FOLDS, FOLD = 4, 2
@@ -167,7 +167,7 @@ def predict_languages(docs: DataFrame, model: Model | None) -> DataFrame:
                                              ["doc_id", "lang_pred", "score"])
 
     rows = doc_columns(docs).withColumn("letters", F.col("text").rlike(r"\p{L}"))
-    out = rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
+    out = rows.mapInArrow(task(run), "doc_id long, lang_pred string, score double")
     return out.select("doc_id", held_out(F.col("doc_id"), FOLDS, FOLD).alias("held_out"), "lang_pred", "score")
 
 
@@ -176,6 +176,7 @@ def keep_languages(docs: DataFrame, model: Model | None, min_score: float = 0.0)
 
     Columns are kept; a null ``lang`` is filled with the prediction.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
 
@@ -191,4 +192,4 @@ def keep_languages(docs: DataFrame, model: Model | None, min_score: float = 0.0)
                 batch = batch.set_column(names.index("lang"), batch.schema.field("lang"), filled)
             yield batch.filter(keep)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(task(run), docs.schema)

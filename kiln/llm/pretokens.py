@@ -20,8 +20,8 @@ import pyarrow.compute as pc
 
 from .common import text_bytes
 
-#: entries that a worker keeps between slices; keys longer than LONG characters are never kept
-KEPT, LONG = 400_000, 64
+#: entries that a task keeps between slices; keys longer than LONG characters are never kept
+KEPT, LONG = 200_000, 64
 
 # classes of bytes; UNSURE: part of a character that may be white space
 LETTER, SIGN, SPACE, BREAK, APOSTROPHE, DIGIT, HIGH, UNSURE = range(8)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_columns, slices, strings
+from .common import doc_columns, slices, strings, task
 from .labelled import held_out, sample_per_class
 
 SAMPLE_DOCS, SAMPLE_CHARS = 600, 4_000
@@ -142,6 +142,6 @@ def quality_scores(docs: DataFrame, model: Model) -> DataFrame:
                 score = np.where(some, sigmoid(m.weights[0] + x @ np.array(m.weights[1:])), m.prior)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], ["doc_id", "score"])
 
-    scored = doc_columns(docs).mapInArrow(run, "doc_id long, score double")
+    scored = doc_columns(docs).mapInArrow(task(run), "doc_id long, score double")
     return scored.select("doc_id", held_out(F.col("doc_id"), FOLDS, FOLD).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Workspace, doc_columns, slices, text_bytes
+from .common import Workspace, doc_columns, slices, text_bytes, task
 from .lcp_intervals import maximal_repeats
 from .words import MIX
 
@@ -177,7 +177,7 @@ def send_names(docs: DataFrame, parts: int) -> DataFrame:
         if n:
             yield flush()
 
-    return docs.mapInArrow(run, "part int, groups binary, names binary")
+    return docs.mapInArrow(task(run), "part int, groups binary, names binary")
 
 
 WANTED = pa.schema([("g", pa.int32()), ("names", pa.binary())])
@@ -206,7 +206,7 @@ def shared_names(sent: DataFrame) -> DataFrame:
         name, g = name[wanted], g[wanted]
         yield packed([(k, np.unique(name[at])) for k, at in split_by(g)], WANTED)
 
-    return sent.mapInArrow(run, "g int, names binary")
+    return sent.mapInArrow(task(run), "g int, names binary")
 
 
 def by_group(docs: DataFrame, side: DataFrame, parts: int) -> DataFrame:
@@ -275,7 +275,7 @@ def send_segments(rows: DataFrame, parts: int) -> DataFrame:
             if out:
                 yield packed(out, SEGMENTS)
 
-    return rows.mapInArrow(run, "part int, names binary, docs binary, rows binary, groups binary, starts binary, "
+    return rows.mapInArrow(task(run), "part int, names binary, docs binary, rows binary, groups binary, starts binary, "
                                 "lengths binary, text binary")
 
 
@@ -363,7 +363,7 @@ def removal_spans(segments: DataFrame) -> DataFrame:
             row = got["rows"][at[x]].astype(np.int64)
             yield packed([(g, *merged(row, base + start[x], base + end[x]))], SPANS)
 
-    return segments.mapInArrow(run, "g int, rows binary, starts binary, ends binary")
+    return segments.mapInArrow(task(run), "g int, rows binary, starts binary, ends binary")
 
 
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -402,7 +402,7 @@ def cut_out(rows: DataFrame, keep_text: bool) -> DataFrame:
                 names.append("kept")
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return rows.mapInArrow(run, SCHEMA + (", kept binary" if keep_text else ""))
+    return rows.mapInArrow(task(run), SCHEMA + (", kept binary" if keep_text else ""))
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, keep_text: bool = False) -> DataFrame:

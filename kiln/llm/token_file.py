@@ -13,7 +13,7 @@ or a second attempt leaves whole shards only. Reading maps the files into
 memory, one task per shard. The folder must be a path that all executors can
 open as files (a shared mount).
 
-Distinct units are encoded once per worker (``pretokens.Units``); a unit of
+Distinct units are encoded once per task, while they stay in its bounded cache (``pretokens.Units``); a unit of
 ASCII letters goes straight to the tokenizer's model.
 
 Defined cases: null text is empty and holds the end id only; repeated doc_ids
@@ -27,7 +27,6 @@ import os
 import uuid
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 from urllib.parse import urlparse
 
 import numpy as np
@@ -36,14 +35,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Workspace, doc_columns, slices, strings
+from .common import Workspace, doc_columns, slices, strings, task
 from .pretokens import Cache, Units
 
 END_ID = 2
 #: stands for a null doc_id in a file
 NO_ID = np.iinfo(np.int64).min
 #: text bytes encoded at once
-TOKEN_SLICE = 8 << 20
+TOKEN_SLICE = 4 << 20
 
 
 class WordTokenizer:
@@ -75,11 +74,6 @@ class WordTokenizer:
         return units.join(pa.array(self.cache.look_up(units.distinct), pa.binary()), b"")
 
 
-@lru_cache(maxsize=2)
-def tokenizer(path: str) -> WordTokenizer:
-    return WordTokenizer(path)
-
-
 def local_path(folder: str) -> str:
     """The folder as a path that executors open as files."""
     url = urlparse(folder)
@@ -95,7 +89,7 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int = END
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         shard = TaskContext.get().partitionId()
-        coder = tokenizer(path)
+        coder = WordTokenizer(path)
         name, own = f"{target}/{shard:06d}", uuid.uuid4().hex
         doc_ids, counts, ids_file = [], [], None
         end = np.array([end_id], coder.dtype).tobytes()
@@ -125,7 +119,7 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int = END
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = doc_columns(docs).repartitionByRange(shards, F.col("doc_id").asc_nulls_first())
     return ordered.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text").mapInArrow(
-        write, "shard long, file string, n_docs long, n_ids long, width long")
+        task(write), "shard long, file string, n_docs long, n_ids long, width long")
 
 
 def with_bases(manifest: DataFrame) -> DataFrame:
@@ -157,7 +151,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                          pa.array(ends[a:z] - starts[a:z]), pa.array(sums, pa.int64())],
                         ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return manifest.mapInArrow(read, READ_SCHEMA)
+    return manifest.mapInArrow(task(read), READ_SCHEMA)
 
 
 def token_binary(spark: SparkSession, docs: DataFrame, path: str, folder: str | None = None) -> DataFrame:

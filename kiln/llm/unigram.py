@@ -23,19 +23,18 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .bpe import read_ranks
-from .common import doc_columns, slices, strings
+from .common import doc_columns, slices, strings, task
 from .pretokens import Cache, Units
 
 ZIPF_SHIFT = 2.7
-MAX_NODES = 500_000
-TRIE_SLICE = 8 << 20
+MAX_NODES = 400_000
+TRIE_SLICE = 4 << 20
 
 
 def zipf_scores(ranks: dict[bytes, int]) -> dict[bytes, float]:
@@ -114,20 +113,15 @@ class UnigramCounter:
         return words, tokens, np.array(scores)
 
 
-@lru_cache(maxsize=2)
-def counter(path: str, pattern: str) -> UnigramCounter:
-    return UnigramCounter(path, pattern)
-
-
 def token_counts(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """Per document: pre-tokens, unigram tokens and the log-probability of the best segmentation."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = counter(path, pattern)
+        c = UnigramCounter(path, pattern)
         for batch in slices(batches, limit=TRIE_SLICE):
             words, tokens, scores = c.count(strings(batch.column(1)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(words), pa.array(tokens), pa.array(scores)],
                 ["doc_id", "n_words", "n_tokens", "score"])
 
-    return doc_columns(docs).mapInArrow(run, "doc_id long, n_words long, n_tokens long, score double")
+    return doc_columns(docs).mapInArrow(task(run), "doc_id long, n_words long, n_tokens long, score double")

@@ -33,6 +33,11 @@ def tokenizer():
     return t
 
 
+@pytest.fixture(scope="module")
+def coder():
+    return bpe.ByteBPE(RANKS, PATTERN)
+
+
 def sha(x):
     return hashlib.sha256(x if isinstance(x, bytes) else x.encode()).hexdigest()
 
@@ -56,24 +61,24 @@ def test_units_never_split_a_match(tokenizer):
 
 
 @pytest.mark.parametrize("text", ["", " ", "a" * 3000, " " * 400 + "x", "ab" * 900, "\n x\n\ny  \n", "don't I'll 'S"])
-def test_bpe_contracts_like_the_library(encoding, text):
-    ids, decoded = bpe.coder(RANKS, PATTERN).encode_texts(pa.array([text]))
+def test_bpe_contracts_like_the_library(encoding, coder, text):
+    ids, decoded = coder.encode_texts(pa.array([text]))
     assert ids[0].as_py() == " ".join(map(str, encoding.encode_ordinary(text)))
     assert decoded[0].as_py() == text.encode()
 
 
-def test_bpe_long_words_in_several_rounds(encoding):
+def test_bpe_long_words_in_several_rounds(encoding, coder):
     rng = random.Random(2)
     words = ["".join(rng.choice("etaoinshrdlu") for _ in range(n)) for n in (65, 300, 1500)]
-    got = bpe.coder(RANKS, PATTERN).encode_words(words)
+    got = coder.encode_words(words)
     for w, (ids, hexed) in zip(words, got):
         assert [int(x) for x in ids.split()] == encoding.encode_ordinary(w)
         assert bytes.fromhex(hexed) == w.encode()
 
 
-def test_bpe_decode(encoding):
+def test_bpe_decode(encoding, coder):
     coded = [encoding.encode_ordinary(t) for t in ("hello wörld", "", "x")]
-    assert bpe.coder(RANKS, PATTERN).decode(coded) == ["hello wörld".encode(), b"", b"x"]
+    assert coder.decode(coded) == ["hello wörld".encode(), b"", b"x"]
 
 
 def test_bpe_query(spark, texts, encoding):
