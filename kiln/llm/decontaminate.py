@@ -12,9 +12,10 @@ separator, and a run of item words shorter than the shortest window is left
 out, since no window can lie in it. Documents are never shuffled.
 
 The benchmark goes to the tasks in blocks of at most ``BLOCK_BYTES`` of item
-text, so that no broadcast grows with it: one pass over the documents per
-block, whose spans and items are then merged per document (one block, the
-usual case, needs no merge).
+text, so that no broadcast grows with it. A task looks for each block's windows
+in the same unchanged text, one block in memory at a time, and unites the hit
+words and items before it counts or cuts: the result does not depend on the
+number of blocks.
 
 Defined cases: null text has no words; items without words have no windows;
 repeated item_ids count once; repeated documents are judged alike, each on its
@@ -25,11 +26,12 @@ ignored (``remove_contamination`` keeps them).
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -134,28 +136,49 @@ def spans_of(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
-def _blocks(benchmark: DataFrame) -> list[Windows]:
-    """The benchmark's windows in blocks of bounded item text (the driver holds one block's texts at a time)."""
+def united_hits(words: Words, blocks: Iterable[Windows]) -> tuple[np.ndarray, list[list[str]]]:
+    """``shard_hits`` of all blocks' windows together, each found in the same words."""
+    hit = np.zeros(len(words.hash), bool)
+    items: list[list[str]] = [[] for _ in range(len(words.first) - 1)]
+    for windows in blocks:
+        own, found = shard_hits(words, windows)
+        hit |= own
+        for doc, more in enumerate(found):
+            if more:
+                items[doc] = sorted({*items[doc], *more})
+    return hit, items
+
+
+def _blocks(benchmark: DataFrame) -> list[Broadcast]:
+    """The benchmark's windows in blocks of bounded item text (the driver's Python holds one block at a time)."""
+    context = benchmark.sparkSession.sparkContext
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string"))
     size = items.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0))).first()[0]
     n = max(1, -(-size // BLOCK_BYTES))
     out = []
     for k in range(n):
         rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k).orderBy("item_id", "text").collect()
-        out.append(item_windows([r["item_id"] for r in rows], [r["text"] for r in rows]))
+        out.append(context.broadcast(item_windows([r["item_id"] for r in rows], [r["text"] for r in rows])))
     return out
 
 
-def _scan(docs: DataFrame, windows: Windows, schema: str, make) -> DataFrame:
+def _in_turn(blocks: list[Broadcast]) -> Iterator[Windows]:
+    """Each block's windows; of several blocks a worker keeps none."""
+    for block in blocks:
+        yield block.value
+        if len(blocks) > 1:
+            vars(block).pop("_value", None)
+
+
+def _scan(docs: DataFrame, blocks: list[Broadcast], schema: str, make) -> DataFrame:
     """``make(batch, words, hit, items)`` for each shard of the documents."""
     small_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(windows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, limit=SHARD_BYTES):
             data, offsets = text_bytes(batch.column("text"))
             words = Words(data, offsets)
-            yield make(batch, words, *shard_hits(words, shared.value))
+            yield make(batch, words, *united_hits(words, _in_turn(blocks)))
 
     return docs.mapInArrow(task(run), schema)
 
@@ -176,66 +199,29 @@ def _counts(batch: pa.RecordBatch, words: Words, hit: np.ndarray, items: list[li
         ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
 
 
-def _spans(batch: pa.RecordBatch, words: Words, hit: np.ndarray, items: list[list[str]]) -> pa.RecordBatch:
-    """Per document: its words, its hit runs of words and the items found, for merging over blocks."""
-    rows = []
-    for k, (a, z) in enumerate(zip(words.first[:-1], words.first[1:])):
-        first, end = spans_of(hit[a:z])
-        rows.append([{"first": int(x), "end": int(y)} for x, y in zip(first, end)])
-    kind = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
-    return pa.RecordBatch.from_arrays(
-        [batch.column("row"), batch.column("doc_id"), pa.array(np.diff(words.first)), pa.array(rows, kind),
-         pa.array(items, pa.list_(pa.string()))], ["row", "doc_id", "n_words", "spans", "items"])
-
-
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Per document: its words, those covered by an occurring window, and a digest of the items found."""
-    blocks = _blocks(benchmark)
-    if len(blocks) == 1:
-        return _scan(doc_columns(docs), blocks[0], SCHEMA, _counts)
-    rows = doc_columns(docs).withColumn("row", F.monotonically_increasing_id())
-    schema = "row long, doc_id long, n_words long, spans array<struct<first:long,end:long>>, items array<string>"
-    parts = [_scan(rows, b, schema, _spans) for b in blocks]
-    found = parts[0]
-    for p in parts[1:]:
-        found = found.unionByName(p)
-    merged = found.groupBy("row").agg(
-        F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
-    covered = F.aggregate(
-        "spans", F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("end")),
-        lambda acc, s: F.struct(
-            (acc["n"] + F.greatest(F.lit(0).cast("long"), s["end"] - F.greatest(acc["end"], s["first"]))).alias("n"),
-            F.greatest(acc["end"], s["end"]).alias("end")), lambda acc: acc["n"])
-    return merged.select("doc_id", "n_words", covered.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
-                         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
-                         (F.size("spans") > 0).alias("contaminated"))
+    return _scan(doc_columns(docs), _blocks(benchmark), SCHEMA, _counts)
 
 
 def remove_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` with each run of hit words, from its first to its last character, taken out of the text.
 
-    Columns are kept; a null text stays null. With several blocks of items the documents pass through each, and a
-    word is judged on what the blocks before left.
+    Columns are kept; a null text stays null.
     """
-    out = docs
-    for windows in _blocks(benchmark):
-        names = out.columns
-
-        def cut(batch: pa.RecordBatch, words: Words, hit: np.ndarray, items: list[list[str]],
-                names=names) -> pa.RecordBatch:
-            texts = batch.column("text").to_pylist()
-            data, offsets = text_bytes(batch.column("text"))
-            for k in np.unique(words.doc[hit]):
-                a, z = words.first[k], words.first[k + 1]
-                first, end = spans_of(hit[a:z])
-                edges = [offsets[k], *np.column_stack([words.start[a:z][first], words.end[a:z][end - 1]]).ravel(),
-                         offsets[k + 1]]
-                texts[k] = b"".join(data[x:y].tobytes() for x, y in zip(edges[::2], edges[1::2])).decode()
-            columns = [pa.array(texts, batch.schema.field("text").type) if n == "text" else batch.column(i)
-                       for i, n in enumerate(names)]
-            return pa.RecordBatch.from_arrays(columns, names)
-
-        out = _scan(out, windows, out.schema, cut)
-    return out
+    names = docs.columns
+
+    def cut(batch: pa.RecordBatch, words: Words, hit: np.ndarray, items: list[list[str]]) -> pa.RecordBatch:
+        texts = batch.column("text").to_pylist()
+        data, offsets = text_bytes(batch.column("text"))
+        for k in np.unique(words.doc[hit]):
+            a, z = words.first[k], words.first[k + 1]
+            first, end = spans_of(hit[a:z])
+            edges = [offsets[k], *np.column_stack([words.start[a:z][first], words.end[a:z][end - 1]]).ravel(),
+                     offsets[k + 1]]
+            texts[k] = b"".join(data[x:y].tobytes() for x, y in zip(edges[::2], edges[1::2])).decode()
+        columns = [pa.array(texts, batch.schema.field("text").type) if n == "text" else batch.column(i)
+                   for i, n in enumerate(names)]
+        return pa.RecordBatch.from_arrays(columns, names)
+
+    return _scan(docs, _blocks(benchmark), docs.schema, cut)

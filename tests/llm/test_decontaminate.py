@@ -90,6 +90,25 @@ def test_removal_keeps_columns_and_cuts_spans(spark, odd):
     assert by[2]["text"] is None and by[8]["text"] == "one two" and by[1]["words"] == "x"
 
 
+def test_removal_does_not_depend_on_the_number_of_blocks(spark, monkeypatch):
+    w = [f"w{k}" for k in range(1, 31)]
+    docs, items = planted()
+    docs += [(70, f"start {' '.join(w[:14])} end"), (71, " ".join([*w[:5], *w[20:30], *w[5:15]]))]
+    # overlapping items, and one whose cut would join the sides of document 71 into another item's window
+    items += [(100 + k, " ".join(w[k:k + 10])) for k in range(5)] + [(120, " ".join(w[20:30]))]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+
+    def kept():
+        return sorted((tuple(r) for r in decontaminate.remove_contamination(df, bench).collect()), key=str)
+
+    whole = kept()
+    assert {(70, "start  end"), (71, f"{' '.join(w[:5])}  {' '.join(w[5:15])}")} <= set(whole)
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 300)
+    assert len(decontaminate._blocks(bench)) > 1
+    assert kept() == whole
+
+
 def naive_suffixes(seq):
     """Order with each separator a sign of its own, below every code."""
     def key(p):
