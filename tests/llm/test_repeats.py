@@ -83,6 +83,39 @@ def test_removal_on_planted_repeats(spark):
     assert rows_of(repeats.remove_repeats(spark, df)) == brute_removed([(i, t.encode()) for i, t in docs])
 
 
+def line_in_changing_text(rng):
+    """A line below MATCH bytes in many documents, in other text each time, and a passage in most of them."""
+    prose = lambda n: "".join(rng.choice("abcdefgh éß\n") for _ in range(n))
+    line, passage = prose(40), prose(120)
+    return [(k, prose(60) + line + prose(60) + (passage if k % 3 else "") + prose(20)) for k in range(150)]
+
+
+@pytest.mark.parametrize("hot_runs", [3, 40])
+def test_removal_under_hot_names(spark, monkeypatch, hot_runs):
+    monkeypatch.setattr(repeats, "HOT_RUNS", hot_runs)
+    docs = line_in_changing_text(random.Random(6))
+    docs += [(200 + k, docs[k][1][:80 + k]) for k in range(20)] + [(300, "a" * 500), (301, "a" * 700), (None, docs[1][1])]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    assert rows_of(repeats.remove_repeats(spark, df)) == brute_removed([(i, t.encode()) for i, t in docs])
+
+
+def test_a_group_sends_a_common_segment_once(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "HOT_RUNS", 20, raising=False)
+    docs, most, real = line_in_changing_text(random.Random(6)), [], repeats.removal_spans
+    docs += [(500 + k, docs[4][1]) for k in range(200)]
+
+    def counted(segments):
+        names = [x for r in segments.collect() for x in np.frombuffer(r["names"], np.uint64).tolist()]
+        most.append(max(names.count(x) for x in set(names)))
+        return real(segments)
+
+    monkeypatch.setattr(repeats, "removal_spans", counted)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    assert rows_of(repeats.remove_repeats(spark, df)) == brute_removed([(i, t.encode()) for i, t in docs])
+    # four groups: a name has a segment of each, or a few more below HOT_RUNS; not one for each of 350 documents
+    assert most[0] <= 20
+
+
 def test_removal_on_odd_documents(spark, odd, none):
     rows = rows_of(repeats.remove_repeats(spark, odd))
     assert rows == brute_removed([(d["doc_id"], (d["text"] or "").encode()) for d in odd.collect()])
