@@ -174,7 +174,8 @@ def predict_languages(docs: DataFrame, model: Model | None) -> DataFrame:
 def keep_languages(docs: DataFrame, model: Model | None, min_score: float = 0.0) -> DataFrame:
     """The rows of ``docs`` whose text has a language (not ``und``) with at least ``min_score``.
 
-    Columns are kept; a null ``lang`` is filled with the prediction.
+    Without a model, which can judge no text, the rows whose text has a letter. Columns are kept; a null ``lang`` is
+    filled with the prediction.
     """
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -186,7 +187,7 @@ def keep_languages(docs: DataFrame, model: Model | None, min_score: float = 0.0)
             text = batch.column("text")
             letters = np.array([t is not None and any(map(str.isalpha, t)) for t in text.to_pylist()], bool)
             lang, score = predict(m, text, letters)
-            keep = pa.array((lang != UND) & (score >= min_score))
+            keep = pa.array(letters if m is None else (lang != UND) & (score >= min_score))
             if "lang" in names:
                 filled = pc.coalesce(batch.column("lang"), pa.array(lang, batch.schema.field("lang").type))
                 batch = batch.set_column(names.index("lang"), batch.schema.field("lang"), filled)

@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from kiln.llm import language, quality
 from kiln.llm.registry import op3_quality_classifier, op4_language_id
@@ -101,3 +102,12 @@ def test_language_defined_cases(spark, odd, none):
     assert kept.columns == odd.columns
     got = {r["doc_id"]: r["lang"] for r in kept.collect()}
     assert set(got) == {1, 6, 7, 8, 9, None, 10, 11, 12, 13} and got[10] is not None and got[6] == "fr"
+
+
+def test_without_learned_languages_texts_with_letters_stay(spark, odd):
+    unlabelled = odd.withColumn("lang", F.lit(None).cast("string"))
+    model = language.learn(unlabelled)
+    assert model is None
+    kept = language.keep_languages(unlabelled, model)
+    want = [d["text"] for d in odd.collect() if any(map(str.isalpha, d["text"] or ""))]
+    assert sorted(r["text"] for r in kept.collect()) == sorted(want) and want
