@@ -17,10 +17,10 @@ in the same unchanged text, one block in memory at a time, and unites the hit
 words and items before it counts or cuts: the result does not depend on the
 number of blocks.
 
-Defined cases: null text has no words; items without words or
-without an item_id have no windows; repeated item_ids count once; repeated documents are judged alike, each on its
-own row; empty tables give no hits or an empty result; other columns are
-ignored (``remove_contamination`` keeps them).
+Defined cases: null text has no words; items without words or without an
+item_id have no windows; repeated item_ids count once; repeated documents are
+judged alike, each on its own row; empty tables give no hits or an empty
+result; other columns are ignored (``remove_contamination`` keeps them).
 """
 
 from __future__ import annotations
