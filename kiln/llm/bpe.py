@@ -1,21 +1,24 @@
 """Operator 5: byte-level BPE encoding and decoding with DuckDB recursive queries per partition.
 
 Each task keeps one in-process DuckDB with the merge table ``merges(pair, m)``:
-two adjacent token ids and the id (= rank) of their concatenation. Words become
-rows ``(w, pos, id)``, one per byte. A recursive query joins adjacent rows with
+two adjacent token ids and the id (= rank) of their concatenation. Both tables
+are built once and broadcast. All words become rows ``(w, pos, id)``, one per byte. A recursive query joins adjacent rows with
 the merge table, contracts each word's leftmost minimum-rank pair and repeats
 until no word has a pair left; decoding joins ids with the token table and
 concatenates the bytes by an ordered aggregation. Words of over ``SHORT`` bytes
 contract every leftmost non-overlapping pair of the minimum rank per step (a
 merged token only takes part in later ranks, so the result is the same).
 
-Spark partitions the documents; a worker looks each distinct unit of a slice
-up once (``pretokens.Units``) and encodes it once while it stays in the task's
-bounded cache. No shuffle, no collect.
+Spark partitions the documents; a worker encodes each distinct unit of a slice
+once (``pretokens.Units``) and keeps nothing between slices. No shuffle, no
+collect. Every token must be reachable by its merges, as in every vocabulary
+that byte-pair training gives (tested for the one used here).
 
 Defined cases: null text is empty; an empty text has 0 tokens and the SHA-256
-of the empty string; repeated rows give repeated rows; an empty table gives an
-empty result; other columns are ignored.
+of the empty string; a very long text is a slice of its own, and a very long
+word costs a query per ``ROUNDS`` ranks (seconds for 10 kB); repeated rows give
+repeated rows; there are no ties (the leftmost pair of the least rank goes
+first); an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,14 +26,15 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .common import doc_columns, slices, strings, task
-from .pretokens import Cache, Units
+from .common import doc_columns, slices, strings, task, text_bytes
+from .pretokens import Units
 
 #: words of up to SHORT bytes go together, ROWS bytes at once; longer words are contracted ROUNDS deep at a time
 SHORT, ROWS, ROUNDS = 64, 250_000, 24
@@ -52,7 +56,7 @@ with recursive t(w, pos, id, live) as (
    where best.w is null or best.next_pos <> p.pos)
 )
 select w, string_agg(id, ' ' order by pos) ids, string_agg(hex, '' order by pos) hex
-from t join tokens using (id) where not live group by w"""
+from t join tokens using (id) where not live group by w order by w"""
 
 LONG_SQL = f"""
 with recursive t(w, pos, id, live, round) as (
@@ -82,7 +86,7 @@ select w, pos, id, live from t where not live or round = {ROUNDS} order by pos""
 
 DECODE_SQL = """
 select w, string_agg(id, ' ' order by pos) ids, string_agg(hex, '' order by pos) hex
-from coded join tokens using (id) group by w"""
+from coded join tokens using (id) group by w order by w"""
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -91,23 +95,40 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
+def vocabulary(path: str) -> tuple[bytes, bytes]:
+    """The merge table (pair, m) and the token table (id, hex) of a rank file as Arrow streams.
+
+    Built once on the driver; their size is that of the vocabulary, whatever the corpus.
+    """
+    ranks = read_ranks(path)
+    pairs = [(a * 65536 + b, m) for t, m in ranks.items() for i in range(1, len(t))
+             if (a := ranks.get(t[:i])) is not None and (b := ranks.get(t[i:])) is not None]
+    merges = pa.table({"pair": pa.array([p for p, _ in pairs], pa.int64()),
+                       "m": pa.array([m for _, m in pairs], pa.int32())})
+    tokens = pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "hex": pa.array([t.hex() for t in ranks])})
+    return _stream(merges), _stream(tokens)
+
+
+def _stream(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
 class ByteBPE:
-    """Encoder and decoder of one rank file; lives as long as a task, so idle workers hold no memory."""
+    """Encoder and decoder of one vocabulary (a rank file or its tables); lives as long as a task."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, source: str | tuple[bytes, bytes], pattern: str):
         import duckdb
         import regex
-        self.ranks = read_ranks(path)
         self.find = regex.compile(pattern).findall
-        self.byte_id = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
-        pairs = [(a * 65536 + b, m) for t, m in self.ranks.items() for i in range(1, len(t))
-                 if (a := self.ranks.get(t[:i])) is not None and (b := self.ranks.get(t[i:])) is not None]
-        self._load("merges", pa.table({"pair": pa.array([p for p, _ in pairs], pa.int64()),
-                                       "m": pa.array([m for _, m in pairs], pa.int32())}))
-        self._load("tokens", pa.table({"id": pa.array(list(self.ranks.values()), pa.int32()),
-                                       "hex": pa.array([t.hex() for t in self.ranks])}))
-        self.units = Cache(self._units)
+        for name, stream in zip(("merges", "tokens"), vocabulary(source) if isinstance(source, str) else source):
+            self._load(name, pa.ipc.open_stream(stream).read_all())
+        single = self.con.sql("select id, hex from tokens where length(hex) = 2").to_arrow_table()
+        self.byte_id = np.zeros(256, np.int32)
+        self.byte_id[[int(h, 16) for h in single["hex"].to_pylist()]] = np.asarray(single["id"])
 
     def _load(self, name: str, table: pa.Table) -> None:
         self.con.register("loading", table)
@@ -121,45 +142,45 @@ class ByteBPE:
         finally:
             self.con.unregister(name)
 
-    def _start(self, words: list[bytes]) -> pa.Table:
-        raw = np.frombuffer(b"".join(words), np.uint8)
-        w = np.repeat(np.arange(len(words), dtype=np.int32), [len(x) for x in words])
+    def _start(self, raw: np.ndarray, sizes: np.ndarray) -> pa.Table:
+        """One row per byte of the words that lie one after another in ``raw``."""
+        w = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
         return pa.table({"w": w, "pos": np.arange(len(raw), dtype=np.int32), "id": self.byte_id[raw]})
 
-    def _contract(self, words: list[bytes]) -> pa.Table:
-        """(w, ids, hex) of words that are no token themselves."""
-        if max(map(len, words)) <= SHORT:
-            return self._query(SHORT_SQL, "start", self._start(words))
-        live, done = self._start(words), []
+    def _contract_long(self, raw: np.ndarray) -> pa.Table:
+        live, done = self._start(raw, np.array([len(raw)])), []
         while live.num_rows:
             got = self._query(LONG_SQL, "start", live)
             done.append(got.filter(pc.invert(got["live"])).drop_columns("live"))
             live = got.filter(got["live"]).drop_columns("live")
         return self._query(DECODE_SQL, "coded", pa.concat_tables(done))
 
+    def encode(self, words: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """(ids as text, hex of the bytes decoded from them) of each pre-token, in order; no word may be empty."""
+        raw, offsets = text_bytes(words)
+        sizes = np.diff(offsets)
+        short = np.flatnonzero(sizes <= SHORT)
+        order, parts = [short], []
+        ends = np.cumsum(sizes[short])
+        start = 0
+        while start < len(short):
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + ROWS, side="right")))
+            some = short[start:stop]
+            at = np.repeat(offsets[some] - np.concatenate([[0], ends[start:stop - 1] - before]), sizes[some])
+            bytes_of = raw[at + np.arange(len(at))]
+            parts.append(self._query(SHORT_SQL, "start", self._start(bytes_of, sizes[some])))
+            start = stop
+        for i in np.flatnonzero(sizes > SHORT):
+            order.append([i])
+            parts.append(self._contract_long(raw[offsets[i]:offsets[i + 1]]))
+        if not parts:
+            return pa.array([], pa.string()), pa.array([], pa.string())
+        back = pa.array(np.argsort(np.concatenate(order).astype(np.int64), kind="stable"))
+        return tuple(pa.concat_arrays([p[c].combine_chunks() for p in parts]).take(back) for c in ("ids", "hex"))
+
     def encode_words(self, words: list[str]) -> list[tuple[str, str]]:
-        """(ids as text, hex of the bytes decoded from them) of each pre-token."""
-        raw = [w.encode() for w in words]
-        out: list[tuple[str, str] | None] = [None] * len(raw)
-        short, long = [], []
-        for i, w in enumerate(raw):
-            whole = self.ranks.get(w)
-            if whole is not None:
-                out[i] = (str(whole), w.hex())
-            else:
-                (short if len(w) <= SHORT else long).append(i)
-        blocks = [[i] for i in long]
-        for i in short:
-            if not blocks or blocks[-1][0] in long[-1:] or size + len(raw[i]) > ROWS:
-                blocks.append([])
-                size = 0
-            blocks[-1].append(i)
-            size += len(raw[i])
-        for block in blocks:
-            got = self._contract([raw[i] for i in block])
-            for w, ids, hexed in zip(*(got[c].to_pylist() for c in ("w", "ids", "hex"))):
-                out[block[w]] = (ids, hexed)
-        return out
+        return list(zip(*(x.to_pylist() for x in self.encode(pa.array(words, pa.large_string())))))
 
     def decode(self, coded: list[list[int]]) -> list[bytes]:
         """Bytes of each id sequence: tokens joined in position order."""
@@ -170,25 +191,21 @@ class ByteBPE:
         hexed = dict(zip(got["w"].to_pylist(), got["hex"].to_pylist()))
         return [bytes.fromhex(hexed.get(i, "")) for i in range(len(coded))]
 
-    def _units(self, units: list[str]) -> list[tuple[str, str]]:
-        """(ids as text, hex of the decoded bytes) of each unit, word by word."""
-        words = [self.find(u) for u in units]
-        distinct = list(dict.fromkeys(w for ws in words for w in ws))
-        coded = dict(zip(distinct, self.encode_words(distinct)))
-        return [coded[ws[0]] if len(ws) == 1 else
-                (" ".join([coded[w][0] for w in ws]), "".join([coded[w][1] for w in ws])) for ws in words]
-
     def encode_texts(self, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
         """(ids joined by one space, bytes decoded from them) of each text."""
         units = Units(texts)
-        got = self.units.look_up(units.distinct)
-        ids = pa.array([i for i, _ in got], pa.string())
-        decoded = pa.array([bytes.fromhex(h) for _, h in got], pa.binary())
-        return units.join(ids, " "), units.join(decoded, b"")
+        words = [self.find(u) for u in units.distinct]
+        ends = np.cumsum([0, *map(len, words)])
+        ids, hexed = self.encode(pa.array(list(chain.from_iterable(words)), pa.large_string()))
+        if ends[-1] != len(words):                     # units of several words (none of no word: they hold text)
+            ids, hexed = (pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), x), sep)
+                          for x, sep in ((ids, " "), (hexed, "")))
+        decoded = [bytes.fromhex(h) for h in units.join(hexed, "").to_pylist()]
+        return units.join(ids, " "), pa.array(decoded, pa.binary())
 
 
 #: text bytes encoded at once: distinct pieces are looked up once per slice
-BPE_SLICE = 4 << 20
+BPE_SLICE = 2 << 20
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -198,9 +215,10 @@ def bpe_encode(docs: DataFrame, path: str, pattern: str, keep_ids: bool = False)
     ``keep_ids`` adds the ids (array<int>) and the decoded text as columns.
     """
     schema = SCHEMA + (", ids array<int>, decoded string" if keep_ids else "")
+    tables = docs.sparkSession.sparkContext.broadcast(vocabulary(path))      # as large as the vocabulary file
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ByteBPE(path, pattern)
+        bpe = ByteBPE(tables.value, pattern)
         for batch in slices(batches, limit=BPE_SLICE):
             ids, decoded = bpe.encode_texts(strings(batch.column(1)))
             n = np.asarray(pc.count_substring(ids, " ")) + (np.asarray(pc.binary_length(ids)) > 0)
