@@ -496,3 +496,41 @@ def raw_from_testdata(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All 15 raw extracts as lazy DataFrames over the driver tables in ``sf_dir``."""
     d = load_driver_tables(spark, sf_dir)
     return {name: fn(d) for name, fn in ADAPTERS.items()}
+
+
+# ---- extracts of the dated features (effective-dated mappings, exchange rates) ------------------
+
+def mapping_history(d) -> DataFrame:
+    """Effective-dated SKU mappings, shaped like the standardised taxonomy: replaced, nested, ended, tied and open
+    ranges by ``p_partkey % 6``; one spelling of every sixth part is missing and some rows are inactive."""
+    k = F.col("p_partkey")
+    kind = k % 6
+    p = lp("p_partkey", 7)
+    std = cat("SKU-", p)
+
+    def row(value: Column, start: str | None, end: str | None, active: int = 1) -> Column:
+        return F.struct(value.alias("standard_value"), F.lit(start).cast("string").alias("effective_start_date"),
+                        F.lit(end).cast("string").alias("effective_end_date"), F.lit(active).alias("is_active"))
+
+    ranges = (F.when(kind == 0, F.array(row(cat(std, "-A"), None, "1997-12-31"), row(std, "1998-01-01", None)))
+              .when(kind == 1, F.array(row(std, "1992-01-01", None), row(cat(std, "-PROMO"), "1998-01-01", "1998-06-30")))
+              .when(kind == 2, F.array(row(std, "1998-01-01", "2000-06-30")))
+              .when(kind == 3, F.array(row(cat(std, "-B"), "1996-01-01", None), row(std, "1996-01-01", "not a day")))
+              .when(kind == 4, F.array(row(std, None, None)))
+              .otherwise(F.array(row(std, None, None), row(cat(std, "-OFF"), "1999-01-01", None, active=0))))
+    spellings = F.array(cat("SKU-", p), cat("SKU", p), cat(" sku_", p))
+    rows = d["part"].select("p_partkey", F.explode(spellings).alias("raw_value"), ranges.alias("ranges")).where(
+        ~((F.col("p_partkey") % 6 == 4) & F.col("raw_value").startswith("SKU0")))
+    return rows.select(F.lit("sku_normalization").alias("mapping_type"), "raw_value", F.explode("ranges").alias("r")
+                       ).select("mapping_type", "raw_value", "r.*")
+
+
+def exchange_rates(d) -> DataFrame:
+    """Monthly CAD rates to USD for the months with orders from 1996 on, and one rate of a code that nobody uses."""
+    month = F.trunc(F.to_date("o_orderdate"), "month")
+    months = d["orders"].select(month.alias("effective_date")).distinct().where("effective_date >= date'1996-01-01'")
+    steps = F.month("effective_date") + F.year("effective_date") % 4
+    cad = months.select(F.lit(" cad").alias("currency"), "effective_date", (F.lit(0.5) + steps / 64).alias("rate"))
+    other = months.agg(F.min("effective_date").alias("effective_date")).select(
+        F.lit("XTS").alias("currency"), "effective_date", F.lit(2.0).alias("rate"))
+    return cad.unionByName(other)
