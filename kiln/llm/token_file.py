@@ -16,7 +16,8 @@ open as files (a shared mount).
 Distinct units are encoded once per task, while they stay in its bounded cache (``pretokens.Units``); a unit of
 ASCII letters goes straight to the tokenizer's model.
 
-Defined cases: null text is empty and holds the end id only; repeated doc_ids
+Defined cases: null text is empty and holds the end id only; strings of special tokens in a text become their ids,
+as in the library's plain call; a very long text is a slice of its own; repeated doc_ids
 stand next to each other, ordered by text; null ones come first; an empty table writes no shard and
 reads as an empty result; other columns are ignored.
 """
@@ -46,13 +47,19 @@ TOKEN_SLICE = 4 << 20
 
 
 class WordTokenizer:
-    """Ids of texts by a ``tokenizers`` file; special token strings in a text are ordinary text."""
+    """Ids of texts by a ``tokenizers`` file, as its plain ``encode`` call without added special tokens gives them.
+
+    A text that holds the string of a special token goes whole through that call, which gives the token's id; all
+    others are encoded unit by unit.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        self.plain = Tokenizer.from_file(path)
+        self.special = [t.content for t in self.plain.get_added_tokens_decoder().values()]
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = True        # a unit may look like one once it is lower-cased
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.cache = Cache(self._units)
         self.model = self.tokenizer.model
@@ -70,8 +77,18 @@ class WordTokenizer:
 
     def encode(self, texts: pa.Array) -> pa.Array:
         """The ids of each text as the file's unsigned integers."""
-        units = Units(texts, lower=True)
-        return units.join(pa.array(self.cache.look_up(units.distinct), pa.binary()), b"")
+        marked = np.zeros(len(texts), bool)
+        for content in self.special:
+            marked |= np.asarray(pc.match_substring(texts, content, ignore_case=True))
+        rest = pc.if_else(pa.array(marked), pa.scalar("", texts.type), texts) if marked.any() else texts
+        units = Units(rest, lower=True)
+        coded = units.join(pa.array(self.cache.look_up(units.distinct), pa.binary()), b"")
+        if not marked.any():
+            return coded
+        out = coded.to_pylist()
+        for i in np.flatnonzero(marked):
+            out[i] = np.array(self.plain.encode(texts[i].as_py(), add_special_tokens=False).ids, self.dtype).tobytes()
+        return pa.array(out, pa.binary())
 
 
 def local_path(folder: str) -> str:
@@ -159,4 +176,5 @@ def token_binary(spark: SparkSession, docs: DataFrame, path: str, folder: str |
     work = Workspace(spark, "tokens")
     manifest = work.stage(write_token_files(docs, path, folder or f"{work.base}/shards"), "manifest")
     shards = with_bases(manifest)
-    return read_token_files(shards.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "shard"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return read_token_files(shards.repartitionById(parts, F.pmod("shard", F.lit(parts)).cast("int")))
