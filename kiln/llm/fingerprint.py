@@ -7,18 +7,21 @@ the term's hash, takes t = floor(ln(weight) / r + b) and keeps the term with
 the least ln c - r (t - b) - r. That value depends on the weight through t
 alone, so two documents share a sample exactly where they share its term and
 t, which happens with the probability of their generalised Jaccard similarity
-(sum of least weights over sum of greatest). A fingerprint holds 16 bits of
-each of ``SAMPLES`` values as hex; the likeness of two is the share of equal
-samples.
+(sum of least weights over sum of greatest). A fingerprint holds a name of 16
+bits of each of ``SAMPLES`` kept (term, t) as hex; names are integers from
+hashes, so a last digit of a logarithm cannot change them. The likeness of two
+fingerprints is the share of equal samples.
 
 ``edited_fingerprints`` needs each document's successor: shards are ranges of
 doc_id, sorted within; each shard also receives the first document of the
-next one. One shuffle of the texts; the driver only sees shard borders.
+next one. One shuffle of the texts; the driver only sees shard borders. A text
+and its edited form are drawn together, so terms they share are drawn once.
 
 Defined cases: null text is empty; equal texts have equal fingerprints, empty
-ones too; repeated doc_ids follow each other in text order, and so may be each
-other's next document; a single document follows itself; an empty table gives
-an empty result; other columns are ignored.
+ones too; terms of equal value keep the smaller name; a very long text is a
+slice of its own; repeated doc_ids follow each other in text order, and so may
+be each other's next document; a single document follows itself; an empty
+table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,37 +35,53 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import doc_columns, slices, text_bytes, task
+from .common import doc_columns, slices, strings, task, text_bytes
 from .words import Words, mix
 
 SAMPLES = 128
 #: text bytes fingerprinted at once: (term, weight) pairs are drawn once per slice
 TEXT_SLICE = 4 << 20
+#: text bytes of a shard, about
+SHARD_BYTES = 64 << 20
 #: rows of the (term, weight) table and of gathered terms that are held at once
 BLOCK = 16_384
-# one odd stream constant per pair of uniform draws (fixed values)
-STREAMS = tuple(np.uint64(x) for x in (0xD1342543DE82EF95, 0xA24BAED4963EE407, 0x9FB21C651E98DF25))
+# one odd stream constant per 64 hashed bits (fixed values)
+STREAMS = tuple(np.uint64(x) for x in (0xD1342543DE82EF95, 0xA24BAED4963EE407))
 
 
-def _uniforms(terms: np.ndarray, stream: np.uint64) -> tuple[np.ndarray, np.ndarray]:
-    """Two draws from (0, 1) for each term (rows) and sample (columns)."""
+def _streams(terms: np.ndarray, stream: np.uint64) -> np.ndarray:
+    """64 hashed bits for each term (rows) and sample (columns)."""
     steps = (np.arange(1, SAMPLES + 1, dtype=np.uint64) * stream)[None, :]
-    h = mix(terms[:, None] + steps)
-    low = (h & np.uint64(0xFFFFFFFF)).astype(np.float32)
-    high = (h >> np.uint64(32)).astype(np.float32)
-    scale, half = np.float32(1 / 2**32), np.float32(2**-33)
-    return low * scale + half, high * scale + half
-
-
-def sample_values(terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """The value that each (term, weight) enters each sample with."""
-    a, b = _uniforms(terms, STREAMS[0])
-    r = -np.log(a * b)
-    a, b = _uniforms(terms, STREAMS[1])
-    ln_c = np.log(-np.log(a * b))
-    shift = np.minimum(_uniforms(terms, STREAMS[2])[0], np.float32(1 - 2**-24))
+    return mix(terms[:, None] + steps)
+
+
+def _uniform(h: np.ndarray, shift: int, bits: int) -> np.ndarray:
+    """A draw from (0, 1) of ``bits`` bits of the hash."""
+    part = (h >> np.uint64(shift)) & np.uint64((1 << bits) - 1)
+    return part.astype(np.float32) * np.float32(2.0**-bits) + np.float32(2.0**(-bits - 1))
+
+
+def sample_values(terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(value, name) that each (term, weight) enters each sample with.
+
+    The value decides which term a sample keeps; the name, 16 bits that depend on the term and t alone, is what the
+    fingerprint holds of it. Both come from hashes: two draws of 32 bits for r, two of 20 and 23 for c, 20 for b.
+    """
+    h = _streams(terms, STREAMS[0])
+    r = -np.log(_uniform(h, 0, 32) * _uniform(h, 32, 32))
+    h = _streams(terms, STREAMS[1])
+    ln_c = np.log(-np.log(_uniform(h, 0, 23) * _uniform(h, 23, 20)))
+    shift = _uniform(h, 43, 20)
     t = np.floor(np.log(weights.astype(np.float32))[:, None] / r + shift)
-    return ln_c - r * (t - shift) - r
+    name = (h * STREAMS[0] >> np.uint64(48)).astype(np.uint16) + t.astype(np.int32).astype(np.uint16) * np.uint16(0x9E37)
+    return ln_c - r * (t - shift) - r, name
+
+
+def _ordered(values: np.ndarray) -> np.ndarray:
+    """Unsigned integers in the order of the float32 values."""
+    bits = values.view(np.uint32)
+    sign = np.uint32(1 << 31)
+    return np.where(bits & sign, ~bits, bits | sign)
 
 
 def signatures(column: pa.Array) -> np.ndarray:
@@ -79,20 +98,21 @@ def signatures(column: pa.Array) -> np.ndarray:
     distinct, code = np.unique(terms, return_inverse=True)
     key, weight = np.unique(docs * len(distinct) + code, return_counts=True)
     doc, code = np.divmod(key, max(1, len(distinct)))
-    # each distinct (term, weight) is drawn once per slice
+    # each distinct (term, weight) is drawn once per call
     pair, row = np.unique(code * (weight.max(initial=1) + 1) + weight, return_inverse=True)
     pair_code, pair_weight = np.divmod(pair, weight.max(initial=1) + 1)
-    table = np.empty((len(pair), SAMPLES), np.float32)
+    values, names = np.empty((len(pair), SAMPLES), np.uint32), np.empty((len(pair), SAMPLES), np.uint16)
     for k in range(0, len(pair), BLOCK):
-        table[k:k + BLOCK] = sample_values(distinct[pair_code[k:k + BLOCK]], pair_weight[k:k + BLOCK])
-    least = np.full((n, SAMPLES), np.inf, np.float32)
+        v, names[k:k + BLOCK] = sample_values(distinct[pair_code[k:k + BLOCK]], pair_weight[k:k + BLOCK])
+        values[k:k + BLOCK] = _ordered(v)
+    least = np.full((n, SAMPLES), np.iinfo(np.uint64).max, np.uint64)
     for k in range(0, len(row), BLOCK):
-        d = doc[k:k + BLOCK]
+        d, some = doc[k:k + BLOCK], row[k:k + BLOCK]
         begin = np.flatnonzero(np.concatenate([[True], d[1:] != d[:-1]]))
         at = d[begin]
-        least[at] = np.minimum(least[at], np.minimum.reduceat(table[row[k:k + BLOCK]], begin, axis=0))
-    bits = mix(least.view(np.uint32).astype(np.uint64) + np.uint64(1))
-    return (bits >> np.uint64(48)).astype("<u2")
+        both = (values[some].astype(np.uint64) << np.uint64(16)) | names[some]
+        least[at] = np.minimum(least[at], np.minimum.reduceat(both, begin, axis=0))
+    return least.astype("<u2")
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -148,7 +168,8 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     Edited: the last quarter of the code points (rounded down) replaced by as many first ones of the next document.
     """
     docs = doc_columns(docs).withColumn("text", F.coalesce("text", F.lit("")))
-    shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    shards = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.RecordBatch | None = None  # the row before the slice, whose next document the slice begins with
@@ -163,7 +184,9 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
             texts = rows.column("text").to_pylist()
             at = np.flatnonzero(own)
             edited = [texts[i][:len(texts[i]) - len(texts[i]) // 4] + texts[i + 1][:len(texts[i]) // 4] for i in at]
-            sig, changed = signatures(rows.column("text")), signatures(pa.array(edited, pa.large_string()))
+            # one call: a text and its edited form share nearly all their terms
+            both = signatures(pa.concat_arrays([strings(rows.column("text")), pa.array(edited, pa.large_string())]))
+            sig, changed = both[:len(texts)], both[len(texts):]
             yield pa.RecordBatch.from_arrays(
                 [rows.column("doc_id").take(pa.array(at)), pa.array([len(texts[i]) for i in at], pa.int64()),
                  pa.array([hashlib.sha256(x.encode()).hexdigest() for x in edited]), pa.array(to_hex(sig[at])),
@@ -172,6 +195,6 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
                 ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited",
                  "near_next"])
 
-    parts = _sharded(docs, shards).repartition(shards, "shard")
+    parts = _sharded(docs, shards).repartitionById(shards, F.col("shard").cast("int"))
     ordered = parts.sortWithinPartitions("shard", "tail", F.col("doc_id").asc_nulls_first(), "text")
     return ordered.mapInArrow(task(run), EDITED)
