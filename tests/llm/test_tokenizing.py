@@ -28,6 +28,12 @@ def encoding():
 
 @pytest.fixture(scope="module")
 def tokenizer():
+    return tokenizers.Tokenizer.from_file(WORDS)
+
+
+@pytest.fixture(scope="module")
+def ordinary():
+    """The tokenizer that takes special strings as ordinary text, as it is used for units."""
     t = tokenizers.Tokenizer.from_file(WORDS)
     t.encode_special_tokens = True
     return t
@@ -42,7 +48,7 @@ def sha(x):
     return hashlib.sha256(x if isinstance(x, bytes) else x.encode()).hexdigest()
 
 
-def test_units_never_split_a_match(tokenizer):
+def test_units_never_split_a_match(ordinary):
     rng = random.Random(1)
     find = regex.compile(PATTERN).findall
     signs = [" ", "  ", "\n", "\t", "\r", "\x1c", "\x85", "\xa0", "　", "a", "b", "S", "t", "é", "ß", "字", "'", "'s",
@@ -56,8 +62,8 @@ def test_units_never_split_a_match(tokenizer):
                 assert "".join(own).lower() == t.lower()
                 if not lower:
                     assert [w for x in own for w in find(x)] == find(t)
-                assert [i for x in own for i in tokenizer.encode(x, add_special_tokens=False).ids] == \
-                    tokenizer.encode(t, add_special_tokens=False).ids
+                assert [i for x in own for i in ordinary.encode(x, add_special_tokens=False).ids] == \
+                    ordinary.encode(t, add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("text", ["", " ", "a" * 3000, " " * 400 + "x", "ab" * 900, "\n x\n\ny  \n", "don't I'll 'S"])
@@ -76,6 +82,23 @@ def test_bpe_long_words_in_several_rounds(encoding, coder):
         assert bytes.fromhex(hexed) == w.encode()
 
 
+def test_every_token_comes_out_of_its_merges(coder):
+    ranks = bpe.read_ranks(RANKS)
+    words = pa.array(list(ranks), pa.large_binary())
+    ids, hexed = coder.encode(words)
+    assert ids.to_pylist() == [str(r) for r in ranks.values()] and hexed.to_pylist() == [t.hex() for t in ranks]
+
+
+def test_bpe_words_around_the_block_size(encoding, coder, monkeypatch):
+    rng = random.Random(3)
+    words = ["".join(rng.choice("aeiou stnr") for _ in range(rng.choice([1, 5, 9, 63, 64, 65, 80]))) for _ in range(300)]
+    words = ["x" + w.replace(" ", "e") for w in words]
+    for rows in (1, 64, 65, 1000):
+        monkeypatch.setattr(bpe, "ROWS", rows)
+        got = coder.encode_words(words)
+        assert [[int(x) for x in i.split()] for i, _ in got] == [encoding.encode_ordinary(w) for w in words]
+
+
 def test_bpe_decode(encoding, coder):
     coded = [encoding.encode_ordinary(t) for t in ("hello wörld", "", "x")]
     assert coder.decode(coded) == ["hello wörld".encode(), b"", b"x"]
@@ -127,6 +150,15 @@ def test_token_file_odd_documents(spark, odd, none, tokenizer, tmp_path):
     assert [r["start"] for r in with_null if r["doc_id"] is None] == [0]
 
 
+def test_special_strings_become_their_ids_as_in_the_plain_call(spark, tokenizer, tmp_path):
+    special = ["hello <|endoftext|> there", "hello <|ENDOFTEXT|> there", "a<|startoftext|>B", "<|endoftext|>", "<|endoftext|",
+               "It's <|startoftext|><|endoftext|>  x\n" * 40, "no mark at all", "", "<|StartOfText|>é<|endoftext|>É"]
+    docs = spark.createDataFrame(list(enumerate(special)), "doc_id long, text string")
+    rows = token_file.token_binary(spark, docs, WORDS, str(tmp_path / "shards")).collect()
+    check_token_rows(rows, list(enumerate(special)), tokenizer)
+    assert tokenizer.encode(special[0], add_special_tokens=False).ids == [3306, 49407, 997]
+
+
 def test_token_file_needs_a_mounted_folder():
     with pytest.raises(ValueError, match="mounted"):
         token_file.local_path("hdfs://somewhere/x")
