@@ -44,7 +44,7 @@ TEXT_SLICE = 4 << 20
 #: text bytes of a shard, about
 SHARD_BYTES = 64 << 20
 #: rows of the (term, weight) table and of gathered terms that are held at once
-BLOCK = 16_384
+BLOCK = 4_096
 # one odd stream constant per 64 hashed bits (fixed values)
 STREAMS = tuple(np.uint64(x) for x in (0xD1342543DE82EF95, 0xA24BAED4963EE407))
 
@@ -101,17 +101,17 @@ def signatures(column: pa.Array) -> np.ndarray:
     # each distinct (term, weight) is drawn once per call
     pair, row = np.unique(code * (weight.max(initial=1) + 1) + weight, return_inverse=True)
     pair_code, pair_weight = np.divmod(pair, weight.max(initial=1) + 1)
-    values, names = np.empty((len(pair), SAMPLES), np.uint32), np.empty((len(pair), SAMPLES), np.uint16)
+    table = np.empty((len(pair), SAMPLES), np.uint64)             # the value above, the name in the low 16 bits
     for k in range(0, len(pair), BLOCK):
-        v, names[k:k + BLOCK] = sample_values(distinct[pair_code[k:k + BLOCK]], pair_weight[k:k + BLOCK])
-        values[k:k + BLOCK] = _ordered(v)
+        v, name = sample_values(distinct[pair_code[k:k + BLOCK]], pair_weight[k:k + BLOCK])
+        np.left_shift(_ordered(v), np.uint64(16), out=table[k:k + BLOCK], dtype=np.uint64)
+        table[k:k + BLOCK] |= name
     least = np.full((n, SAMPLES), np.iinfo(np.uint64).max, np.uint64)
     for k in range(0, len(row), BLOCK):
         d, some = doc[k:k + BLOCK], row[k:k + BLOCK]
         begin = np.flatnonzero(np.concatenate([[True], d[1:] != d[:-1]]))
         at = d[begin]
-        both = (values[some].astype(np.uint64) << np.uint64(16)) | names[some]
-        least[at] = np.minimum(least[at], np.minimum.reduceat(both, begin, axis=0))
+        least[at] = np.minimum(least[at], np.minimum.reduceat(table[some], begin, axis=0))
     return least.astype("<u2")
 
 
