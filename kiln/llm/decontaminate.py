@@ -17,10 +17,13 @@ in the same unchanged text, one block in memory at a time, and unites the hit
 words and items before it counts or cuts: the result does not depend on the
 number of blocks.
 
-Defined cases: null text has no words; items without words or without an
-item_id have no windows; repeated item_ids count once; repeated documents are
-judged alike, each on its own row; empty tables give no hits or an empty
-result; other columns are ignored (``remove_contamination`` keeps them).
+Defined cases: null text has no words; items without words have no windows;
+the windows of an item without an item_id hit words as any others, but such an
+item is not counted or listed; repeated item_ids count once; repeated documents
+are judged alike, each on its own row; a very long document is a shard of its
+own; there are no ties (overlapping windows unite); empty tables give no hits
+or an empty result; other columns are ignored (``remove_contamination`` keeps
+them).
 """
 
 from __future__ import annotations
@@ -64,10 +67,12 @@ def item_windows(item_ids: list, texts: list[str | None], window: int = WINDOW)
     found: dict[tuple, set[int]] = {}
     for i, (item, a, z) in enumerate(zip(item_ids, words.first[:-1], words.first[1:])):
         own = (code[a:z] + 1).tolist()
-        if item is None or not own:
+        if not own:
             continue
         for k in range(max(1, len(own) - window + 1)):
-            found.setdefault(tuple(own[k:k + window]), set()).add(number[str(item)])
+            of = found.setdefault(tuple(own[k:k + window]), set())
+            if item is not None:                       # an item without an id hits words but has no name to list
+                of.add(number[str(item)])
     phrases = np.zeros((len(found), window), np.int64)
     lengths = np.array([len(p) for p in found], np.int64)
     for k, p in enumerate(found):
@@ -121,7 +126,7 @@ def shard_hits(words: Words, windows: Windows) -> tuple[np.ndarray, list[list[st
     np.add.at(change, first + windows.lengths[window], -1)
     n_docs = len(words.first) - 1
     items: list[list[str]] = [[] for _ in range(n_docs)]
-    if len(window):
+    if len(window) and len(windows.item_ids):
         _, place = expand(windows.item_first[window], windows.item_first[window + 1])
         n = windows.item_first[window + 1] - windows.item_first[window]
         pairs = np.unique(np.repeat(words.doc[first], n) * len(windows.item_ids) + windows.item_of[place])
@@ -157,7 +162,7 @@ def _blocks(benchmark: DataFrame) -> list[Broadcast]:
     n = max(1, -(-size // BLOCK_BYTES))
     out = []
     for k in range(n):
-        rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k).orderBy("item_id", "text").collect()
+        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).orderBy("item_id", "text").collect()
         out.append(context.broadcast(item_windows([r["item_id"] for r in rows], [r["text"] for r in rows])))
     return out
 

@@ -97,7 +97,7 @@ def _words_sql(text: str) -> str:
 
 
 OP9_SQL = f"""
-with items as (select item_id::varchar item_id, {_words_sql('text')} w from benchmark where item_id is not null),
+with items as (select item_id::varchar item_id, {_words_sql('text')} w from benchmark),
 windows as (
   select distinct item_id, list_slice(w, k, k + 9) win
   from (select item_id, w, unnest(generate_series(1, greatest(1, len(w) - 9))) k from items where len(w) > 0)),
@@ -106,10 +106,10 @@ places as (
   select r, k, n, list_slice(w, k, k + n - 1) win
   from (select r, w, n, unnest(generate_series(1, len(w) - n + 1)) k
         from docs, (select distinct len(win) n from windows) where len(w) >= n)),
-found as (select p.r, p.k, p.n, i.item_id from places p join windows i on i.win = p.win),
+found as (select p.r, p.k, p.n, i.item_id from places p join windows i on i.win = p.win),  -- a null id hits words only
 hits as (select r, count(distinct h) n_hit from (select r, unnest(generate_series(k, k + n - 1)) h from found) group by r),
 names as (select r, count(*) n_items, string_agg(item_id, ',' order by item_id) ids
-          from (select distinct r, item_id from found) group by r)
+          from (select distinct r, item_id from found where item_id is not null) group by r)
 select d.doc_id, len(d.w)::bigint n_words, coalesce(h.n_hit, 0)::bigint n_hit, coalesce(s.n_items, 0)::bigint n_items,
        sha256(coalesce(s.ids, '')) items_sha256, coalesce(h.n_hit, 0) > 0 contaminated
 from docs d left join hits h using (r) left join names s using (r)"""
