@@ -9,25 +9,27 @@ one target per language, gives the scores. Scoring a slice is a presence
 matrix and two matrix products. Trigrams are counted in ``TRIGRAM_BITS``-bit
 hash cells, monograms and bigrams in cells of their own.
 
-Learning reads a bounded sample: ``SAMPLE_DOCS`` documents per language by
-the smallest hash of doc_id among the rows that are not held out, of which
-``LANDMARKS`` per language are landmarks. Languages are the ``MAX_LANGUAGES``
-most frequent ones of all learned rows. Scoring reads whole texts in one pass;
-the model's size does not depend on the input and is the only broadcast.
+Learning reads a bounded sample of whole texts: ``SAMPLE_DOCS`` documents per
+language by the smallest hash of doc_id among the rows that are not held out
+and at most ``SAMPLE_BYTES`` of text. ``LANDMARKS`` per language are landmarks,
+``MAX_LANDMARKS`` in all. Every label is learned: one ranking over narrow rows
+serves all of them. Scoring reads whole texts in one pass; the model, the only
+broadcast, grows with the number of languages, not with the documents.
 
 Score: the softmax of the regression's outputs at ``SHARPNESS``.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0;
 without any learned language every text is ``und``; a single learned language
-is predicted with score 1; ties go to the language that sorts first; repeated
-rows give repeated rows; an empty table gives an empty result; other columns
-are ignored.
+is predicted with score 1; ties go to the language that sorts first; a very
+long text is a slice of its own; repeated rows give repeated rows and count
+once in the sample; an empty table gives an empty result; other columns are
+ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +38,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import doc_columns, slices, small_batches, task, text_bytes
-from .labelled import held_out, sample_per_class
+from .labelled import fetch_sample, held_out, least_hashed
 
 FOLDS, FOLD = 4, 2
-SAMPLE_DOCS, LANDMARKS, MAX_LANGUAGES = 300, 40, 200
+#: documents a language and text bytes of all languages that are learned from; landmarks of a language, and of all
+SAMPLE_DOCS, SAMPLE_BYTES, LANDMARKS, MAX_LANDMARKS = 300, 64 << 20, 40, 800
+#: share of learned documents whose score is well above the least one that ``keep_languages`` accepts
+CLEAN = 0.998
 RIDGE, SHARPNESS = 1e-2, 6.0
 TRIGRAM_BITS = 15
 CELLS = 256 + (1 << 16) + (1 << TRIGRAM_BITS)
@@ -78,6 +83,7 @@ class Model:
     cells: np.ndarray          # cells that some landmark holds
     landmarks: np.ndarray      # cells x landmarks, presence over the root of each landmark's number
     weights: np.ndarray        # (landmarks + 1) x languages, the Nystroem map folded in; last row: intercept
+    least: float = 0.0         # texts that score below it are in no learned language
 
     def kernel(self, rows: np.ndarray) -> np.ndarray:
         sizes = np.maximum(rows.sum(1, dtype=np.int64), 1)
@@ -89,14 +95,18 @@ class Model:
 
 
 def fit(texts: list[str], langs: list[str], landmarks_per_language: int = LANDMARKS) -> Model:
-    """Landmarks, Nystroem map and one-versus-rest ridge regression of labelled texts (in their order)."""
+    """Landmarks, Nystroem map and one-versus-rest ridge regression of labelled texts (in their order).
+
+    Every label is a language. Of more languages than ``MAX_LANDMARKS`` the first ones lend a landmark each; the
+    others are told apart by the kernel values with those.
+    """
     languages = tuple(sorted(set(langs)))
     column = pa.array(texts, pa.large_string())
     seen: dict[str, int] = {}
     chosen = []
     for i, lang in enumerate(langs):
         seen[lang] = seen.get(lang, 0) + 1
-        if seen[lang] <= landmarks_per_language:
+        if seen[lang] <= landmarks_per_language and len(chosen) < max(MAX_LANDMARKS, landmarks_per_language):
             chosen.append(i)
     marks = np.concatenate([m for _, m in presence(column.take(pa.array(chosen)))])
     cells = np.flatnonzero(marks.any(0))
@@ -110,8 +120,7 @@ def fit(texts: list[str], langs: list[str], landmarks_per_language: int = LANDMA
     x = np.concatenate([model.kernel(m) for _, m in presence(column)]).astype(np.float64) @ root
     y = np.array([[float(lang == k) for k in languages] for lang in langs]) * 2 - 1
     # every language weighs the same, however many samples it has
-    share = np.array([1 / langs.count(k) for k in languages])
-    weight = np.array([share[languages.index(k)] for k in langs])
+    weight = np.array([1 / seen[k] for k in langs])
     weight *= len(langs) / weight.sum()
     mean, y_mean = np.average(x, 0, weight), np.average(y, 0, weight)
     xc = (x - mean) * np.sqrt(weight)[:, None]
@@ -127,16 +136,20 @@ def learn(docs: DataFrame, lang: str = "lang", text: str = "text") -> Model | No
                        F.col(lang).cast("string").alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id"), FOLDS, FOLD)
                       & F.col("text").rlike(r"\p{L}"))
-    counts = (rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)).collect()
-    if not counts:
+    sample = fetch_sample(rows, least_hashed(rows, "lang", SAMPLE_DOCS), ["doc_id", "lang"], SAMPLE_BYTES)
+    if not sample:
         return None
-    # at most MAX_LANGUAGES * SAMPLE_DOCS ids, whatever the input
-    ids = sample_per_class(rows.select("doc_id", "lang"), "lang", [r["lang"] for r in counts], SAMPLE_DOCS)
-    sample = (rows.join(F.broadcast(ids.withColumnRenamed("doc_id", "id").withColumnRenamed("lang", "of")),
-                        (F.col("doc_id") == F.col("id")) & (F.col("lang") == F.col("of")))
-              .select(F.xxhash64("doc_id").alias("h"), "doc_id", "text", "lang").collect())
-    sample = sorted(sample, key=lambda r: (r["h"], r["doc_id"], r["lang"], r["text"]))
-    return fit([r["text"] for r in sample], [r["lang"] for r in sample])
+    texts, langs = [r["text"] for r in sample], [r["lang"] for r in sample]
+    model = fit(texts, langs, max(1, min(LANDMARKS, MAX_LANDMARKS // len(set(langs)))))
+    return replace(model, least=least_score(model, texts, langs))
+
+
+def least_score(model: Model, texts: list[str], langs: list[str]) -> float:
+    """Half the score that ``CLEAN`` of the learned texts reach in their own language."""
+    column = pa.array(texts, pa.large_string())
+    found, score = predict(model, column, np.ones(len(texts), bool))
+    right = score[found == np.array(langs, object)]
+    return float(np.quantile(right, 1 - CLEAN)) / 2 if len(right) else 0.0
 
 
 def predict(model: Model | None, texts: pa.Array, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -171,12 +184,13 @@ def predict_languages(docs: DataFrame, model: Model | None) -> DataFrame:
     return out.select("doc_id", held_out(F.col("doc_id"), FOLDS, FOLD).alias("held_out"), "lang_pred", "score")
 
 
-def keep_languages(docs: DataFrame, model: Model | None, min_score: float = 0.0) -> DataFrame:
-    """The rows of ``docs`` whose text has a language (not ``und``) with at least ``min_score``.
+def keep_languages(docs: DataFrame, model: Model | None, min_score: float | None = None) -> DataFrame:
+    """The rows of ``docs`` whose text has a language (not ``und``) with at least ``min_score`` (the model's least one).
 
     Without a model, which can judge no text, the rows whose text has a letter. Columns are kept; a null ``lang`` is
     filled with the prediction.
     """
+    least = min_score if min_score is not None else model.least if model is not None else 0.0
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
@@ -187,7 +201,7 @@ def keep_languages(docs: DataFrame, model: Model | None, min_score: float = 0.0)
             text = batch.column("text")
             letters = np.array([t is not None and any(map(str.isalpha, t)) for t in text.to_pylist()], bool)
             lang, score = predict(m, text, letters)
-            keep = pa.array(letters if m is None else (lang != UND) & (score >= min_score))
+            keep = pa.array(letters if m is None else (lang != UND) & (score >= least))
             if "lang" in names:
                 filled = pc.coalesce(batch.column("lang"), pa.array(lang, batch.schema.field("lang").type))
                 batch = batch.set_column(names.index("lang"), batch.schema.field("lang"), filled)

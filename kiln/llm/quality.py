@@ -3,21 +3,23 @@
 Two raw-content dictionaries are cut from labelled text, one per class. A
 document is compressed block by block with either; with sizes good and bad,
 its feature is (bad - good) / (bad + good): text like the good sample becomes
-smaller with the good dictionary. A logistic curve over that feature, its
-square, the two sizes per byte and their logarithms, fitted on other labelled
-rows than the dictionaries, turns it into a probability of label 1.
+smaller with the good dictionary. A logistic curve over that difference, its
+square and its cube turns it into a probability of label 1; nothing else of a
+text enters the score. The curve is cross-fitted: every labelled row's
+difference comes from dictionaries of the other ``PARTS - 1`` parts of the
+sample, so no row is judged by a dictionary that holds it.
 
-Learning reads a bounded sample: ``SAMPLE_DOCS`` documents per class for the
-dictionaries and as many for the curve, by the smallest hash of doc_id among
-the rows that are not held out. Scoring reads whole texts, in one pass over
-the documents; the two dictionaries (``DICTIONARY_BYTES`` each) are its only
-broadcast.
+Learning reads a bounded sample of whole texts: ``SAMPLE_DOCS`` documents per
+class, by the smallest hash of doc_id among the rows that are not held out, and
+at most ``SAMPLE_BYTES`` of text. Scoring reads whole texts, in one pass over the documents; the two
+dictionaries (``DICTIONARY_BYTES`` each) are its only broadcast.
 
 Defined cases: a null text is empty and gets the score of the sample's share
-of label 1; repeated rows give repeated rows; a document with several labels
-counts with its smallest; without labelled rows of both classes every score
-is that share (0.5 with none); an empty table gives an empty result; other
-columns are ignored.
+of label 1; a very long text is a slice of its own, compressed block by block;
+a difference of 0 (a tie) gets what the curve gives there; repeated rows give
+repeated rows; a document with several labels counts with its smallest; without
+labelled rows of both classes every score is that share (0.5 with none); an
+empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,10 +33,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import doc_columns, slices, strings, task
-from .labelled import held_out, sample_per_class
+from .labelled import fetch_sample, held_out, least_hashed
 
-SAMPLE_DOCS, SAMPLE_CHARS = 600, 4_000
-DICTIONARY_BYTES, BLOCK_BYTES, LEVEL = 112 << 10, 1 << 10, 3
+SAMPLE_DOCS, SAMPLE_BYTES, PARTS = 1_200, 64 << 20, 4
+#: this level searches the dictionaries thoroughly enough for the difference alone to tell the classes apart
+DICTIONARY_BYTES, BLOCK_BYTES, LEVEL = 112 << 10, 1 << 10, 12
 FOLDS, FOLD = 3, 1
 
 
@@ -63,15 +66,20 @@ class Model:
                 for d in (self.good, self.bad)]
 
 
-def features(texts: list[bytes], compressors) -> np.ndarray:
-    """Of each text: normalised size difference and its square, both sizes per byte and their logarithms."""
+def differences(texts: list[bytes], compressors) -> np.ndarray:
+    """The normalised size difference of each text."""
     good, bad = compressors
-    out = np.zeros((len(texts), 3))
+    out = np.zeros(len(texts))
     for i, t in enumerate(texts):
         blocks = pieces(t) or [b""]
         a, b = sum(len(good(x)) for x in blocks), sum(len(bad(x)) for x in blocks)
-        out[i] = (b - a) / (b + a), a / max(1, len(t)), b / max(1, len(t))
-    return np.column_stack([out, out[:, 0] ** 2, np.log(out[:, 1:])])
+        out[i] = (b - a) / (b + a)
+    return out
+
+
+def features(texts: list[bytes], compressors) -> np.ndarray:
+    d = differences(texts, compressors)
+    return np.column_stack([d, d**2, d**3])
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -104,22 +112,20 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     prior = counts.get(1, 0) / max(1, sum(counts.values())) if counts else 0.5
     if len(counts) < 2:
         return Model(b"", b"", (), prior)
-    chosen = sample_per_class(known, "quality", [0, 1], 2 * SAMPLE_DOCS)
-    # at most 2 * 2 * SAMPLE_DOCS rows, whatever the input; long texts give a middle part to the sample
-    n = F.length("text")
-    part = F.when(n > SAMPLE_CHARS, F.substring("text", (F.floor((n - SAMPLE_CHARS) / 2) + 1).cast("int"),
-                                                F.lit(SAMPLE_CHARS))).otherwise(F.col("text"))
-    rows = (doc_columns(docs).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
-            .select("doc_id", "quality", part.alias("text"), F.xxhash64("doc_id").alias("h")).collect())
-    rows = sorted((r for r in rows if r["text"]), key=lambda r: (r["h"], r["doc_id"]))
+    rows = fetch_sample(doc_columns(docs), least_hashed(known, "quality", SAMPLE_DOCS), ["doc_id"], SAMPLE_BYTES)
+    rows = [r for r in rows if r["text"]]
     texts = {q: [r["text"].encode() for r in rows if r["quality"] == q] for q in (0, 1)}
     if min(map(len, texts.values())) < 4:
         return Model(b"", b"", (), prior)
-    model = Model(build_dictionary(texts[1][0::2]), build_dictionary(texts[0][0::2]), (), prior)
-    compressors = model.compressors()
-    x = [features(texts[q][1::2], compressors) for q in (0, 1)]
-    y = np.concatenate([np.zeros(len(x[0])), np.ones(len(x[1]))])
-    return Model(model.good, model.bad, tuple(fit_logistic(np.concatenate(x), y)), prior)
+    x = {0: [], 1: []}
+    for part in range(PARTS):
+        rest = [[t for i, t in enumerate(texts[q]) if i % PARTS != part] for q in (1, 0)]
+        compressors = Model(*map(build_dictionary, rest), (), prior).compressors()
+        for q in (0, 1):
+            x[q].append(features(texts[q][part::PARTS], compressors))
+    y = np.concatenate([np.full(sum(map(len, x[q])), float(q)) for q in (0, 1)])
+    weights = tuple(fit_logistic(np.concatenate(x[0] + x[1]), y))
+    return Model(build_dictionary(texts[1]), build_dictionary(texts[0]), weights, prior)
 
 
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
