@@ -6,22 +6,25 @@ overlapping candidates: strictly cut cards, phones and addresses (which base
 patterns lose when they stand side by side), spelled-out mail addresses and
 secret-like tokens. Gradient-boosted trees (``pyspark.ml``) score each from
 its format and context, and per generator the least threshold that reaches
-``PRECISION`` on rows not trained on selects what is added. A selected
+``PRECISION`` on the candidates of all documents not trained on selects what is
+added. A selected
 candidate that overlaps a base span is not added; base spans always stay.
 
 Labels are the checks themselves (a well-formed number, address or key is
-positive), so nothing is annotated by hand. Training uses the candidates of a
-sample of about ``SAMPLE_DOCS`` documents (all, if there are fewer), by the
-hash of doc_id. The trees become column expressions, so detection is one
-narrow projection over the whole texts: no shuffle, no Python on executors.
+positive), so nothing is annotated by hand. Training uses the candidates of half
+a sample of about ``SAMPLE_DOCS`` documents (all, if there are fewer), those of
+the least hashes; its size does not shrink with the corpus. The trees become
+column expressions, so detection is one narrow projection over the whole texts:
+no shuffle, no Python on executors.
 
 The patterns start a match only at the start of its run or where the last
 match ended, and repeat possessively. Both leave the leftmost matches
 unchanged and keep the search linear on long runs.
 
 Defined cases: null text is empty; a text without data has zero counts, the
-SHA-256 of the empty string and empty spans; repeated rows give repeated rows;
-without positive or without negative candidates nothing is added; an empty
+SHA-256 of the empty string and empty spans; a very long text is searched in
+one pass (32,000 matches take seconds); spans of one start go in order of kind;
+repeated rows give repeated rows; without positive or without negative candidates nothing is added; an empty
 table gives an empty result; other columns are ignored (``redact`` keeps them).
 """
 
@@ -56,9 +59,10 @@ KEYWORD = r"(?i)(?:pass(?:word|wd)?|token|secret|api.?key|key|auth)\W{0,4}$"
 CONTEXT = 24
 
 SAMPLE_DOCS, TREES, DEPTH, PRECISION = 20_000, 8, 3, 0.99
-BUCKETS = 1 << 20
 
 SPANS = "array<struct<start:int,end:int,value:string>>"
+#: spans that one step of a fold may copy
+RUN = 128
 
 
 def _text(docs: DataFrame) -> DataFrame:
@@ -66,22 +70,30 @@ def _text(docs: DataFrame) -> DataFrame:
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
-def located(text: Column, matches: Column, pattern: str) -> Column:
-    """Code-point spans of all matches: lengths of matches and of the text between them, added up."""
+def located(matches: Column, between: Column) -> Column:
+    """Code-point spans of all matches: lengths of matches and of the text between them, added up.
+
+    Both lists are columns, not part of the folded state, which every step copies; spans are gathered in runs of
+    ``RUN`` and the runs in a list, so that no step copies more than a run or the list.
+    """
     none = F.array().cast(SPANS)
-    between = F.split(text, pattern, -1)
 
     def add(acc: Column, k: Column) -> Column:
         value = F.get(matches, k)
-        start = acc["at"] + F.length(F.get(acc["between"], k))
+        start = acc["at"] + F.length(F.get(between, k))
         end = start + F.length(value)
         span = F.struct(start.alias("start"), end.alias("end"), value.alias("value"))
-        return F.struct(end.alias("at"), acc["between"].alias("between"),
-                        F.concat(acc["spans"], F.array(span)).alias("spans"))
+        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
 
-    walked = F.aggregate(F.sequence(F.lit(0), F.size(matches) - 1),
-                         F.struct(F.lit(0).alias("at"), between.alias("between"), none.alias("spans")),
-                         add, lambda acc: acc["spans"])
+    def run(acc: Column, first: Column) -> Column:
+        last = F.least(first + (RUN - 1), F.size(matches) - 1)
+        at = F.when(F.size(acc) > 0, F.element_at(F.element_at(acc, -1), -1)["end"]).otherwise(F.lit(0))
+        own = F.aggregate(F.sequence(first, last), F.struct(at.alias("at"), none.alias("spans")), add,
+                          lambda own: own["spans"])
+        return F.concat(acc, F.array(own))
+
+    walked = F.flatten(F.aggregate(F.sequence(F.lit(0), F.size(matches) - 1, F.lit(RUN)),
+                                   F.array().cast(f"array<{SPANS}>"), run))
     return F.when(F.size(matches) > 0, walked).otherwise(none)
 
 
@@ -112,8 +124,10 @@ def with_spans(docs: DataFrame, patterns: dict[str, str], prefix: str) -> DataFr
     needs = {k: "@|[(\\[]at[)\\]]" if k == "email" else "[0-9]" for k in patterns}
     found = docs.select("*", *[_matches(F.col("text"), p, needs[k]).alias(f"{prefix}_{k}_m")
                                for k, p in patterns.items()])
-    return found.select(*docs.columns, *[located(F.col("text"), F.col(f"{prefix}_{k}_m"), p).alias(f"{prefix}_{k}")
-                                         for k, p in patterns.items()])
+    cut = found.select("*", *[F.when(F.size(f"{prefix}_{k}_m") > 0, F.split("text", p, -1)).alias(f"{prefix}_{k}_b")
+                              for k, p in patterns.items()])
+    return cut.select(*docs.columns, *[located(F.col(f"{prefix}_{k}_m"), F.col(f"{prefix}_{k}_b")).alias(f"{prefix}_{k}")
+                                       for k in patterns])
 
 
 def with_base(docs: DataFrame) -> DataFrame:
@@ -219,29 +233,37 @@ def _parse(lines: list[str]):
     return FEATURES[int(number)], float(threshold), left, _parse(lines)
 
 
+def candidate_table(docs: DataFrame) -> DataFrame:
+    """One row per candidate: generator, label and features."""
+    def named(kind: str) -> Column:
+        return F.transform(f"cand_{kind}", lambda s: F.struct(F.lit(kind).alias("generator"), s["f"].alias("f")))
+
+    table = with_candidates(docs).select(F.explode(F.concat(*[named(k) for k in GENERATORS])).alias("c")).select("c.*")
+    label = F.coalesce(*[F.when(F.col("generator") == k, weak_label(k, F.col("f"))) for k in GENERATORS])
+    return table.select("generator", label.alias("label"), *[f"f.{n}" for n in FEATURES])
+
+
+def in_sample(share: float) -> Column:
+    """Rows with the least hashes: about ``share`` of all, however many there are."""
+    border = min((1 << 63) - 1, -(1 << 63) + int(share * (1 << 64)))
+    return F.xxhash64("doc_id", "text") <= F.lit(border)
+
+
 def learn(docs: DataFrame) -> Model | None:
-    """Trees and thresholds from a sample's candidates; None where only one label occurs."""
+    """Trees from a sample's candidates, thresholds from all others'; None where only one label occurs.
+
+    Half of the sample (by another hash) is trained on. The candidates of all documents that are not are scored and
+    counted by generator, score and label, a small map-side aggregate, so a kind that is rare is judged by all its
+    candidates.
+    """
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
     spark = docs.sparkSession
     rows = _text(docs)
-    share = min(1.0, SAMPLE_DOCS / max(1, rows.count()))
-    chosen = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS)) < int(share * BUCKETS))
-    described = with_candidates(chosen)
-
-    def named(kind: str) -> Column:
-        return F.transform(f"cand_{kind}", lambda s: F.struct(
-            F.lit(kind).alias("generator"), s["start"].alias("start"), s["f"].alias("f")))
-
-    # one row per candidate of about SAMPLE_DOCS documents
-    table = described.select("doc_id", F.explode(F.concat(*[named(k) for k in GENERATORS])).alias("c")).select(
-        "doc_id", "c.*")
-    label = F.coalesce(*[F.when(F.col("generator") == k, weak_label(k, F.col("f"))) for k in GENERATORS])
-    table = table.select("doc_id", "generator", "start", label.alias("label"), *[f"f.{n}" for n in FEATURES])
+    trained = in_sample(SAMPLE_DOCS / max(1, rows.count())) & (
+        F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)) == 0)
     from .common import Workspace
-    table = Workspace(spark, "pii").stage(table, "candidates")
-    fit_half = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)) == 0
-    train = table.where(fit_half)
+    train = Workspace(spark, "pii").stage(candidate_table(rows.where(trained)), "candidates")
     if train.select("label").distinct().count() < 2:
         return None
     vector = VectorAssembler(inputCols=FEATURES, outputCol="x")
@@ -249,7 +271,7 @@ def learn(docs: DataFrame) -> Model | None:
     fitted = gbt.fit(vector.transform(train).select("x", "label").coalesce(8))
     trees = tuple(_parse(t.toDebugString.strip().splitlines()[1:]) for t in fitted.trees)
     model = Model(trees, tuple(fitted.treeWeights), {})
-    scored = table.where(~fit_half).select(
+    scored = candidate_table(rows.where(~trained)).select(
         "generator", "label", F.round(model.score(F.struct(*FEATURES)), 4).alias("score"))
     # a few distinct scores per generator: leaves of TREES small trees, rounded
     counts = scored.groupBy("generator", "score").agg(F.count("*").alias("n"), F.sum("label").alias("good")).collect()
