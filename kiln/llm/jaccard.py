@@ -21,14 +21,15 @@ chunks is a unit of work of bounded size, so a hot group spreads over tasks.
 Sizes come from counts that are combined before the shuffle.
 
 Result: one row per document with ``class_id`` (least doc_id of its connected
-group), ``copy_of`` (representative of its class) and ``n_links`` (other
+group), ``copy_of`` (least doc_id of its class) and ``n_links`` (other
 documents it is linked to, copies included).
 
 Defined cases: null text is empty; texts without words are linked to texts
 equal to them only; repeated rows are copies of each other; rows that share a
-doc_id count as one document in the graph; a null doc_id represents nothing
-but gets its class; an empty table gives an empty result; other columns are
-ignored.
+doc_id are documents of their own, each with its own text's links; a null
+doc_id represents nothing but gets its class; a very long text is a slice of
+its own; a similarity of exactly the threshold links; an empty table gives an
+empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -103,11 +104,15 @@ def signatures(doc: np.ndarray, value: np.ndarray, n_docs: int) -> np.ndarray:
     return out
 
 
-SKETCH = "doc_id long, k1 long, k2 long, n long, sig binary"
+SKETCH = "doc_id long, tid string, k1 long, k2 long, n long, sig binary"
+
+
+def with_tid(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("tid", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """Per document: a 128-bit key and the size of its shingle set, and its MinHash values."""
+    """Per document: its text's identity, a 128-bit key and the size of its shingle set, and its MinHash values."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -123,11 +128,11 @@ def sketch(docs: DataFrame) -> DataFrame:
                 keys[:, i] = np.frombuffer(hashlib.blake2b(text, digest_size=16).digest(), np.uint64)
             sig = signatures(doc, value, rows)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(keys[0].view(np.int64)), pa.array(keys[1].view(np.int64)), pa.array(n),
-                 pa.array([s.tobytes() if m else None for s, m in zip(sig, n)], pa.binary())],
-                ["doc_id", "k1", "k2", "n", "sig"])
+                [batch.column(0), batch.column(2), pa.array(keys[0].view(np.int64)), pa.array(keys[1].view(np.int64)),
+                 pa.array(n), pa.array([s.tobytes() if m else None for s, m in zip(sig, n)], pa.binary())],
+                ["doc_id", "tid", "k1", "k2", "n", "sig"])
 
-    return doc_columns(docs).mapInArrow(task(run), SKETCH)
+    return with_tid(doc_columns(docs)).mapInArrow(task(run), SKETCH)
 
 
 def sig_matrix(column: pa.Array) -> np.ndarray:
@@ -334,15 +339,17 @@ def by_units(members: DataFrame, key: str, count: str, chunk: int) -> DataFrame:
     return in_chunks(members, key, count, chunk).repartition(key, "i", "j").sortWithinPartitions(key, "i", "j")
 
 
-def jaccard_join(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, class_id, copy_of, n_links."""
+def grouped(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, tid, class_id, copy_of, n_links, and ``component`` (NULL: its class alone)."""
     work = Workspace(spark, "jaccard")
     docs = doc_columns(docs)
     keys = ["k1", "k2", "n"]
     sketches = work.stage(sketch(docs), "sketches")
-    classes = work.stage(sketches.groupBy(*keys).agg(F.min("doc_id").alias("rep"), F.count("*").alias("size"),
-                                                     F.first("sig").alias("sig")), "classes")
-    graph = classes.where((F.col("n") > 0) & F.col("rep").isNotNull())
+    # a class is known by a number of its own, not by a doc_id, which other texts may share
+    classes = work.stage(sketches.groupBy(*keys).agg(
+        F.min("doc_id").alias("first_id"), F.count("*").alias("size"), F.first("sig").alias("sig"),
+        F.min("tid").alias("tid")).withColumn("rep", F.monotonically_increasing_id()), "classes")
+    graph = classes.where((F.col("n") > 0) & F.col("first_id").isNotNull())
 
     bands = work.stage(band_keys(graph), "bands")
     hot = bands.groupBy("key").agg(F.count("*").alias("count")).where("count > 1")
@@ -352,30 +359,41 @@ def jaccard_join(spark: SparkSession, docs: DataFrame) -> DataFrame:
                                                                      F.col("label").alias("comp"))
 
     sizes = rough.groupBy("comp").agg(F.count("*").alias("count"))
-    members = (rough.join(sizes, "comp").join(graph.groupBy("rep").agg(F.max("size").alias("size")), "rep")
-               .join(docs.dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "rep"), "rep"))
+    texts = with_tid(docs).select("tid", "text").dropDuplicates(["tid"])
+    members = (rough.join(sizes, "comp").join(graph.select("rep", "size", "tid"), "rep").join(texts, "tid"))
     checked = work.stage(verify(by_units(whole_sets(members), "comp", "count", COMPONENT_CHUNK)), "checked")
-    groups = components(work, checked.select(F.col("rep").alias("a"), F.col("parent").alias("b")), "groups")
+    groups = components(work, checked.select(F.col("rep").alias("a"), F.col("parent").alias("b")), "groups").select(
+        F.col("node").alias("rep"), F.col("label").alias("component"))
 
+    least = (groups.join(classes.select("rep", "first_id"), "rep").groupBy("component")
+             .agg(F.min("first_id").alias("class_id")))
     links = checked.groupBy("rep").agg(F.sum("links").alias("links"))
-    named = (classes.select(*keys, "rep", "size")
-             .join(groups.select(F.col("node").alias("rep"), F.col("label")), "rep", "left")
-             .join(links, "rep", "left"))
-    return sketches.select("doc_id", *keys).join(named, keys).select(
-        "doc_id", F.coalesce("label", "rep").alias("class_id"), F.col("rep").alias("copy_of"),
-        (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    named = work.stage(classes.select(*keys, "rep", "first_id", "size").join(groups.join(least, "component"), "rep", "left")
+                       .join(links, "rep", "left"), "named")
+    return sketches.select("doc_id", "tid", *keys).join(named, keys).select(
+        "doc_id", "tid", F.coalesce("class_id", "first_id").alias("class_id"), F.col("first_id").alias("copy_of"),
+        (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
+        F.coalesce("component", "rep").alias("component"))
+
+
+def jaccard_join(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, class_id, copy_of, n_links."""
+    return grouped(spark, docs).select("doc_id", "class_id", "copy_of", "n_links")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """``docs`` with the document of the least doc_id of each connected group; columns are kept.
+    """``docs`` with one row of each connected group, that of the least doc_id and then text; columns are kept.
 
-    A row without doc_id stands for its text: it is kept once, unless its group has a document with an id.
+    A row without doc_id comes after all others: it is kept where its group has no document with an id. Rows that
+    share a doc_id are documents of their own.
     """
     unnamed = F.lit(1 << 62) + F.xxhash64("text").bitwiseAND(F.lit((1 << 60) - 1))
-    key = "near_duplicate_key"
-    while key in docs.columns:
-        key += "_"
-    rows = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), unnamed))
-    groups = jaccard_join(spark, rows.select(F.col(key).alias("doc_id"), "text"))
-    kept = groups.where(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias(key)).distinct()
-    return rows.join(kept, key, "left_semi").dropDuplicates([key]).drop(key)
+    key, tid = "near_duplicate_key", "near_duplicate_text"
+    while key in docs.columns or tid in docs.columns:
+        key, tid = key + "_", tid + "_"
+    rows = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), unnamed)).withColumn(
+        tid, F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")))
+    groups = grouped(spark, rows.select(F.col(key).alias("doc_id"), "text"))
+    kept = groups.groupBy("component").agg(F.min(F.struct("doc_id", "tid")).alias("first")).select(
+        F.col("first.doc_id").alias(key), F.col("first.tid").alias(tid))
+    return rows.join(kept, [key, tid], "left_semi").dropDuplicates([key, tid]).drop(key, tid)
