@@ -32,7 +32,7 @@ def brute(docs, items, size=10):
                 win = iw[k:k + size]
                 for p in range(len(w) - len(win) + 1):
                     if w[p:p + len(win)] == win:
-                        found.add(str(item_id))
+                        found |= {str(item_id)} - {"None"}
                         hit[p:p + len(win)] = [True] * len(win)
         out.append((doc_id, len(w), sum(hit), len(found),
                     hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), any(hit)))
@@ -43,7 +43,7 @@ def planted():
     rng = random.Random(9)
     word = lambda: "".join(rng.choice("abcé") for _ in range(rng.randint(1, 3)))
     items = [(k, " ".join(word() for _ in range(rng.randint(0, 30)))) for k in range(12)]
-    items += [(3, "kurz und gut"), (50, None), (51, "?!"), (52, "Ä Ö"), (53, "la la la la la la la la la la la la")]
+    items += [(3, "kurz und gut"), (None, "la la la kurz und gut"), (None, None), (50, None), (51, "?!"), (52, "Ä Ö"), (53, "la la la la la la la la la la la la")]
     docs = []
     for k in range(40):
         t = " ".join(word() for _ in range(rng.randint(0, 40)))
@@ -74,7 +74,9 @@ def test_odd_documents_and_empty_tables(spark, odd, none):
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = sorted((tuple(r) for r in decontaminate.contamination(odd, bench).collect()), key=str)
     # the capital I with diaeresis is no ASCII letter, so item 2 does not occur
-    assert got == brute([(d["doc_id"], d["text"]) for d in odd.collect()], [i for i in items if i[0]])
+    assert got == brute([(d["doc_id"], d["text"]) for d in odd.collect()], items)
+    assert {r[2] for r in got if r[0] in (8, 9)} == {2}            # an item without an id hits words ...
+    assert {r[3] for r in got if r[0] in (8, 9)} == {0}            # ... and is not listed
     assert decontaminate.contamination(none, bench).collect() == []
     clean = decontaminate.contamination(odd, bench.limit(0)).collect()
     assert len(clean) == odd.count() and not any(r["contaminated"] for r in clean)

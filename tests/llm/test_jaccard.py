@@ -1,5 +1,6 @@
 """N-gram Jaccard join against brute force, and its parts."""
 
+import hashlib
 import random
 import re
 from math import comb
@@ -93,6 +94,20 @@ def test_one_of_each(spark, odd, none):
     assert jaccard.one_of_each(spark, none).collect() == []
 
 
+def test_rows_that_share_a_doc_id_are_documents_of_their_own(spark):
+    """No unrelated text is lost, and each text under the id has its own links."""
+    word = lambda k: " ".join(f"{k}w{j}" for j in range(40))
+    near = word("a").replace("aw39", "other")
+    rows = [(1, word("a")), (1, word("b")), (2, near), (3, word("b")), (3, word("c")), (4, word("c")), (4, word("c")), (5, word("d"))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    links = {(r["doc_id"], r["tid"]): r["n_links"] for r in jaccard.grouped(spark, df).collect()}
+    md5 = lambda t: hashlib.md5(t.encode()).hexdigest()
+    assert links == {(1, md5(word("a"))): 1, (1, md5(word("b"))): 1, (2, md5(near)): 1, (3, md5(word("b"))): 1,
+                     (3, md5(word("c"))): 2, (4, md5(word("c"))): 2, (5, md5(word("d"))): 0}
+    kept = sorted(tuple(r) for r in jaccard.one_of_each(spark, df).collect())
+    assert kept == [(1, word("a")), (1, word("b")), (3, word("c")), (5, word("d"))]
+
+
 def test_query_matches_sql(spark):
     r = compare(op1_ngram_jaccard_join(spark, SF_SMALL), duck(SF_SMALL), ORACLE["op1_ngram_jaccard_join"])
     assert r["match"], r

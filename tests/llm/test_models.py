@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from kiln.llm import language, quality
+from kiln.llm import labelled, language, quality
 from kiln.llm.registry import op3_quality_classifier, op4_language_id
 from llm_fixtures import none, odd  # noqa: F401
 
@@ -58,6 +58,103 @@ def test_logistic_fit_separates():
     assert ((quality.sigmoid(w[0] + x @ w[1:]) > 0.5) == (y > 0)).mean() > 0.97
 
 
+def brute_difference(text, good, bad):
+    """(bad - good) / (bad + good) by one compressor a block, written out."""
+    import zstandard as z
+    sizes = []
+    for d in (good, bad):
+        total = 0
+        for k in range(0, max(1, len(text)), 1024):
+            data = z.ZstdCompressionDict(d, dict_type=z.DICT_TYPE_RAWCONTENT)
+            total += len(z.ZstdCompressor(level=quality.LEVEL, dict_data=data, write_content_size=False, write_dict_id=False).compress(
+                text[k:k + 1024]))
+        sizes.append(total)
+    return (sizes[1] - sizes[0]) / (sizes[1] + sizes[0])
+
+
+def test_scores_are_the_curve_over_the_normalised_difference(spark, odd):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = quality.learn(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    assert len(model.weights) == 4
+    some = docs.orderBy("doc_id").limit(60).unionByName(docs.orderBy(F.desc(F.length("text"))).limit(3))
+    for r in quality.quality_scores(some, model).join(docs.select("doc_id", "text"), "doc_id").collect():
+        d = brute_difference((r["text"] or "").encode(), model.good, model.bad)
+        want = 1 / (1 + np.exp(-(model.weights[0] + sum(w * d**k for k, w in enumerate(model.weights[1:], 1)))))
+        assert r["score"] == pytest.approx(want if r["text"] else model.prior, abs=1e-9)
+
+
+def test_sample_is_by_class_bounded_and_whole(spark):
+    rows = [(i, f"c{i % 3}", f"{i} " * (i + 1)) for i in range(60)] + [(5, "c2", "other text of 5"), (None, "c0", "x"),
+                                                                       (7, None, "y"), (8, "c2", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, label string, text string").unionByName(
+        spark.createDataFrame(rows[:10], "doc_id long, label string, text string"))
+    chosen = labelled.least_hashed(docs, "label", 4)
+    got = labelled.fetch_sample(docs, chosen, ["doc_id", "label"], 10**6)
+    assert {r["label"] for r in got} == {"c0", "c1", "c2"} and max(r["rank"] for r in got) <= 4
+    assert len({(r["doc_id"], r["label"]) for r in got}) == len(got)
+    assert all((r["doc_id"], r["label"], r["text"]) in rows for r in got)
+    few = labelled.fetch_sample(docs, chosen, ["doc_id", "label"], 1)
+    assert sorted(r["label"] for r in few) == sorted({r["label"] for r in got if r["rank"] == 1})
+    assert labelled.fetch_sample(docs.limit(0), labelled.least_hashed(docs.limit(0), "label", 4), ["doc_id", "label"], 9) == []
+
+
+def ngrams(text):
+    b = text.encode().lower()
+    return {b[k:k + n] for n in (1, 2, 3) for k in range(len(b) - n + 1)}
+
+
+def test_kernel_and_ridge_equal_brute_force():
+    """The model's outputs against presence kernels of n-gram sets and a dense weighted kernel ridge regression."""
+    rng = random.Random(5)
+    make = lambda signs, n: ["".join(rng.choice(signs) for _ in range(rng.randint(20, 60))) for _ in range(n)]
+    texts, langs = make("abcd ", 9) + make("cdef ", 7) + make("efgh ", 5), ["aa"] * 9 + ["bb"] * 7 + ["cc"] * 5
+    model = language.fit(texts, langs, 3)
+    marks = [t for k in ("aa", "bb", "cc") for t in [x for x, lang in zip(texts, langs) if lang == k][:3]]
+    kernel = lambda a, b: len(ngrams(a) & ngrams(b)) / np.sqrt(len(ngrams(a)) * len(ngrams(b)))
+    new = make("abcdefgh ", 12)
+    (_, rows), = language.presence(pa.array(new, pa.large_string()))
+    want = np.array([[kernel(t, m) for m in marks] for t in new])
+    assert np.allclose(model.kernel(rows), want, atol=1e-5)
+    own = np.array([[kernel(a, b) for b in marks] for a in marks])
+    values, vectors = np.linalg.eigh(own)
+    root = vectors[:, values > 1e-6 * values.max()] / np.sqrt(values[values > 1e-6 * values.max()])
+    x = np.array([[kernel(t, m) for m in marks] for t in texts]) @ root
+    weight = np.array([1 / langs.count(k) for k in langs])
+    weight *= len(langs) / weight.sum()
+    y = np.array([[1.0 if lang == k else -1.0 for k in ("aa", "bb", "cc")] for lang in langs])
+    mx, my = (weight[:, None] * x).sum(0) / weight.sum(), (weight[:, None] * y).sum(0) / weight.sum()
+    a = ((x - mx) * weight[:, None]).T @ (x - mx) + language.RIDGE * len(x) / x.shape[1] * np.eye(x.shape[1])
+    w = np.linalg.solve(a, ((x - mx) * weight[:, None]).T @ (y - my))
+    assert np.allclose(model.outputs(rows), (want @ root - mx) @ w + my, atol=2e-3)
+
+
+def test_every_label_is_learned(spark):
+    """More labels than any fixed cap: each of 260 languages can be predicted."""
+    rng = random.Random(3)
+    rows = []
+    for k in range(260):
+        signs = rng.sample("abcdefghijklmnopqrstuvwxyzäöüßéèñ", 4)
+        rows += [(k * 10 + j, "".join(rng.choice(signs) for _ in range(80)), f"l{k:03d}") for j in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.learn(docs)
+    assert len(model.languages) == 260
+    got = [(r["lang_pred"], r["lang"]) for r in language.predict_languages(docs, model).join(docs, "doc_id").collect()]
+    assert len({p for p, _ in got}) > 240 and sum(p == t for p, t in got) / len(got) > 0.8
+
+
+def test_texts_of_no_learned_language_go(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = language.learn(docs)
+    assert model.least > 0
+    odd_texts = spark.createDataFrame([(10**9 + k, "漢字仮名交じり文 " * 30 if k else "жзиклмно прст уфхц " * 20) for k in range(2)],
+                                      "doc_id long, text string")
+    scored = language.predict_languages(docs, model)
+    clean = scored.where("held_out and lang_pred <> 'und'")
+    lost = clean.where(F.col("score") < model.least).count()
+    assert lost <= 0.01 * clean.count()
+    assert language.keep_languages(odd_texts.withColumn("lang", F.lit(None).cast("string")), model).count() <= 2
+
+
 def test_language_on_held_out_rows(spark):
     rows = op4_language_id(spark, SF).collect()
     truth = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}

@@ -3,8 +3,10 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from kiln.llm import pii
@@ -73,6 +75,33 @@ def test_long_runs_stay_linear_and_shallow(spark):
     assert [r["n_email"] for r in sorted(rows, key=lambda r: r["doc_id"])][2:4] == [0, 0]
 
 
+def test_many_matches_take_seconds(spark, model):
+    """Work is linear in the matches of one document: numeric tables do not stop a job."""
+    n = 32_000
+    texts = {1: "".join(f"{k % 9}.{k % 255}.1.2, " for k in range(n)), 2: " ".join(["a@b.cd"] * n), 3: "+1 555 555 1234\n" * n}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    start = time.time()
+    rows = pii.personal_data(df, None).collect()
+    assert time.time() - start < 60
+    check(rows, texts)
+    assert [r[f"n_{k}"] for r, k in zip(sorted(rows, key=lambda r: r["doc_id"]), ("ip", "email", "phone"))] == [n] * 3
+
+
+def test_spans_around_the_run_length(spark):
+    texts = {n: "x 1.2.3.4 é" * n for n in (0, 1, pii.RUN - 1, pii.RUN, pii.RUN + 1, 2 * pii.RUN, 2 * pii.RUN + 1)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    check(pii.personal_data(df, None).collect(), texts)
+
+
+def test_the_sample_does_not_shrink_with_the_corpus(spark):
+    hashes = spark.range(1_000_000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
+    for share in (1.0, 0.02, 1e-4):
+        n = hashes.where(pii.in_sample(share)).count()
+        assert abs(n - share * 10**6) <= 6 * (share * 10**6) ** 0.5
+    border = lambda share: int(re.search(r"-?\d{6,}", str(pii.in_sample(share)))[0])
+    assert border(20_000 / 5e10) > -(1 << 63) + 10**12       # some 10**12 of 2**64 hashes: the share asked for
+
+
 def test_model_adds_what_base_patterns_lose(spark, model):
     assert model.thresholds
     key = "token = \"" + "0a1b2c3d" * 5 + "\""
@@ -89,7 +118,6 @@ def test_model_adds_what_base_patterns_lose(spark, model):
 def test_tree_columns_score_like_the_fitted_model(spark):
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
-    from pyspark.sql import functions as F
     rng = random.Random(12)
     rows = []
     for _ in range(400):
