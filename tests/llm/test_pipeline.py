@@ -17,7 +17,7 @@ from test_jaccard import brute
 
 def test_registry():
     names = entry.queries()
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names if n.startswith("op")} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names if n.startswith("op")} == set(range(1, 14))
     assert names["pipeline"] is corpus_pipeline.run
     assert set(registry.ORACLE) <= set(registry.QUERIES)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language ID", "n-gram Jaccard join",
