@@ -3,8 +3,10 @@
 A rule is (issue_type, condition, record_id, offending_value, description)
 over one source table. All rules over the same table are evaluated in a
 single pass: rows that raise any finding are selected first (flag filters
-reach the file scan), each builds an array of its findings and the array is
-exploded, so a table with nine rules is scanned once, not nine times.
+reach the file scan), each builds an array of its findings (NULL where a rule
+does not hold) and the array is exploded and stripped of NULLs, so a table with
+nine rules is scanned once, not nine times. The array is built and exploded in
+generated code; a filter function over it would evaluate it by interpretation.
 """
 
 from __future__ import annotations
@@ -46,9 +48,9 @@ def _finding(rule: Rule) -> Column:
 def evaluate(df: DataFrame, rules: list[Rule], with_offending: bool = True) -> DataFrame:
     """All findings of ``rules`` over one table, one scan of the rows that any rule flags."""
     flagged = df.where(reduce(Column.__or__, [r.condition for r in rules]))
-    arr = F.filter(F.array(*[_finding(r) for r in rules]), lambda x: x.isNotNull())
     cols = FINDING_COLUMNS if with_offending else [c for c in FINDING_COLUMNS if c != "offending_value"]
-    return flagged.select(F.explode(arr).alias("f")).select(*[F.col(f"f.{c}").alias(c) for c in cols])
+    found = flagged.select(F.explode(F.array(*[_finding(r) for r in rules])).alias("f")).where(F.col("f").isNotNull())
+    return found.select(*[F.col(f"f.{c}").alias(c) for c in cols])
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

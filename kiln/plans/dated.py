@@ -6,10 +6,13 @@ feature's whole result.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.measures import exact_sum
+from ..operators import sketches
 from ..operators.asof import iso_day, standardize_as_of
 from ..operators.currency import converted, currency_code, map_sum, total_map, totals_by_currency
 from ..operators.dedup import By
@@ -18,7 +21,9 @@ from ..sources.history import HistoryTable
 from ..sources.surrogate import SurrogateKeys
 from ..sources.testdata import exchange_rates, mapping_history
 from ..sources.upsert import UpsertTable
-from . import facts
+from ..streaming import latest
+from ..streaming.incremental import raw_stream
+from . import facts, monitoring, quality, staging
 
 BASE_CURRENCY = "USD"
 
@@ -205,6 +210,53 @@ def surrogate_product_keys(layer, tables) -> DataFrame:
     return keys.read()
 
 
+# ---- mergeable distinct counts
+
+def distinct_by_year(layer, tables) -> DataFrame:
+    """Distinct retailers per year from stored weekly sketches, checked against the exact count: 1 where the estimate
+    lies within four standard errors."""
+    weeks = layer["fct_retail_pos"].select("week_start_date", "retailer_id")
+    stored = layer.stage(sketches.sketches(weeks, ["week_start_date"], "retailer_id"), "weekly-sketches")
+    year = F.substring("week_start_date", 1, 4).alias("year")
+    estimated = sketches.merged(stored.withColumn("year", year), ["year"]).withColumn("estimate", sketches.estimate())
+    exact = weeks.select(year, "retailer_id").distinct().groupBy("year").agg(F.count("retailer_id").alias("n_retailers"))
+    near = F.abs(F.col("estimate") - F.col("n_retailers")) <= F.ceil(4 * sketches.STANDARD_ERROR * F.col("n_retailers"))
+    return exact.alias("x").join(estimated.alias("e"), F.col("x.year").eqNullSafe(F.col("e.year"))).select(
+        "x.year", "n_retailers", near.cast("int").alias("is_within_error"))
+
+
+# ---- thresholds of findings
+
+def finding_thresholds(layer, tables) -> DataFrame:
+    """Two recorded runs (the first over the findings that a first load would have had) and the report of the second."""
+    reports = [layer[n] for n in ("dq_orphan_records", "dq_date_violations", "dq_value_violations")]
+    names = sorted({m for models in monitoring.DOMAINS.values() for m in models})
+    rows = reduce(DataFrame.unionAll, [layer[n].agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("source_model"), "n_rows")
+                                       for n in names])
+    counts = monitoring.FindingCounts(layer.spark, f"{layer.run_folder}/finding-counts")
+    early = [df.where(F.substring(F.md5(F.coalesce("record_id", F.lit("")).cast("binary")), 1, 1) < "8") for df in reports]
+    for run, found in (("2024-01-01", early), ("2024-01-02", reports), ("2024-01-02", reports)):
+        counts.record(run, quality.findings_by_policy(*found), rows)
+    return counts.report("2024-01-02")
+
+
+# ---- streaming
+
+LATE_SECONDS = 3600
+
+
+def streamed_latest_events(layer, tables) -> DataFrame:
+    """The last event of each shipment and type, taken in by a stream of several micro-batches over landed files."""
+    base = f"{layer.run_folder}/latest-events"
+    landed = f"{base}/landed"
+    layer["shipment_events_raw"].repartition(3, "event_timestamp", "event_type").write.mode("overwrite").parquet(landed)
+    schema = layer["stg_shipment_events"].schema
+    table = UpsertTable(layer.spark, f"{base}/table", schema, ["shipment_id", "event_type"],
+                        [By("event_timestamp", desc=True)], F.substring(F.md5(F.col("shipment_id").cast("binary")), 1, 1))
+    raw = raw_stream(layer.spark, "shipment_events_raw", landed, max_files_per_trigger=1)
+    return latest.take_in_landed(layer.spark, raw, staging.stg_shipment_events, table, base, "event_timestamp", LATE_SECONDS)[0]
+
+
 FACTS_AND_DIMS = ["dim_product", "fct_sales_orders"]
 #: query -> (function of the layer and the driver tables, the models and raw extracts it reads)
 QUERIES = {
@@ -221,4 +273,8 @@ QUERIES = {
     "inventory_reconciliation": (inventory_reconciliation, ["fct_inventory_snapshots", "fct_purchase_orders", "fct_shipments"]),
     "shipment_event_order": (shipment_event_order, ["stg_shipment_events"]),
     "surrogate_product_keys": (surrogate_product_keys, ["dim_product"]),
+    "distinct_retailers_by_year": (distinct_by_year, ["fct_retail_pos"]),
+    "finding_thresholds": (finding_thresholds, [*(m for models in monitoring.DOMAINS.values() for m in models),
+                                                "dq_orphan_records", "dq_date_violations", "dq_value_violations"]),
+    "streamed_latest_events": (streamed_latest_events, ["stg_shipment_events"]),
 }

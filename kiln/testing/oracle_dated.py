@@ -6,7 +6,7 @@ islands of equal neighbours where Spark compares each snapshot with the open ver
 
 from __future__ import annotations
 
-from .oracle import lp, model_sql, rnd, with_chain, xsum
+from .oracle import best, lp, model_sql, rnd, with_chain, xsum
 
 DAY = r"[0-9]{4}-[0-9]{2}-[0-9]{2}"
 
@@ -137,6 +137,44 @@ SURROGATES = """
 select product_sku, row_number() over (order by case when is_in_plm = 1 then 0 else 1 end, product_sku nulls first) as surrogate_key
 from dim_product"""
 
+RETAILERS = """
+select substr(week_start_date, 1, 4) as year, count(distinct retailer_id) as n_retailers, 1 as is_within_error
+from fct_retail_pos group by 1"""
+
+_MODELS = ["fct_sales_orders", "fct_retail_pos", "fct_inventory_snapshots", "fct_purchase_orders", "fct_shipments",
+           "stg_shipment_events", "fct_marketing_performance", "stg_marketing_campaigns", "stg_product_hierarchy"]
+_SIZES = " union all ".join(f"select '{m}' m, count(*) n from {m}" for m in _MODELS)
+
+
+def _thresholds() -> str:
+    """The second run's counts against a limit table keyed by domain and policy ('*': any domain)."""
+    from .oracle import FOCUSED
+    by_policy = FOCUSED["dq_findings_by_policy"][0]
+    early = by_policy
+    for report in ("dq_orphan_records", "dq_date_violations", "dq_value_violations"):
+        early = early.replace(f"from {report}", f"from (select * from {report} where substr(md5(coalesce(record_id, '')), 1, 1) < '8') x")
+    return f"""
+, sizes as ({_SIZES}), late as ({by_policy}), early as ({early}),
+domains(d, m) as (values ('sales', 'fct_sales_orders'), ('sales', 'fct_retail_pos'), ('supply', 'fct_inventory_snapshots'),
+  ('supply', 'fct_purchase_orders'), ('logistics', 'fct_shipments'), ('logistics', 'stg_shipment_events'),
+  ('marketing', 'fct_marketing_performance'), ('marketing', 'stg_marketing_campaigns'), ('product', 'stg_product_hierarchy')),
+limits(d, p, x) as (values ('*', 'quarantine', 0.02::double), ('*', 'preserve_and_flag', 0.05), ('*', 'coerce_and_flag', 0.05),
+  ('*', 'flag_dont_resolve', 0.0), ('supply', 'preserve_and_flag', 0.25), ('logistics', 'quarantine', 0.05)),
+shares as (
+  select l.*, s.n, d.d, {rnd('(l.n_findings / s.n)', 6)} share, {rnd('(e.n_findings / s.n)', 6)} before
+  from late l join sizes s on s.m = l.source_model join domains d on d.m = l.source_model
+  left join early e using (policy, source_model, issue_type)),
+limited as (select s.*, coalesce(o.x, a.x) x from shares s left join limits o on o.d = s.d and o.p = s.policy
+            left join limits a on a.d = '*' and a.p = s.policy)
+select '2024-01-02' as run, d as domain, policy, source_model, issue_type, n_findings, n as n_rows, share, x as "limit",
+       before as previous_share, (share > x)::int as is_over_limit, coalesce(share > before * 1.5, false)::int as is_growing
+from limited"""
+
+
+LATEST = best(["shipment_id", "event_type"], ["event_timestamp desc nulls last"],
+              "shipment_id event_timestamp event_timestamp_raw event_type event_location event_status".split(),
+              "stg_shipment_events", "shipment_id, event_timestamp, event_timestamp_raw, event_type, event_location, event_status")
+
 _FACT = ["fct_sales_orders"]
 _STOCK = ["fct_inventory_snapshots", "fct_shipments"]
 SQL = {
@@ -149,6 +187,9 @@ SQL = {
     "inventory_reconciliation": (RECONCILED, [*_STOCK, "fct_purchase_orders"]),
     "shipment_event_order": (EVENT_ORDER, ["stg_shipment_events"]),
     "surrogate_product_keys": (SURROGATES, ["dim_product"]),
+    "distinct_retailers_by_year": (RETAILERS, ["fct_retail_pos"]),
+    "finding_thresholds": (_thresholds(), [*_MODELS, "dq_orphan_records", "dq_date_violations", "dq_value_violations"]),
+    "streamed_latest_events": (LATEST, ["stg_shipment_events"]),
 }
 
 

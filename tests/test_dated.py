@@ -10,15 +10,17 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from kiln.operators import currency
+from kiln.operators import currency, sketches
 from kiln.operators.asof import as_of, iso_day, standardize_as_of
 from kiln.operators.dedup import By
 from kiln.operators.position import carried_changes, daily_position, out_of_sequence, reconciled
 from kiln.operators.sizing import SizeBook
+from kiln.plans import monitoring
 from kiln.plans.dag import shared_folder
 from kiln.sources.history import HistoryTable
 from kiln.sources.surrogate import SurrogateKeys
 from kiln.sources.upsert import PART, Folder, UpsertTable
+from kiln.streaming import latest
 
 EPOCH = dt.date(2024, 1, 1)
 day = lambda n: None if n is None else EPOCH + dt.timedelta(days=n)
@@ -302,3 +304,57 @@ def test_surrogate_keys_are_dense_and_stay(spark, base, stage):
     assert keys.collisions().collect() == []
     spark.createDataFrame([("x", 1, 99), ("new", 5, 1)], keys.schema).write.parquet(f"{base}/keys/999999")
     assert {r["n"] for r in keys.collisions().collect()} == {2} and keys.collisions().count() == 2
+
+
+# ---- mergeable distinct counts, thresholds, streams
+
+def test_sketches_add_up_within_the_stated_error(spark):
+    rng = random.Random(10)
+    pairs = [(f"d{rng.randint(0, 9)}", rng.choice(["hot", "hot", "cold"]), f"v{rng.randint(0, 30_000)}") for _ in range(60_000)]
+    pairs += [("d0", "few", v) for v in ("a", "b", "a", None)] + [("d1", "none", None)]
+    df = spark.createDataFrame(pairs, "d string, k string, v string")
+    stored = sketches.sketches(df, ["d", "k"], "v")
+    got = {r["k"]: r["n"] for r in sketches.merged(stored, ["k"]).select("k", sketches.estimate().alias("n")).collect()}
+    exact = {k: len({v for _, q, v in pairs if q == k and v is not None}) for k in ("hot", "cold", "few", "none")}
+    assert got["few"] == 2 and got["none"] == 0
+    for k in ("hot", "cold"):
+        assert abs(got[k] - exact[k]) <= 4 * sketches.STANDARD_ERROR * exact[k]
+
+
+def test_finding_counts_are_kept_and_repeated_runs_change_nothing(spark, base):
+    counts = monitoring.FindingCounts(spark, f"{base}/counts")
+    sizes = spark.createDataFrame([("fct_shipments", 100), ("fct_sales_orders", 50)], "source_model string, n_rows long")
+    schema = "policy string, source_model string, issue_type string, n_findings long"
+    one = spark.createDataFrame([("quarantine", "fct_shipments", "unknown_order", 4), ("preserve_and_flag", "fct_sales_orders", "x", 1)], schema)
+    two = spark.createDataFrame([("quarantine", "fct_shipments", "unknown_order", 5), ("preserve_and_flag", "fct_sales_orders", "x", 3),
+                                 ("document", "nowhere", "y", 1)], schema)
+    counts.record("r1", one, sizes)
+    counts.record("r2", two, sizes)
+    report = lambda run: {r["issue_type"]: (r["domain"], r["share"], r["limit"], r["previous_share"], r["is_over_limit"], r["is_growing"])
+                          for r in counts.report(run).collect()}
+    want = {"unknown_order": ("logistics", 0.05, 0.05, 0.04, 0, 0), "x": ("sales", 0.06, 0.05, 0.02, 1, 1),
+            "y": ("other", None, 0.0, None, 1, 0)}
+    assert report("r2") == want
+    counts.record("r2", two, sizes)
+    assert report("r2") == want
+    assert report("r1")["x"] == ("sales", 0.02, 0.05, None, 0, 0) and report("r9") == {}
+
+
+def test_stream_equals_batch_and_late_events_are_kept(spark, base):
+    schema = "shipment_id string, event_timestamp string, event_type string"
+    rows_of = [[("s1", "2024-01-01 10:00:00", "a"), ("s1", "2024-01-01 12:00:00", "a"), ("s2", "2024-01-01 09:00:00", "b")],
+               [("s1", "2024-01-01 11:00:00", "a"), ("s2", "2024-01-01 13:30:00", "b"), ("s3", None, "a")],
+               [("s1", "2024-01-01 12:00:00", "a"), ("s3", "2024-01-01 08:00:00", "a")]]
+    table = UpsertTable(spark, f"{base}/t", StructType.fromDDL(schema), ["shipment_id", "event_type"],
+                        [By("event_timestamp", desc=True)], F.col("event_type"))
+    for n, part in enumerate(rows_of):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{base}/landed")
+        stream = spark.readStream.schema(schema).parquet(f"{base}/landed")
+        got, late = latest.take_in_landed(spark, stream, lambda df: df, table, f"{base}/run", "event_timestamp", 3600)
+    best = {}
+    for part in rows_of:
+        for s, t, e in part:
+            best[s, e] = max(best.get((s, e), ""), t or "")
+    assert rows(got) == sorted(((s, t or None, e) for (s, e), t in best.items()), key=str)
+    # behind 13:30 by more than an hour when they came in (11:00 came when 12:00 was the greatest time)
+    assert rows(late) == [("s1", "2024-01-01 12:00:00", "a"), ("s3", "2024-01-01 08:00:00", "a")]
