@@ -6,6 +6,7 @@ feature's whole result.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -28,6 +29,11 @@ from . import facts, monitoring, quality, staging
 BASE_CURRENCY = "USD"
 
 
+def own_folder(layer, name: str) -> str:
+    """A folder below the layer's for the state of one call; a query that runs again starts anew."""
+    return f"{layer.run_folder}/{name}-{uuid.uuid4().hex[:8]}"
+
+
 # ---- effective-dated mapping
 
 def asof_order_skus(layer, tables) -> DataFrame:
@@ -99,7 +105,7 @@ def merge_table(spark, path: str, model: str, schema) -> UpsertTable:
 def merged_staging(layer, model: str) -> DataFrame:
     """The staging model taken in as batches that share keys and months, the first one twice."""
     staged = layer.stage(layer[model], model)
-    table = merge_table(layer.spark, f"{layer.run_folder}/merged/{model}", model, staged.schema)
+    table = merge_table(layer.spark, own_folder(layer, f"merged-{model}"), model, staged.schema)
     batch = F.pmod(F.xxhash64(*staged.columns), F.lit(BATCHES))
     for number in [*range(BATCHES), 0]:
         table.merge(staged.where(batch == number))
@@ -142,7 +148,7 @@ def product_snapshot(products: DataFrame, number: int) -> DataFrame:
 def product_history(layer, tables) -> DataFrame:
     """Every version of every product over four snapshots, the last one applied twice."""
     products = layer["dim_product"]
-    table = HistoryTable(layer.spark, f"{layer.run_folder}/history/product", product_snapshot(products, 0).schema, ["product_sku"])
+    table = HistoryTable(layer.spark, own_folder(layer, "history-product"), product_snapshot(products, 0).schema, ["product_sku"])
     for day, number in [*zip(SNAPSHOT_DAYS, range(len(SNAPSHOT_DAYS))), (SNAPSHOT_DAYS[-1], len(SNAPSHOT_DAYS) - 1)]:
         table.apply(product_snapshot(products, number), day)
     return table.versions().select("product_sku", *TRACKED, F.col("valid_from").cast("string").alias("valid_from"),
@@ -204,7 +210,7 @@ def shipment_event_order(layer, tables) -> DataFrame:
 def surrogate_product_keys(layer, tables) -> DataFrame:
     """Dense product numbers: SKUs known to the PLM first, then (a later run) all SKUs, then the same run again."""
     products = layer["dim_product"]
-    keys = SurrogateKeys(layer.spark, f"{layer.run_folder}/keys/product", products.schema, ["product_sku"])
+    keys = SurrogateKeys(layer.spark, own_folder(layer, "keys-product"), products.schema, ["product_sku"])
     for df in (products.where("is_in_plm = 1"), products, products):
         keys.assign(df, layer.stage)
     return keys.read()
@@ -233,7 +239,7 @@ def finding_thresholds(layer, tables) -> DataFrame:
     names = sorted({m for models in monitoring.DOMAINS.values() for m in models})
     rows = reduce(DataFrame.unionAll, [layer[n].agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("source_model"), "n_rows")
                                        for n in names])
-    counts = monitoring.FindingCounts(layer.spark, f"{layer.run_folder}/finding-counts")
+    counts = monitoring.FindingCounts(layer.spark, own_folder(layer, "finding-counts"))
     early = [df.where(F.substring(F.md5(F.coalesce("record_id", F.lit("")).cast("binary")), 1, 1) < "8") for df in reports]
     for run, found in (("2024-01-01", early), ("2024-01-02", reports), ("2024-01-02", reports)):
         counts.record(run, quality.findings_by_policy(*found), rows)
@@ -247,7 +253,7 @@ LATE_SECONDS = 3600
 
 def streamed_latest_events(layer, tables) -> DataFrame:
     """The last event of each shipment and type, taken in by a stream of several micro-batches over landed files."""
-    base = f"{layer.run_folder}/latest-events"
+    base = own_folder(layer, "latest-events")
     landed = f"{base}/landed"
     layer["shipment_events_raw"].repartition(3, "event_timestamp", "event_type").write.mode("overwrite").parquet(landed)
     schema = layer["stg_shipment_events"].schema

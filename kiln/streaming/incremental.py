@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.findings import evaluate
 from ..operators.mapping import Taxonomy
-from ..operators.sizing import max_broadcast_rows
+from ..operators.sizing import max_broadcast_bytes, max_broadcast_rows
 from ..plans import quality, staging
 from ..plans.dag import shared_folder
 from ..sources.raw import raw_schema
@@ -46,7 +46,8 @@ def staged_stream(model: str, raw: DataFrame, taxonomy: DataFrame | None = None)
         if taxonomy is None:
             raise ValueError(f"{model} needs the standardised taxonomy")
         # lookup slices of a static table; sizes measured once, small slices broadcast
-        return fn(raw, Taxonomy(taxonomy, max_broadcast_rows(raw.sparkSession)))
+        spark = raw.sparkSession
+        return fn(raw, Taxonomy(taxonomy, max_broadcast_rows(spark), max_broadcast_bytes(spark)))
     return fn(raw)
 
 

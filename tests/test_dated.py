@@ -358,3 +358,12 @@ def test_stream_equals_batch_and_late_events_are_kept(spark, base):
     assert rows(got) == sorted(((s, t or None, e) for (s, e), t in best.items()), key=str)
     # behind 13:30 by more than an hour when they came in (11:00 came when 12:00 was the greatest time)
     assert rows(late) == [("s1", "2024-01-01 12:00:00", "a"), ("s3", "2024-01-01 08:00:00", "a")]
+
+
+def test_queries_with_state_start_anew(spark):
+    """Running a query again in one session gives the same rows (its table is its own)."""
+    import __spark_entry__ as entry
+    from conftest import SF_SMALL
+    queries = entry.library_queries()
+    for name in ("product_history", "surrogate_product_keys", "streamed_latest_events"):
+        assert rows(queries[name](spark, SF_SMALL)) == rows(queries[name](spark, SF_SMALL))
