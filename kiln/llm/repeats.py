@@ -33,8 +33,9 @@ segments per group to a shard, not one per occurrence.
 
 Defined cases: null text is empty; texts shorter than MATCH bytes are kept;
 rows that share a doc_id (repeated rows too) are judged alike, none against
-the other; a null doc_id counts as smaller than any; an empty table gives an
-empty result; other columns are ignored.
+the other; a null doc_id counts as smaller than any; a very long text is cut
+into runs like any other; there are no ties but those of shared doc_ids; an
+empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
