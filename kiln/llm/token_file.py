@@ -57,7 +57,8 @@ class WordTokenizer:
         from tokenizers import Tokenizer
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.plain = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.plain.get_added_tokens_decoder().values()]
+        # a token that the library looks for in normalised text may stand there in other case
+        self.special = [(t.content, t.normalized) for t in self.plain.get_added_tokens_decoder().values()]
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True        # a unit may look like one once it is lower-cased
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
@@ -78,8 +79,8 @@ class WordTokenizer:
     def encode(self, texts: pa.Array) -> pa.Array:
         """The ids of each text as the file's unsigned integers."""
         marked = np.zeros(len(texts), bool)
-        for content in self.special:
-            marked |= np.asarray(pc.match_substring(texts, content, ignore_case=True))
+        for content, normalized in self.special:
+            marked |= np.asarray(pc.match_substring(texts, content, ignore_case=normalized))
         rest = pc.if_else(pa.array(marked), pa.scalar("", texts.type), texts) if marked.any() else texts
         units = Units(rest, lower=True)
         coded = units.join(pa.array(self.cache.look_up(units.distinct), pa.binary()), b"")
