@@ -56,10 +56,10 @@ class WordTokenizer:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.plain = Tokenizer.from_file(path)
-        # a token that the library looks for in normalised text may stand there in other case
-        self.special = [(t.content, t.normalized) for t in self.plain.get_added_tokens_decoder().values()]
+        self.load_plain, self.plain = (lambda: Tokenizer.from_file(path)), None    # loaded by the first text that needs it
         self.tokenizer = Tokenizer.from_file(path)
+        # a token that the library looks for in normalised text may stand there in other case
+        self.special = [(t.content, t.normalized) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.tokenizer.encode_special_tokens = True        # a unit may look like one once it is lower-cased
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.cache = Cache(self._units)
@@ -86,6 +86,7 @@ class WordTokenizer:
         coded = units.join(pa.array(self.cache.look_up(units.distinct), pa.binary()), b"")
         if not marked.any():
             return coded
+        self.plain = self.plain or self.load_plain()
         out = coded.to_pylist()
         for i in np.flatnonzero(marked):
             out[i] = np.array(self.plain.encode(texts[i].as_py(), add_special_tokens=False).ids, self.dtype).tobytes()
