@@ -43,8 +43,10 @@ from .labelled import fetch_sample, held_out, least_hashed
 FOLDS, FOLD = 4, 2
 #: documents a language and text bytes of all languages that are learned from; landmarks of a language, and of all
 SAMPLE_DOCS, SAMPLE_BYTES, LANDMARKS, MAX_LANDMARKS = 300, 64 << 20, 40, 800
-#: share of learned documents whose score is well above the least one that ``keep_languages`` accepts
+#: share of all documents that may be learned from whose score is well above the least one that ``keep_languages`` accepts
 CLEAN = 0.998
+#: scores are counted in steps of this share when that least score is looked for
+SCORE_STEPS = 10_000
 RIDGE, SHARPNESS = 1e-2, 6.0
 TRIGRAM_BITS = 15
 CELLS = 256 + (1 << 16) + (1 << TRIGRAM_BITS)
@@ -130,8 +132,12 @@ def fit(texts: list[str], langs: list[str], landmarks_per_language: int = LANDMA
     return Model(languages, cells, model.landmarks, folded.astype(np.float32))
 
 
-def learn(docs: DataFrame, lang: str = "lang", text: str = "text") -> Model | None:
-    """The model of the labelled documents that are not held out; None without any."""
+def learn(docs: DataFrame, lang: str = "lang", text: str = "text", with_least: bool = True) -> Model | None:
+    """The model of the labelled documents that are not held out; None without any.
+
+    The model is fitted to the bounded sample, the score that ``keep_languages`` accepts comes from all those documents
+    (a pass of its own, left out without ``with_least``).
+    """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"),
                        F.col(lang).cast("string").alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id"), FOLDS, FOLD)
@@ -141,15 +147,32 @@ def learn(docs: DataFrame, lang: str = "lang", text: str = "text") -> Model | No
         return None
     texts, langs = [r["text"] for r in sample], [r["lang"] for r in sample]
     model = fit(texts, langs, max(1, min(LANDMARKS, MAX_LANDMARKS // len(set(langs)))))
-    return replace(model, least=least_score(model, texts, langs))
+    return replace(model, least=least_score(rows, model)) if with_least else model
 
 
-def least_score(model: Model, texts: list[str], langs: list[str]) -> float:
-    """Half the score that ``CLEAN`` of the learned texts reach in their own language."""
-    column = pa.array(texts, pa.large_string())
-    found, score = predict(model, column, np.ones(len(texts), bool))
-    right = score[found == np.array(langs, object)]
-    return float(np.quantile(right, 1 - CLEAN)) / 2 if len(right) else 0.0
+def least_score(rows: DataFrame, model: Model) -> float:
+    """Half the score that ``CLEAN`` of all ``rows`` (text, lang) told right reach, rounded down to a step.
+
+    Tasks count scores by step, so the driver gets at most ``SCORE_STEPS`` + 1 rows; repeated rows count as often.
+    """
+    small_batches(rows.sparkSession)
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for batch in slices(batches):
+            found, score = predict(m, batch.column(0), np.ones(batch.num_rows, bool))
+            right = score[found == np.array(batch.column(1).to_pylist(), object)]
+            step, n = np.unique((right * SCORE_STEPS).astype(np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(step), pa.array(n.astype(np.int64))], ["step", "n"])
+
+    counted = rows.select("text", "lang").mapInArrow(task(run), "step long, n long").groupBy("step").agg(
+        F.sum("n").alias("n")).orderBy("step").collect()
+    below = np.cumsum([r["n"] for r in counted])
+    if not len(below):
+        return 0.0
+    at = int(np.searchsorted(below, (1 - CLEAN) * (below[-1] - 1), side="right"))
+    return counted[at]["step"] / SCORE_STEPS / 2
 
 
 def predict(model: Model | None, texts: pa.Array, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

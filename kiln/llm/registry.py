@@ -42,7 +42,7 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    return predict_languages(docs, learn_languages(docs))
+    return predict_languages(docs, learn_languages(docs, with_least=False))
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
