@@ -66,3 +66,23 @@ def test_a_side_is_judged_by_the_columns_that_are_joined(spark):
     (["dim_carrier"], set())])
 def test_extracts_of_one_fact_are_not_landed(names, once):
     assert read_by_one_fact(names) == once
+
+
+def test_profiles_read_each_extract_once_and_land_none(spark, small_layer):
+    from kiln.plans import focused
+    from kiln.plans.dag import GoldLayer
+    layer = GoldLayer(small_layer.raw, as_of=small_layer.as_of).ensure(*focused.QUERIES["cast_strict_real"][1])
+    assert not layer._landed and focused.QUERIES["cast_alpha_reject_real"][1] == []
+    plan = focused.parse_profile(layer, F.trim, focused.PARSE_SOURCES["cast_strict_int"][1])._jdf.queryExecution() \
+        .optimizedPlan().toString()
+    sources = focused.PARSE_SOURCES["cast_strict_int"][1]
+    assert plan.count("Generate inline") == len({t for t, _ in sources}) < len(sources)
+
+
+def test_checks_drop_rows_without_facts_in_generated_code(spark):
+    from kiln.operators.expectations import AcceptedValues, NotNull, Suite, run
+    rows = spark.createDataFrame([(1, "a"), (None, "b"), (3, None), (None, "c")], "k int, v string")
+    got = run({"t": rows}, Suite([NotNull("t", "k"), AcceptedValues("t", "v", ("a",))]))
+    assert {(r.test_name, r.failures) for r in got.collect()} == {("not_null", 2), ("accepted_values", 2)}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "filter(array" not in plan and "lambda" not in plan
