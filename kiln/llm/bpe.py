@@ -5,12 +5,12 @@ two adjacent token ids and the id (= rank) of their concatenation. Both tables
 are built once and broadcast. All words become rows ``(w, pos, id)``, one per byte. A recursive query joins adjacent rows with
 the merge table, contracts each word's leftmost minimum-rank pair and repeats
 until no word has a pair left; decoding joins ids with the token table and
-concatenates the bytes by an ordered aggregation. Words of over ``SHORT`` bytes
+concatenates the bytes in the order of their positions. Words of over ``SHORT`` bytes
 contract every leftmost non-overlapping pair of the minimum rank per step (a
 merged token only takes part in later ranks, so the result is the same).
 
-Spark partitions the documents; a worker encodes each distinct unit of a slice
-once (``pretokens.Units``) and keeps nothing between slices. No shuffle, no
+Spark partitions the documents; a task encodes each distinct unit once, while
+it stays in the task's bounded cache (``pretokens.Cache``). No shuffle, no
 collect. Every token must be reachable by its merges, as in every vocabulary
 that byte-pair training gives (tested for the one used here).
 
@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from .common import doc_columns, slices, strings, task, text_bytes
-from .pretokens import Units
+from .pretokens import Cache, Units
 
 #: words of up to SHORT bytes go together, ROWS bytes at once; longer words are contracted ROUNDS deep at a time
 SHORT, ROWS, ROUNDS = 64, 250_000, 24
@@ -55,8 +55,7 @@ with recursive t(w, pos, id, live) as (
    from p left join best on best.w = p.w
    where best.w is null or best.next_pos <> p.pos)
 )
-select w, string_agg(id, ' ' order by pos) ids, string_agg(hex, '' order by pos) hex
-from t join tokens using (id) where not live group by w order by w"""
+select w, id::varchar ids, hex from t join tokens using (id) where not live order by pos"""
 
 LONG_SQL = f"""
 with recursive t(w, pos, id, live, round) as (
@@ -116,6 +115,13 @@ def _stream(table: pa.Table) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
+def _joined(rows: pa.Table, n: int) -> pa.Table:
+    """One row per word 0 to n - 1 of its tokens' rows, which come in order: ids joined by a space, hex by nothing."""
+    ends = pa.array(np.searchsorted(rows["w"].combine_chunks(), np.arange(n + 1)), pa.int32())
+    return pa.table({c: pc.binary_join(pa.ListArray.from_arrays(ends, rows[c].combine_chunks()), sep)
+                     for c, sep in (("ids", " "), ("hex", ""))})
+
+
 class ByteBPE:
     """Encoder and decoder of one vocabulary (a rank file or its tables); lives as long as a task."""
 
@@ -129,6 +135,7 @@ class ByteBPE:
         single = self.con.sql("select id, hex from tokens where length(hex) = 2").to_arrow_table()
         self.byte_id = np.zeros(256, np.int32)
         self.byte_id[[int(h, 16) for h in single["hex"].to_pylist()]] = np.asarray(single["id"])
+        self.cache = Cache(self._units)
 
     def _load(self, name: str, table: pa.Table) -> None:
         self.con.register("loading", table)
@@ -169,7 +176,7 @@ class ByteBPE:
             some = short[start:stop]
             at = np.repeat(offsets[some] - np.concatenate([[0], ends[start:stop - 1] - before]), sizes[some])
             bytes_of = raw[at + np.arange(len(at))]
-            parts.append(self._query(SHORT_SQL, "start", self._start(bytes_of, sizes[some])))
+            parts.append(_joined(self._query(SHORT_SQL, "start", self._start(bytes_of, sizes[some])), len(some)))
             start = stop
         for i in np.flatnonzero(sizes > SHORT):
             order.append([i])
@@ -191,20 +198,26 @@ class ByteBPE:
         hexed = dict(zip(got["w"].to_pylist(), got["hex"].to_pylist()))
         return [bytes.fromhex(hexed.get(i, "")) for i in range(len(coded))]
 
-    def encode_texts(self, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
-        """(ids joined by one space, bytes decoded from them) of each text."""
-        units = Units(texts)
-        words = [self.find(u) for u in units.distinct]
+    def _units(self, units: list[str]) -> list[tuple[str, str]]:
+        """(ids joined by one space, hex of the bytes decoded from them) of each unit, whose words are encoded one by one."""
+        words = [self.find(u) for u in units]
         ends = np.cumsum([0, *map(len, words)])
         ids, hexed = self.encode(pa.array(list(chain.from_iterable(words)), pa.large_string()))
         if ends[-1] != len(words):                     # units of several words (none of no word: they hold text)
             ids, hexed = (pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), x), sep)
                           for x, sep in ((ids, " "), (hexed, "")))
+        return list(zip(ids.to_pylist(), hexed.to_pylist()))
+
+    def encode_texts(self, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """(ids joined by one space, bytes decoded from them) of each text."""
+        units = Units(texts)
+        coded = self.cache.look_up(units.distinct)
+        ids, hexed = (pa.array([c[i] for c in coded], pa.string()) for i in (0, 1))
         decoded = [bytes.fromhex(h) for h in units.join(hexed, "").to_pylist()]
         return units.join(ids, " "), pa.array(decoded, pa.binary())
 
 
-#: text bytes encoded at once: distinct pieces are looked up once per slice
+#: text bytes encoded at once
 BPE_SLICE = 2 << 20
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 

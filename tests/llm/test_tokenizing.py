@@ -124,6 +124,22 @@ def test_bpe_odd_documents(odd, none, encoding):
     assert bpe.bpe_encode(none, RANKS, PATTERN).collect() == []
 
 
+def test_bpe_encodes_a_unit_once_over_slices(encoding, monkeypatch):
+    own = bpe.ByteBPE(RANKS, PATTERN)
+    seen, encode = [], own.encode
+    monkeypatch.setattr(own, "encode", lambda words: seen.extend(words.to_pylist()) or encode(words))
+    slices = ["the cat, the dög 12\n", "the cat and the dög 12\n", "", "\u3000 the cat's 1234 \t dög\n"]
+    for n, text in enumerate(slices * 2):
+        if n == len(slices):
+            once = len(seen)
+        ids, decoded = own.encode_texts(pa.array([text, None, text]))
+        assert ids.to_pylist() == [" ".join(map(str, encoding.encode_ordinary(t))) for t in (text, "", text)]
+        assert decoded.to_pylist() == [text.encode(), b"", text.encode()]
+    assert len(seen) == once and seen.count(" the") == 1
+    own.cache.kept = 1                                 # emptied over and over
+    assert own.encode_texts(pa.array(slices))[0].to_pylist() == [" ".join(map(str, encoding.encode_ordinary(t))) for t in slices]
+
+
 def check_token_rows(rows, docs, tokenizer):
     """Rows against whole-text encoding, documents in (doc_id, text) order."""
     start, expected = 0, []
