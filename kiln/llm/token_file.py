@@ -14,7 +14,8 @@ memory, one task per shard. The folder must be a path that all executors can
 open as files (a shared mount).
 
 Distinct units are encoded once per task, while they stay in its bounded cache (``pretokens.Units``); a unit of
-ASCII letters goes straight to the tokenizer's model.
+ASCII and Latin-1 letters, which the normalizer only lower-cases, goes straight to the tokenizer's model as the
+characters that its byte-level step gives.
 
 Defined cases: null text is empty and holds the end id only; strings of special tokens in a text become their ids,
 as in the library's plain call; a very long text is a slice of its own; repeated doc_ids
@@ -25,6 +26,7 @@ reads as an empty result; other columns are ignored.
 from __future__ import annotations
 
 import os
+import string
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -44,6 +46,31 @@ END_ID = 2
 NO_ID = np.iinfo(np.int64).min
 #: text bytes encoded at once
 TOKEN_SLICE = 4 << 20
+#: letters of Latin-1 beyond ASCII; alone they compose to nothing else, and each has one letter as its lower case
+LATIN_1 = "".join(c for c in map(chr, range(0xC0, 0x100)) if c.isalpha())
+LETTERS = string.ascii_lowercase + LATIN_1
+
+
+def _byte_characters() -> str:
+    """The character that stands for each byte in a byte-level vocabulary: itself if printable, else 256 and on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    moved = (chr(256 + i) for i in range(256))
+    return "".join(chr(b) if b in plain else next(moved) for b in range(256))
+
+
+BYTE_CHARACTERS = _byte_characters()
+
+
+class IdBytes(dict):
+    """Id -> its bytes in a file, made when first asked for."""
+
+    def __init__(self, dtype: np.dtype):
+        super().__init__()
+        self.dtype = dtype
+
+    def __missing__(self, token: int) -> bytes:
+        self[token] = raw = np.array(token, self.dtype).tobytes()
+        return raw
 
 
 class WordTokenizer:
@@ -64,16 +91,21 @@ class WordTokenizer:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.cache = Cache(self._units)
         self.model = self.tokenizer.model
+        self.code = IdBytes(self.dtype)
 
     def _units(self, units: list[str]) -> list[bytes]:
-        out = []
+        out, tokenize, code = [], self.model.tokenize, self.code
         for u in units:
             word = u.strip(" ")
-            if word.isalpha() and word.isascii():
-                ids = [t.id for t in self.model.tokenize(word)]
+            if word.isascii() and word.isalpha():
+                tokens = tokenize(word)
+            elif not word.strip(LETTERS) and word:
+                tokens = tokenize(word.lower().encode().decode("latin-1").translate(BYTE_CHARACTERS))
             else:
                 ids = self.tokenizer.encode(u, add_special_tokens=False).ids
-            out.append(np.array(ids, self.dtype).tobytes())
+                out.append(b"".join([code[i] for i in ids]))
+                continue
+            out.append(b"".join([code[t.id] for t in tokens]))
         return out
 
     def encode(self, texts: pa.Array) -> pa.Array:

@@ -175,6 +175,23 @@ def test_special_strings_become_their_ids_as_in_the_plain_call(spark, tokenizer,
     assert tokenizer.encode(special[0], add_special_tokens=False).ids == [3306, 49407, 997]
 
 
+def test_words_of_latin_1_letters_go_straight_to_the_model(tokenizer, monkeypatch):
+    coder = token_file.WordTokenizer(WORDS)
+    letters = token_file.LETTERS + "AZ"
+    words = [a + b for a in letters for b in letters] + ["ÉTÉ", " Ça", "straße", "naïveté", " ÿþÿ", "ÀÉÎÕÜ" * 9]
+    far = ["e\u0301te", "été\u0301", "µm", "ªº", "×÷", "été's", "İé", "ǅé", "éΣ", "é1", "é²", "x\u0300é", " é  é", "ﬁé"]
+    expected = [tokenizer.encode(w, add_special_tokens=False).ids for w in words + far]
+    got = [np.frombuffer(b, coder.dtype).tolist() for b in coder.encode(pa.array(words + far)).to_pylist()]
+    assert got == expected
+
+    class NoEncode:
+        def encode(self, *args, **kwargs):
+            raise AssertionError("a word of Latin-1 letters went through the whole call")
+
+    monkeypatch.setattr(coder, "tokenizer", NoEncode())
+    assert [np.frombuffer(b, coder.dtype).tolist() for b in coder._units([w.lower() for w in words])] == expected[:len(words)]
+
+
 def test_token_file_needs_a_mounted_folder():
     with pytest.raises(ValueError, match="mounted"):
         token_file.local_path("hdfs://somewhere/x")
