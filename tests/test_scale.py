@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
 from kiln.operators.keys import orphans, with_known_flag
 from kiln.operators.sizing import SizeBook
 from kiln.plans import dated, monitoring
@@ -86,3 +87,14 @@ def test_checks_drop_rows_without_facts_in_generated_code(spark):
     assert {(r.test_name, r.failures) for r in got.collect()} == {("not_null", 2), ("accepted_values", 2)}
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "filter(array" not in plan and "lambda" not in plan
+
+
+@pytest.mark.parametrize("name, raw", [("stg_retail_pos", "retail_pos_raw"), ("stg_sales_orders", "sales_orders_raw"),
+                                       ("stg_shipment_events", "shipment_events_raw")])
+def test_queries_of_staging_views_land_no_extract(spark, small_layer, tmp_path, name, raw):
+    import __spark_entry__
+    (tmp_path / "tables").symlink_to(SF_SMALL)         # a folder that no query has landed extracts of
+    found = __spark_entry__.queries()[name](spark, str(tmp_path / "tables"))
+    layer = __spark_entry__._LAYERS[spark.sparkContext.applicationId, str(tmp_path / "tables")]
+    assert raw not in layer._landed
+    assert found.count() == small_layer.raw[raw].count() and found.exceptAll(small_layer[name]).isEmpty()
