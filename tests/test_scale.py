@@ -98,3 +98,70 @@ def test_queries_of_staging_views_land_no_extract(spark, small_layer, tmp_path,
     layer = __spark_entry__._LAYERS[spark.sparkContext.applicationId, str(tmp_path / "tables")]
     assert raw not in layer._landed
     assert found.count() == small_layer.raw[raw].count() and found.exceptAll(small_layer[name]).isEmpty()
+
+
+def test_a_large_dimension_is_replaced_by_the_few_keys_that_it_lacks(spark, tmp_path):
+    from kiln.operators.keys import AbsentKeys, by_absence
+    layer = Layer(spark, tmp_path, {})
+    dim = spark.createDataFrame([(f"k{i}",) for i in range(200)] + [(None,)], "k string")
+    fact = spark.createDataFrame([(i, f"k{i % 203}") for i in range(900)] + [(900, None), (901, None)], "i int, f string")
+    orders = spark.createDataFrame([(f"k{i % 201}",) for i in range(500)], "o string")
+    for rows, few in ((10, True), (1, False)):
+        side = SizeBook(rows, 5_000, stage=layer.stage).side("dim", dim)
+        d, known = by_absence(fact.withColumn("o", F.col("f")), {"f": (side, "k")}, {"o": (orders, "o")})
+        assert isinstance(known["f"], AbsentKeys) is isinstance(known["o"], AbsentKeys) is few
+        got = with_known_flag(with_known_flag(d, "f", known["f"], "k", "known"), "o", known["o"], "o", "ordered", distinct=True)
+        assert ("SortMergeJoin" in got._jdf.queryExecution().executedPlan().toString()) is not few
+        assert sorted(got.select("i", "known", "ordered").collect()) == sorted(
+            (i, int(i < 900 and i % 203 < 200), int(i < 900 and i % 203 < 201)) for i in range(902))
+    small = SizeBook(1000, stage=layer.stage).side("dim", dim)
+    assert by_absence(fact, {"f": (small, "k")}) == (fact, {"f": small})
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange hashpartitioning")
+
+
+def test_readings_and_movements_move_once(spark):
+    from kiln.operators.position import reconciled
+    read = spark.createDataFrame([("a", "2024-01-01", 5), ("a", "2024-01-03", 9), ("a", "2024-01-03", 8)], "k string, d string, v int")
+    moved = spark.createDataFrame([("a", "2024-01-02", 3), ("a", "2024-01-02", None), ("b", "2024-01-02", 1)],
+                                  "k string, day string, quantity long")
+    got = reconciled(read.withColumn("d", F.to_date("d")), moved.withColumn("day", F.to_date("day")), ["k"], "d", "v")
+    assert [(r.reading, r.previous, r.moved, r.difference) for r in got.orderBy("day").collect()] == [
+        (5, None, None, None), (9, 5, 3, 1)]
+    assert exchanges(got) == 2              # once by key and day, once by key
+
+
+def test_a_merge_moves_the_rows_of_a_batch_once(spark, tmp_path, monkeypatch):
+    from kiln.operators.dedup import By
+    from kiln.sources import upsert
+    rows = spark.createDataFrame([("a", "x", 1), ("a", "y", 2), ("b", "z", None), (None, "n", 3), (None, "m", 3)],
+                                 "k string, t string, n int")
+    table = upsert.UpsertTable(spark, str(tmp_path / "t"), rows.schema, ["k"], [By("n", desc=True)], F.lit("p"))
+    plans, keep_best = [], upsert.keep_best
+    monkeypatch.setattr(upsert, "keep_best", lambda *a: plans.append(keep_best(*a)) or plans[-1])
+    for batch, n in ((rows, 3), (rows, 0), (rows.where("t = 'x'"), 0)):
+        assert table.merge(batch).rows == n
+    assert sorted(map(tuple, table.read().collect()), key=str) == [("a", "y", 2), ("b", "z", None), (None, "m", 3)]
+    assert [exchanges(p) for p in plans] == [1, 1, 1]
+
+
+def test_product_revenue_moves_the_lines_once(spark, small_layer):
+    from kiln.plans.dag import GoldLayer
+    from kiln.sources.testdata import load_driver_tables
+    lines = [("s", 10.0, "usd", "1996-01-05"), ("s", 4.0, "cad", "1996-01-05"), ("s", 4.0, "cad", "1990-01-05"),
+             ("s", None, "zz", None), (None, 2.5, "usd", None)]
+    sales = spark.createDataFrame(lines, "product_sku string, gross_revenue double, currency string, order_date string")
+    layer = GoldLayer(small_layer.raw, as_of=small_layer.as_of)
+    layer._built["fct_sales_orders"] = sales
+    got = dated.currency_product_revenue(layer, load_driver_tables(spark, SF_SMALL))
+    found = {r.product_sku: tuple(r)[1:] for r in got.collect()}
+    assert found["s"] == ("CAD=8.00;USD=10.00", 10 + 4 * (0.5 + 1 / 64), 2) and found[None] == ("USD=2.50", 2.5, 0)
+    assert got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Join") == 1   # the rates
+
+
+def test_a_layer_writes_its_steps_in_a_denser_codec(spark, small_layer):
+    from kiln.plans.dag import GoldLayer
+    files = GoldLayer(small_layer.raw, as_of=small_layer.as_of).stage(spark.range(9).toDF("x"), "step").inputFiles()
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
