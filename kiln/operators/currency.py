@@ -6,7 +6,7 @@ number of codes, and with it the size of a map of totals, is bounded whatever th
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,20 +25,21 @@ def currency_code(x) -> Column:
 
 
 def totals_by_currency(df: DataFrame, keys: list[str], amount: str, currency: str, total: str = "total",
-                       rows: str = "n_rows") -> DataFrame:
-    """One row per key and currency: rows and exact total. Partial sums are combined map-side, so a hot key ships one
-    row per task and currency."""
+                       rows: str = "n_rows", also: Sequence[Column] = ()) -> DataFrame:
+    """One row per key and currency: rows, exact total and the aggregates in ``also``. Partial sums are combined map-side,
+    so a hot key ships one row per task and currency."""
     part, rest = exact_parts(amount)
     return df.groupBy(*keys, currency_code(currency).alias("currency")).agg(
-        F.count(F.lit(1)).alias(rows), exact_total(F.sum(part), F.sum(rest)).alias(total))
+        F.count(F.lit(1)).alias(rows), exact_total(F.sum(part), F.sum(rest)).alias(total), *also)
 
 
-def total_map(by_currency: DataFrame, keys: list[str], total: str = "total", name: str = "totals") -> DataFrame:
-    """One row per key with a map currency -> total, in currency order (entries bounded by the number of codes).
-    A currency without any amount has no entry."""
+def total_map(by_currency: DataFrame, keys: list[str], total: str = "total", name: str = "totals",
+              also: Sequence[Column] = ()) -> DataFrame:
+    """One row per key with a map currency -> total, in currency order (entries bounded by the number of codes), and the
+    aggregates in ``also``. A currency without any amount has no entry."""
     entry = F.struct("currency", F.col(total).alias("total"))
     entries = F.sort_array(F.collect_list(F.when(F.col(total).isNotNull(), entry)))
-    return by_currency.groupBy(*keys).agg(F.map_from_entries(entries).alias(name))
+    return by_currency.groupBy(*keys).agg(F.map_from_entries(entries).alias(name), *also)
 
 
 def map_sum(maps: DataFrame, keys: list[str], column: str) -> DataFrame:
