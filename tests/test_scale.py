@@ -165,3 +165,20 @@ def test_a_layer_writes_its_steps_in_a_denser_codec(spark, small_layer):
     from kiln.plans.dag import GoldLayer
     files = GoldLayer(small_layer.raw, as_of=small_layer.as_of).stage(spark.range(9).toDF("x"), "step").inputFiles()
     assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
+def test_shuffle_partitions_grow_with_the_input_and_are_never_lowered(spark, tmp_path, monkeypatch):
+    import __spark_entry__
+    from kiln.operators import sizing
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    lines = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
+    try:
+        sizing.enough_partitions(spark, 1)
+        assert spark.conf.get(key) == before
+        monkeypatch.setattr(sizing, "PARTITION_ROWS", lines // 20)
+        (tmp_path / "tables").symlink_to(SF_SMALL)
+        __spark_entry__.layer_for(spark, str(tmp_path / "tables"))
+        assert int(spark.conf.get(key)) >= 20
+    finally:
+        spark.conf.set(key, before)
