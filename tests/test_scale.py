@@ -182,3 +182,28 @@ def test_shuffle_partitions_grow_with_the_input_and_are_never_lowered(spark, tmp
         assert int(spark.conf.get(key)) >= 20
     finally:
         spark.conf.set(key, before)
+
+
+def test_rows_with_unique_keys_are_not_moved_to_find_the_best(spark, tmp_path):
+    from kiln.operators.dedup import By, keep_best
+    from kiln.operators.keys import best_by_absence
+    layer = Layer(spark, tmp_path, {})
+    rows = [(f"o{i}", i % 7, f"k{i % 203}", "x") for i in range(900)]
+    rows += [("o1", 9, "k1", "b"), ("o1", 9, "k1", "a"), ("o1", 9, "k1", "a"), (None, 1, "k2", "x"), (None, 2, "k2", "x"),
+             (None, None, None, None)]
+    fact = spark.createDataFrame(rows, "o string, n int, f string, raw string")
+    dim = spark.createDataFrame([(f"k{i}",) for i in range(200)], "k string")
+    order = [By("n", desc=True)]
+    expected = sorted(keep_best(fact, ["o", "f"], order).drop("raw").collect(), key=str)
+    for bound in (199, 1):              # within the bounds of 1, two keys that repeat are too many: all rows compete
+        layer.steps.clear()
+        layer.run_folder = str(tmp_path / str(bound))
+        side = SizeBook(bound, stage=layer.stage).side("dim", dim)
+        got, _ = best_by_absence(fact, ["o", "f"], order, {"f": (side, "k")}, drop=("raw",))
+        assert sorted(got.collect(), key=str) == expected
+        assert ("Window" in got._jdf.queryExecution().executedPlan().toString()) is (bound == 1)
+        assert ("best-rows" in layer.steps) is (bound == 199)
+    small = SizeBook(1000, stage=layer.stage).side("dim", dim)
+    layer.steps.clear()
+    got, _ = best_by_absence(fact, ["o", "f"], order, {"f": (small, "k")}, drop=("raw",))
+    assert sorted(got.collect(), key=str) == expected and not layer.steps
