@@ -207,3 +207,17 @@ def test_rows_with_unique_keys_are_not_moved_to_find_the_best(spark, tmp_path):
     layer.steps.clear()
     got, _ = best_by_absence(fact, ["o", "f"], order, {"f": (small, "k")}, drop=("raw",))
     assert sorted(got.collect(), key=str) == expected and not layer.steps
+
+
+def test_as_of_lookups_ship_no_side_on_an_estimate(spark):
+    from kiln.operators.asof import answers_as_of
+    versions = spark.createDataFrame([("a", None, "1996-12-31", "x"), ("a", "1997-01-01", None, "y"), ("b", "1996-05-01", None, "z")],
+                                     "k string, start string, end string, value string").selectExpr(
+        "k", "date(start) as start", "date(end) as end", "value")
+    points = spark.createDataFrame([("a", "1996-05-05"), ("a", "1997-05-05"), ("a", None), ("b", "1996-04-30"), ("c", "1996-04-30")],
+                                   "k string, d string").selectExpr("k", "date(d) as d")
+    got = answers_as_of(points, versions)           # the estimate of either side is a few bytes
+    assert {(r.k, str(r.d), r.value, r.status) for r in got.collect()} == {
+        ("a", "1996-05-05", "x", "valid"), ("a", "1997-05-05", "y", "valid"), ("a", "None", None, "undated"),
+        ("b", "1996-04-30", None, "outside"), ("c", "1996-04-30", None, "unknown")}
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
