@@ -221,3 +221,64 @@ def test_as_of_lookups_ship_no_side_on_an_estimate(spark):
         ("a", "1996-05-05", "x", "valid"), ("a", "1997-05-05", "y", "valid"), ("a", "None", None, "undated"),
         ("b", "1996-04-30", None, "outside"), ("c", "1996-04-30", None, "unknown")}
     assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dates_are_read_in_methods_that_get_compiled(spark):
+    import re
+    from kiln.functions import dates
+    texts = spark.createDataFrame([("2024-02-30", "2024-02-01", "open"), ("2460370.5", "2024-03-01 24:00", "open")],
+                                  "a string, b string, st string")
+    got = texts.select(dates.day_diff("a", "b").alias("days"), dates.before_flag("a", "b").alias("before"),
+                       dates.overdue_flag("st", F.lit(None), "b", "2024-03-01 12:00:00").alias("overdue"))
+    assert [tuple(r) for r in got.collect()] == [(29.0, 0, 1), (-1.0, 1, 0)]
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "false")
+        shown = spark._jvm.PythonSQLUtils.explainString(texts.repartition(2).select(
+            dates.day_diff("a", "b"), dates.before_flag("a", "b"),
+            dates.overdue_flag("st", F.lit(None), "b", "2024-03-01 12:00:00"))._jdf.queryExecution(), "codegen")
+    finally:
+        spark.conf.set(key, before)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", shown)]
+    assert sizes and max(sizes) < 8000          # larger methods are interpreted for good
+
+
+def test_a_mapping_beyond_the_bounds_is_hashed_where_a_task_can_hold_its_part(spark, monkeypatch):
+    from kiln.operators import sizing
+    from kiln.operators.mapping import MappingRule, Taxonomy, standardize
+    rows = [("m", f" K{i}", f"s{i}", 1) for i in range(300)] + [("m", "k1", "again", 1), ("m", "k2", "off", 0), ("n", "k3", "other", 1)]
+    tax = spark.createDataFrame(rows, "mapping_type string, raw_value string, standard_value string, is_active int")
+    df = spark.createDataFrame([(i, f"k{i % 320} ") for i in range(900)] + [(900, None)], "i int, c string")
+    expected = sorted(standardize(df, tax, [MappingRule("c", "m", "o")]).collect(), key=str)
+    for part, join, other in ((1 << 20, "ShuffledHashJoin", "SortMergeJoin"), (1, "SortMergeJoin", "ShuffledHashJoin")):
+        monkeypatch.setattr(sizing, "PARTITION_BYTES", part)
+        got = standardize(df, Taxonomy(tax, 10), [MappingRule("c", "m", "o")])
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert join in plan and other not in plan and sorted(got.collect(), key=str) == expected
+
+
+def test_keys_that_a_dimension_lacks_are_found_without_sorting(spark, tmp_path):
+    from kiln.operators.keys import by_absence
+    layer, plans = Layer(spark, tmp_path, {}), {}
+
+    def stage(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return layer.stage(df, name)
+    dim = spark.createDataFrame([(f"k{i % 200}",) for i in range(400)] + [(None,)], "k string")
+    fact = spark.createDataFrame([(i, f"k{i % 203}") for i in range(900)] + [(900, None)], "i int, f string")
+    _, known = by_absence(fact, {"f": (SizeBook(10, stage=stage).side("dim", dim), "k")})
+    assert sorted(r.key for r in known["f"].df.collect()) == ["k200", "k201", "k202"]
+    assert "ShuffledHashJoin" in plans["absent-f"] and "Sort " not in plans["absent-f"]
+
+
+def test_values_that_hardly_repeat_are_not_kept_in_a_dictionary(spark, tmp_path):
+    import pyarrow.parquet as pq
+    from kiln.sources.sinks import folder_writer
+    df = spark.range(50_000).select(F.concat(F.lit("order-"), "id").alias("id"), (F.col("id") % 9).cast("string").alias("code"))
+    folder_writer(df.coalesce(1)).save(str(tmp_path / "t"))
+    (file,) = (tmp_path / "t").glob("*.parquet")
+    ids, codes = (pq.ParquetFile(file).metadata.row_group(0).column(i) for i in (0, 1))
+    assert "PLAIN" in ids.encodings and not ids.total_uncompressed_size < 50_000 * 8
+    assert codes.has_dictionary_page and codes.total_uncompressed_size < 50_000
+    assert not ids.has_dictionary_page or ids.data_page_offset - ids.dictionary_page_offset < 100_000
